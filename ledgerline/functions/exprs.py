@@ -22,6 +22,9 @@ OHLCV_FIELDS = ("open", "high", "low", "close", "volume")
 NEW_LISTING_DAYS = 30
 SENTIMENT_DIRECTION_CUT = 0.1
 LOW_COVERAGE_BELOW = 2
+# Fixed market holidays (month-day) of the trading calendar rule: Republic
+# Day, Independence Day, Gandhi Jayanti.
+MARKET_HOLIDAYS_MMDD = ("01-26", "08-15", "10-02")
 # ------------------------------------------------------------------------------
 
 
@@ -218,15 +221,26 @@ def is_trading_day(df: DataFrame, calendar: DataFrame, date_col: str = "date",
     return df.join(F.broadcast(cal), F.col(date_col) == F.col("__cal_d"), "left_semi")
 
 
-def trading_day_flag(d: str | Column, holidays: list[str] | None = None) -> Column:
-    """F26 scalar form: weekday and not in a holiday list."""
+def trading_day_flag(d: str | Column, holidays: list[str] | None = None,
+                     holidays_mmdd=MARKET_HOLIDAYS_MMDD) -> Column:
+    """F26 scalar form: a weekday, not a fixed yearly holiday (month-day),
+    not in an explicit holiday date list."""
     c = col(d).cast("date")
     wk = ~F.dayofweek(c).isin(1, 7)
+    if holidays_mmdd:
+        wk = wk & ~F.date_format(c, "MM-dd").isin(list(holidays_mmdd))
     if holidays:
         wk = wk & ~c.isin([F.lit(h).cast("date") for h in holidays])
     return wk
 
 
+def next_upcoming_per_key(df: DataFrame, date_col: str, asof: str | Column, keys: list[str]) -> DataFrame:
+    """F10 as an aggregate: the smallest date on or after ``asof`` per key
+    (partial aggregate; keys without one give no row)."""
+    a = F.lit(asof).cast("date") if isinstance(asof, str) else asof
+    return df.filter(col(date_col) >= a).groupBy(*keys).agg(F.min(date_col).alias(date_col))
+
+
 def require_columns_present(df: DataFrame, columns: list[str]) -> DataFrame:
     """fail the job at run time when a required column is NULL."""
     cond = F.lit(True)

@@ -74,13 +74,16 @@ def latest_per_symbol(df: DataFrame, order: str = "date") -> DataFrame:
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """bars -> gate -> silver joins (sector, lifecycle) -> RSI, MACD,
     Bollinger, ATR, returns, 52-week proximity -> regime -> latest per symbol."""
-    s = silver(spark, sf_dir)
-    g = gold(spark, sf_dir, silver_df=s)
-    sec = s.select("symbol", "sector", "industry").distinct()
-    r = regime(spark, sf_dir, silver_df=s).select("market_context", "date", "regime_label")
+    g = gold(spark, sf_dir)
+    # the index comes from the same gold frame (gold close = silver close), so
+    # the silver join runs once; regime is one row per (market, date)
+    r = RG.market_regime(RG.index_series(g)).select("market_context", "date", "regime_label")
+    sec = SV.one_per_key(TV.sectors(spark, sf_dir), ["symbol"])
     latest = latest_per_symbol(g)
-    # regime: one row per (market, date) - bounded by the calendar
-    out = latest.join(F.broadcast(r), ["market_context", "date"], "left").join(sec, ["symbol"], "left")
+    out = (latest.join(F.broadcast(r), ["market_context", "date"], "left")
+           .join(sec, ["symbol"], "left")
+           .withColumn("sector", F.coalesce("sector", F.lit("Others")))
+           .withColumn("industry", F.coalesce("industry", F.lit("Others"))))
     return out.select("symbol", "date", "market_context", "sector", "industry", "close", "rsi_14",
                       "macd_12_26_9", "macds_12_26_9", "macdh_12_26_9", "bbl_20_2_0", "bbm_20_2_0",
                       "bbu_20_2_0", "atr_14", "return_1d", "return_5d", "return_21d", "high_52w",
