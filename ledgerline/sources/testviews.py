@@ -267,3 +267,29 @@ def with_views(names: list[str], body: str, extra: dict[str, str] | None = None)
     ctes = [f"{n} AS ({SQL_VIEWS[n]})" for n in order]
     ctes += [f"{k} AS ({v})" for k, v in extra.items()]
     return ("WITH " + ",\n".join(ctes) + "\n" + body) if ctes else body
+
+
+# Cap tiers from supplier market value (revenue x 4), fixed bounds.
+CAP_TIER_BOUNDS = (1.23e8, 1.19e8)  # large >=, mid >=, else small
+
+
+def cap_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(symbol, market_cap, cap_tier) per supplier; no revenue -> 'unknown'."""
+    s = table(spark, sf_dir, "supplier")
+    li = table(spark, sf_dir, "lineitem")
+    rev = li.groupBy("l_suppkey").agg((F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))) * 4.0)
+                                      .alias("market_cap"))
+    j = s.join(rev, s.s_suppkey == rev.l_suppkey, "left")
+    mc = F.col("market_cap")
+    tier = (F.when(mc.isNull(), F.lit("unknown")).when(mc >= CAP_TIER_BOUNDS[0], F.lit("large"))
+            .when(mc >= CAP_TIER_BOUNDS[1], F.lit("mid")).otherwise(F.lit("small")))
+    return j.select(symbol_of("s_suppkey").alias("symbol"), "market_cap", tier.alias("cap_tier"))
+
+
+CAP_TIERS_SQL = f"""
+SELECT {symbol_sql('s_suppkey')} AS symbol, market_cap,
+       CASE WHEN market_cap IS NULL THEN 'unknown' WHEN market_cap >= {CAP_TIER_BOUNDS[0]!r} THEN 'large'
+            WHEN market_cap >= {CAP_TIER_BOUNDS[1]!r} THEN 'mid' ELSE 'small' END AS cap_tier
+FROM supplier LEFT JOIN (SELECT l_suppkey, sum(l_extendedprice * (1 - l_discount)) * 4.0 AS market_cap
+                         FROM lineitem GROUP BY 1) r ON s_suppkey = r.l_suppkey"""
+SQL_VIEWS["cap_tiers"] = CAP_TIERS_SQL
