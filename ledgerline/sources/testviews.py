@@ -293,3 +293,90 @@ SELECT {symbol_sql('s_suppkey')} AS symbol, market_cap,
 FROM supplier LEFT JOIN (SELECT l_suppkey, sum(l_extendedprice * (1 - l_discount)) * 4.0 AS market_cap
                          FROM lineitem GROUP BY 1) r ON s_suppkey = r.l_suppkey"""
 SQL_VIEWS["cap_tiers"] = CAP_TIERS_SQL
+
+
+# --------------------------------------------------------------------------
+# event tables for the enrichment stage
+# --------------------------------------------------------------------------
+
+def earnings_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result dates per symbol: ship days with a first-line return (about
+    one per quarter per supplier)."""
+    li = table(spark, sf_dir, "lineitem")
+    return (li.filter((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1))
+            .select(symbol_of("l_suppkey").alias("symbol"), F.col("l_shipdate").cast("date").alias("event_date"))
+            .distinct())
+
+
+EARNINGS_SQL = f"""
+SELECT DISTINCT {symbol_sql('l_suppkey')} AS symbol, CAST(l_shipdate AS DATE) AS event_date
+FROM lineitem WHERE l_returnflag = 'R' AND l_linenumber = 1"""
+
+
+def bar_corporate_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ex-dates per (symbol, date): 'split' on single-unit first lines,
+    'dividend' on lines without discount and tax; split wins on a tie."""
+    li = table(spark, sf_dir, "lineitem")
+    kind = (F.when((F.col("l_quantity") == 1) & (F.col("l_linenumber") == 1), F.lit(1))
+            .when((F.col("l_discount") == 0) & (F.col("l_tax") == 0), F.lit(2)))
+    a = li.select(symbol_of("l_suppkey").alias("symbol"), F.col("l_shipdate").cast("date").alias("date"),
+                  kind.alias("k")).filter(F.col("k").isNotNull())
+    return (a.groupBy("symbol", "date").agg(F.min("k").alias("k"))
+            .select("symbol", "date", F.when(F.col("k") == 1, F.lit("split")).otherwise(F.lit("dividend"))
+                    .alias("action_type")))
+
+
+BAR_ACTIONS_SQL = f"""
+SELECT symbol, date, CASE WHEN min(k) = 1 THEN 'split' ELSE 'dividend' END AS action_type
+FROM (SELECT {symbol_sql('l_suppkey')} AS symbol, CAST(l_shipdate AS DATE) AS date,
+             CASE WHEN l_quantity = 1 AND l_linenumber = 1 THEN 1 WHEN l_discount = 0 AND l_tax = 0 THEN 2 END AS k
+      FROM lineitem) t
+WHERE k IS NOT NULL GROUP BY 1, 2"""
+
+# Macro events: first order date on/after the 5th of each even month is a
+# policy meeting; the first order date of February is the budget.
+MPC_MONTHS = (2, 4, 6, 8, 10, 12)
+MPC_SECTORS = "ASIA,EUROPE"
+BUDGET_SECTORS = "AMERICA,AFRICA,MIDDLE EAST"
+
+
+def macro_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("d"))
+    mpc = (o.filter(F.month("d").isin(*MPC_MONTHS) & (F.dayofmonth("d") >= 5))
+           .groupBy(F.year("d"), F.month("d")).agg(F.min("d").alias("event_date"))
+           .select("event_date", F.lit("rbi_mpc_announcement").alias("event_type"),
+                   F.lit(MPC_SECTORS).alias("sectors_impacted")))
+    bud = (o.filter(F.month("d") == 2).groupBy(F.year("d")).agg(F.min("d").alias("event_date"))
+           .select("event_date", F.lit("union_budget").alias("event_type"),
+                   F.lit(BUDGET_SECTORS).alias("sectors_impacted")))
+    return mpc.unionByName(bud)
+
+
+MACRO_EVENTS_SQL = f"""
+SELECT min(d) AS event_date, 'rbi_mpc_announcement' AS event_type, '{MPC_SECTORS}' AS sectors_impacted
+FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders) t
+WHERE month(d) IN {MPC_MONTHS} AND day(d) >= 5 GROUP BY year(d), month(d)
+UNION ALL
+SELECT min(d), 'union_budget', '{BUDGET_SECTORS}' FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders) t
+WHERE month(d) = 2 GROUP BY year(d)"""
+
+
+def quarterly_fundamentals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarterly revenue per supplier, reported on the 15th of the month
+    after the quarter ends."""
+    li = table(spark, sf_dir, "lineitem")
+    q = F.trunc(F.col("l_shipdate").cast("date"), "quarter")
+    g = li.groupBy(symbol_of("l_suppkey").alias("symbol"), q.alias("quarter_start")).agg(
+        F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"))
+    return g.select("symbol", "quarter_start", F.date_add(F.add_months("quarter_start", 3), 14).alias("report_date"),
+                    "revenue")
+
+
+QUARTERLY_SQL = f"""
+SELECT symbol, quarter_start, CAST(quarter_start + INTERVAL 3 MONTH + INTERVAL 14 DAY AS DATE) AS report_date, revenue
+FROM (SELECT {symbol_sql('l_suppkey')} AS symbol, CAST(date_trunc('quarter', l_shipdate) AS DATE) AS quarter_start,
+             sum(l_extendedprice * (1 - l_discount)) AS revenue
+      FROM lineitem GROUP BY 1, 2) t"""
+
+SQL_VIEWS.update({"earnings": EARNINGS_SQL, "bar_actions": BAR_ACTIONS_SQL, "macro_events": MACRO_EVENTS_SQL,
+                  "quarterly": QUARTERLY_SQL})
