@@ -115,10 +115,11 @@ def relative_strength(df: DataFrame, index: DataFrame, tier_col: str = "cap_tier
     j = j.select("*", (F.col("return_63d") - F.col("index_return_63d")).alias("rs_vs_index_63d"),
                  (F.col("return_21d") - F.col("index_return_21d")).alias("rs_vs_index_21d"))
     if tier_col in j.columns:
-        # rank only rows that have a value; the rest stay NULL
-        has = F.col("rs_vs_index_63d").isNotNull()
-        wr = Window.partitionBy("date", tier_col, "market_context", has).orderBy("rs_vs_index_63d")
-        j = j.withColumn("rs_rank_63d", F.when(has, F.percent_rank().over(wr) * 100.0))
+        # exact percentile within (date, tier, market) without a one-task-per-day window
+        from ..functions.ranking import rank_within
+
+        j = rank_within(j, ["date", tier_col, "market_context"], "rs_vs_index_63d", "__pr", materialize=True)
+        j = j.withColumn("rs_rank_63d", F.col("__pr") * 100.0).drop("__pr")
     return j.drop("index_return_21d", "index_return_63d")
 
 

@@ -341,7 +341,8 @@ def fe28(spark, d):
 
 # ------------------------------------------------------------------------ FE29
 @query("fe29_institutional_flags", """
-SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS symbol, disc AS held_percent_institutions,
+SELECT ('S' || CAST(s_suppkey AS VARCHAR) || CASE s_suppkey % 3 WHEN 0 THEN '.NS' WHEN 1 THEN '.BO' ELSE '' END)
+         AS symbol, disc AS held_percent_institutions,
        CASE WHEN disc IS NULL THEN NULL WHEN disc > 0.70 THEN 1 ELSE 0 END AS institutional_high_flag,
        CAST(NULL AS INTEGER) AS promoter_pledging_flag
 FROM supplier LEFT JOIN (SELECT l_suppkey, avg(l_discount) AS disc FROM lineitem GROUP BY 1) a

@@ -130,8 +130,8 @@ def r08(spark, d):
 _FUND_MONEY = ["market_cap", "total_revenue", "net_income", "operating_cashflow"]
 
 
-@query("r09_flatten_fundamentals_json", """
-SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS symbol,
+FUND_SQL = f"""
+SELECT {TV.symbol_sql('s_suppkey')} AS symbol,
        CASE WHEN s_acctbal > 1000 THEN s_acctbal / 100.0 END AS pe_ratio, s_acctbal / 120.0 AS forward_pe,
        CAST(n AS DOUBLE) / 10.0 AS price_to_book, rev * 4.0 AS market_cap, CAST(NULL AS DOUBLE) AS institutional_ownership_pct,
        CAST(n AS DOUBLE) * 1000.0 AS implied_institutional_ownership_pct, disc AS held_percent_institutions,
@@ -141,7 +141,10 @@ SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS symbol,
        CAST(s_acctbal > 1000 OR (s_acctbal > 0 AND rev IS NOT NULL) AS INTEGER) AS fundamental_presence_flag
 FROM supplier LEFT JOIN (SELECT l_suppkey, sum(l_extendedprice * (1 - l_discount)) AS rev, count(*) AS n,
                                 avg(l_discount) AS disc, avg(l_tax) AS tax FROM lineitem GROUP BY 1) a
-  ON s_suppkey = a.l_suppkey""",
+  ON s_suppkey = a.l_suppkey"""
+
+
+@query("r09_flatten_fundamentals_json", FUND_SQL,
        {**{c: 6 for c in ["pe_ratio", "forward_pe", "price_to_book", "institutional_ownership_pct",
                           "implied_institutional_ownership_pct", "held_percent_institutions", "held_percent_insiders",
                           "short_ratio", "short_percent_of_float", "total_debt"]}, **{c: 2 for c in _FUND_MONEY}})

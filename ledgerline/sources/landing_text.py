@@ -125,7 +125,9 @@ def fundamentals_docs(spark: SparkSession, d: str) -> DataFrame:
         F.col("tax").alias("heldPercentInsiders"), F.when(bal > 0, F.col("rev")).alias("totalRevenue"),
         (F.col("rev") * 0.1).alias("netIncomeToCommon"), F.when(bal < 0, -bal).otherwise(F.lit(0.0)).alias("totalDebt"),
         (F.col("rev") * 0.05).alias("operatingCashflow"))
-    return j.select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("symbol"), F.to_json(doc).alias("json"))
+    from .testviews import symbol_of
+
+    return j.select(symbol_of("s_suppkey").alias("symbol"), F.to_json(doc).alias("json"))
 
 
 def _order_day_stats(spark: SparkSession, d: str) -> DataFrame:
