@@ -1,4 +1,4 @@
-"""Market regime (W11-W13, J13) and the regime specs M01-M07.
+"""Market regime (W11-W13, J13) and the regime specs M01-M07, M10.
 
 The index series is one row per (market_context, date): small and bounded
 by the calendar.  When no index symbol is given, the index is the equal
@@ -109,3 +109,75 @@ def regime_conditional_moments(features: DataFrame, regime: DataFrame, ret: str
             .agg(F.count(F.lit(1)).alias("n"), F.avg(ret).alias("mean_return"),
                  F.stddev_samp(ret).alias("std_return"), F.skewness(ret).alias("skew_pop"),
                  F.kurtosis(ret).alias("kurt_pop")))
+
+
+def dow_trend(df: DataFrame) -> DataFrame:
+    """Dow trend from the last two swing highs and lows (pivots seen at
+    T for T-1, FE11): 'up' when both the latest pivot high and pivot low are
+    above the previous ones, 'down' when both are below, else 'none'."""
+    w = Window.partitionBy("symbol").orderBy("date")
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    h1, h2, l1, l2 = (F.lag("high", 1).over(w), F.lag("high", 2).over(w), F.lag("low", 1).over(w),
+                      F.lag("low", 2).over(w))
+    df = df.select("*", F.when((h1 > h2) & (h1 > F.col("high")), h1).alias("__ph"),
+                   F.when((l1 < l2) & (l1 < F.col("low")), l1).alias("__pl"))
+    df = df.select("*", F.last("__ph", ignorenulls=True).over(run).alias("last_pivot_high"),
+                   F.last("__pl", ignorenulls=True).over(run).alias("last_pivot_low"))
+    # previous pivot = the running value one row before a new pivot row
+    df = df.select("*", F.when(F.col("__ph").isNotNull(), F.lag("last_pivot_high", 1).over(w)).alias("__pph"),
+                   F.when(F.col("__pl").isNotNull(), F.lag("last_pivot_low", 1).over(w)).alias("__ppl"))
+    df = df.select("*", F.last("__pph", ignorenulls=True).over(run).alias("prev_pivot_high"),
+                   F.last("__ppl", ignorenulls=True).over(run).alias("prev_pivot_low"))
+    hh = F.col("last_pivot_high") > F.col("prev_pivot_high")
+    hl = F.col("last_pivot_low") > F.col("prev_pivot_low")
+    lh = F.col("last_pivot_high") < F.col("prev_pivot_high")
+    ll = F.col("last_pivot_low") < F.col("prev_pivot_low")
+    trend = F.when(hh & hl, F.lit("up")).when(lh & ll, F.lit("down")).otherwise(F.lit("none"))
+    return df.withColumn("dow_trend", trend).drop("__ph", "__pl", "__pph", "__ppl")
+
+
+def signal_ic(df: DataFrame, signal: str, forward: str, min_names: int = 3) -> DataFrame:
+    """Per-date rank correlation of a signal and the forward return
+    (Spearman on min-rank percentiles; exact bucketed ranks per date)."""
+    from ..functions.ranking import rank_many
+
+    d = df.filter(F.col(signal).isNotNull() & F.col(forward).isNotNull()).select("date", signal, forward)
+    r = rank_many(d, ["date"], [(signal, "__rs"), (forward, "__rf")])
+    g = r.groupBy("date").agg(F.count(F.lit(1)).alias("n_names"), F.corr("__rs", "__rf").alias("__c"))
+    return g.select("date", "n_names", F.when(F.col("n_names") >= min_names, F.col("__c")).alias("ic"))
+
+
+def ic_summary(ic: DataFrame) -> DataFrame:
+    """M07 stability: mean, std and their ratio over dates (one row)."""
+    g = ic.agg(F.count("ic").alias("n_dates"), F.avg("ic").alias("mean_ic"), F.stddev_samp("ic").alias("std_ic"))
+    return g.withColumn("ic_ir", F.try_divide(F.col("mean_ic"), F.col("std_ic")))
+
+
+MACRO_STALE_DAYS = 35
+RATE_TREND_LOOKBACK = 63
+
+
+def macro_regime_inputs(calendar: DataFrame, macro: DataFrame, value: str = "rbi_repo_rate") -> DataFrame:
+    """Per trading day the latest macro record (as-of backward), its
+    age, the rate change over the last 63 records and the input label
+    (tightening / easing / stable; neutral when older than 35 days).
+    Both inputs are one row per day, so one ordered window over their union
+    is small (bounded by the calendar)."""
+    w = Window.orderBy("date")
+    m = macro.filter(F.col(value).isNotNull()).select(
+        "date", F.col(value).alias("__v"), (F.col(value) - F.lag(value, RATE_TREND_LOOKBACK).over(w)).alias("__chg"))
+    u = calendar.select("date", F.lit(1).alias("__k"), F.lit(None).cast("date").alias("__d"),
+                        F.lit(None).cast("double").alias("__v"), F.lit(None).cast("double").alias("__chg")).unionByName(
+        m.select("date", F.lit(0).alias("__k"), F.col("date").alias("__d"), "__v", "__chg"))
+    wr = Window.orderBy("date", "__k").rowsBetween(Window.unboundedPreceding, 0)
+    carried = F.last(F.when(F.col("__k") == 0, F.struct("__d", "__v", "__chg")), ignorenulls=True).over(wr)
+    u = u.select("date", "__k", carried.alias("__m"))
+    out = u.filter(F.col("__k") == 1).select("date", F.col("__m.__d").alias("macro_asof_date"),
+                                            F.col("__m.__v").alias("macro_rate"),
+                                            F.col("__m.__chg").alias("rate_change_63"))
+    age = F.datediff("date", "macro_asof_date")
+    label = (F.when(age.isNull() | (age > MACRO_STALE_DAYS), F.lit("neutral"))
+             .when(F.col("rate_change_63") > 0, F.lit("tightening"))
+             .when(F.col("rate_change_63") < 0, F.lit("easing")).otherwise(F.lit("stable")))
+    return out.select("date", "macro_asof_date", "macro_rate", "rate_change_63", age.alias("macro_age_days"),
+                      F.lit(None).cast("double").alias("inflation_trend"), label.alias("macro_regime_input"))
