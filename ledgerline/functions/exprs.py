@@ -246,4 +246,5 @@ def require_columns_present(df: DataFrame, columns: list[str]) -> DataFrame:
     cond = F.lit(True)
     for c in columns:
         cond = cond & F.col(c).isNotNull()
-    return df.withColumn("__req", F.assert_true(cond, F.lit(f"required columns missing: {columns}"))).drop("__req")
+    # a filter (not a dropped column) so the optimizer cannot prune the check away
+    return df.filter(F.assert_true(cond, F.lit(f"required columns missing: {columns}")).isNull())

@@ -110,7 +110,8 @@ def append_snapshot(df: DataFrame, path: str, operation: str = "append",
     if schema is not None:
         df = df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
                          for f in schema.fields])
-    sid = int(datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")) * 10 + uuid.uuid4().int % 10
+    now = datetime.now(timezone.utc)
+    sid = int(now.timestamp() * 1_000_000) * 10 + uuid.uuid4().int % 10  # epoch micros + a random digit
     df.withColumn("snapshot_id", F.lit(sid)).write.mode("append").partitionBy("snapshot_id").parquet(_data_path(path))
     log = spark.createDataFrame([(sid, datetime.now(timezone.utc).replace(tzinfo=None), operation)], COMMIT_SCHEMA)
     log.coalesce(1).write.mode("append").parquet(_log_path(path))
