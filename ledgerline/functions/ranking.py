@@ -90,3 +90,21 @@ def percent_rank_col(value: str | Column, by: list[str]) -> Column:
     """Plain window form (small groups only)."""
     v = F.col(value) if isinstance(value, str) else value
     return F.percent_rank().over(Window.partitionBy(*by).orderBy(v))
+
+
+def exact_median(df: DataFrame, by: list[str] | str, value: str, out: str = "median",
+                 buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Exact median per group (linear interpolation between the two middle
+    values, like ``percentile_cont(0.5)``) without buffering a group's
+    values in one task: the k-th smallest value is the largest value whose
+    exact min-rank is <= k, which is a partial aggregate over ranked rows."""
+    by = [by] if isinstance(by, str) else list(by)
+    d = df.select(*by, F.col(value).cast("double").alias("__x")).filter(F.col("__x").isNotNull())
+    r = rank_many(d, by, [("__x", "__r", False, False)], buckets)
+    n = r.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))  # one row per group
+    j = r.join(n, by)
+    lo = F.floor((F.col("__n") + 1) / 2)
+    hi = F.ceil((F.col("__n") + 1) / 2)
+    g = j.groupBy(*by).agg(F.max(F.when(F.col("__r") <= lo, F.col("__x"))).alias("__lo"),
+                           F.max(F.when(F.col("__r") <= hi, F.col("__x"))).alias("__hi"))
+    return g.select(*by, ((F.col("__lo") + F.col("__hi")) / 2.0).alias(out))

@@ -209,14 +209,19 @@ def performance_decay(df: DataFrame, label: str, pred: str) -> DataFrame:
 
 
 def drift_report(df: DataFrame, features: list[str]) -> DataFrame:
-    """Per (feature, week): NULL share, mean, exact median and the mean
-    change on the previous week (feature x week rows)."""
+    """Per (feature, week): NULL share, mean, exact median (from exact
+    bucketed ranks, no per-group value buffer) and the mean change on the
+    previous week (feature x week rows)."""
     long = df.select(F.date_trunc("week", F.col("date").cast("timestamp")).cast("date").alias("week"),
                      F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v"))
                                          for c in features])).alias("__f"))
-    g = long.groupBy(F.col("__f.feature").alias("feature"), "week").agg(
-        F.avg(F.col("__f.v").isNull().cast("double")).alias("null_share"), F.avg("__f.v").alias("mean"),
-        F.percentile(F.col("__f.v"), 0.5).alias("median"), F.count(F.lit(1)).alias("n"))
+    long = long.select(F.col("__f.feature").alias("feature"), "week", F.col("__f.v").alias("v"))
+    g = long.groupBy("feature", "week").agg(
+        F.avg(F.col("v").isNull().cast("double")).alias("null_share"), F.avg("v").alias("mean"),
+        F.count(F.lit(1)).alias("n"))
+    from ..functions.ranking import exact_median
+
+    g = g.join(exact_median(long, ["feature", "week"], "v"), ["feature", "week"], "left")
     w = Window.partitionBy("feature").orderBy("week")
     return g.withColumn("mean_change", F.col("mean") - F.lag("mean", 1).over(w))
 

@@ -24,3 +24,14 @@ def test_ntile_within_ties_share_tile(spark):
     out = {(r.x, r.t) for r in ntile_within(df, ["d"], "x", 5, "t").collect()}
     assert {t for x, t in out if x == 1.0} == {1}
     assert max(t for _, t in out) == 5
+
+
+def test_exact_median(spark):
+    import statistics
+
+    from ledgerline.functions.ranking import exact_median
+
+    rows = [(g, float(v)) for g, vals in {"a": [5, 1, 3, 3, 9, 2], "b": [7], "c": [4, 4, 1, 8, 2]}.items() for v in vals]
+    df = spark.createDataFrame(rows, "g string, x double")
+    got = {r.g: r.median for r in exact_median(df, ["g"], "x", buckets=4).collect()}
+    assert got == {"a": statistics.median([5, 1, 3, 3, 9, 2]), "b": 7.0, "c": 4.0}
