@@ -51,17 +51,30 @@ def _line_prices(li: DataFrame) -> DataFrame:
         (px * (1 - F.col("l_discount"))).alias("lo"),
         F.col("l_quantity").alias("qty"),
         F.struct("l_orderkey", "l_linenumber", "l_partkey").alias("k"),
+        F.when(F.col("l_returnflag") == "N", 1).otherwise(0).alias("is_n"),
+        F.when(F.col("l_linestatus") == "O", 1).otherwise(0).alias("is_o"),
+        F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("is_r"),
     )
 
 
+def supplier_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every per-(supplier, ship date) statistic the stand-ins need, in one
+    partial aggregate over ``lineitem``.  Bars, delivery and sentiment are
+    projections of this one plan, so Spark scans and shuffles the line items
+    once (the exchange is reused) and a hot supplier is combined map side."""
+    li = table(spark, sf_dir, "lineitem")
+    return (_line_prices(li).groupBy("symbol", "date")
+            .agg(F.min_by("px", "k").alias("open"), F.max("hi").alias("high"), F.min("lo").alias("low"),
+                 F.max_by("px", "k").alias("close"), F.sum("qty").cast("long").alias("volume"),
+                 F.avg("is_n").alias("share_n"), F.avg("is_o").alias("share_o"), F.avg("is_r").alias("share_r"),
+                 F.count(F.lit(1)).alias("n_lines")))
+
+
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily bars; the aggregation is partial (map side) so a hot supplier
     is combined before the shuffle, and a symbol never has more rows than
     there are calendar days."""
-    li = table(spark, sf_dir, "lineitem")
-    return (_line_prices(li).groupBy("symbol", "date")
-            .agg(F.min_by("px", "k").alias("open"), F.max("hi").alias("high"), F.min("lo").alias("low"),
-                 F.max_by("px", "k").alias("close"), F.sum("qty").cast("long").alias("volume")))
+    return supplier_days(spark, sf_dir).select("symbol", "date", "open", "high", "low", "close", "volume")
 
 
 BARS_SQL = f"""
@@ -131,10 +144,8 @@ UNIVERSE_SQL = f"SELECT {symbol_sql('s_suppkey')} AS symbol FROM supplier WHERE
 
 def delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """delivery_pct per (symbol, date): share of 'N' lines x 100, 1 decimal."""
-    li = table(spark, sf_dir, "lineitem")
-    pct = F.avg(F.when(F.col("l_returnflag") == "N", 1).otherwise(0)) * 100.0
-    return (li.groupBy(symbol_of("l_suppkey").alias("symbol"), F.col("l_shipdate").cast("date").alias("date"))
-            .agg(round_half_away(pct, 1).alias("delivery_pct")))
+    d = supplier_days(spark, sf_dir)
+    return d.select("symbol", "date", round_half_away(F.col("share_n") * 100.0, 1).alias("delivery_pct"))
 
 
 DELIVERY_SQL = f"""
@@ -177,11 +188,9 @@ WHERE dayofweek(b.date) = 1"""
 
 
 def sentiment_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
-    return (li.groupBy(symbol_of("l_suppkey").alias("symbol"), F.col("l_shipdate").cast("date").alias("fetch_date"))
-            .agg(F.avg(F.when(F.col("l_linestatus") == "O", 1).otherwise(0)).alias("bullish"),
-                 F.avg(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).alias("bearish"),
-                 F.count(F.lit(1)).alias("articles")))
+    d = supplier_days(spark, sf_dir)
+    return d.select("symbol", F.col("date").alias("fetch_date"), F.col("share_o").alias("bullish"),
+                    F.col("share_r").alias("bearish"), F.col("n_lines").alias("articles"))
 
 
 def sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
