@@ -112,7 +112,9 @@ def ema_many(df: DataFrame, specs: list[EmaSpec], by="symbol", order="date",
             cols.append((F.pow(F.lit(q), F.col(e)) * s_).alias(f"{tag}{i}_in"))
     df = df.select("*", *cols)
 
-    # pass 3/4: the two previous block ends
+    # pass 3/4: the two previous block ends.  Ordering by (block, order) keeps
+    # the sort of pass 2 (block is monotone in the order), so no re-sort.
+    prev = Window.partitionBy(*by).orderBy(blk, order).rowsBetween(Window.unboundedPreceding, -1)
     is_end = F.col(e) == (b - 1)
     df = df.select("*", *[F.last(F.when(is_end, F.col(f"{tag}{i}_in")), ignorenulls=True)
                           .over(prev).alias(f"{tag}{i}_e1") for i, _ in enumerate(specs)])

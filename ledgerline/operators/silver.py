@@ -129,6 +129,15 @@ def join_lifecycle(silver: DataFrame, lifecycle: DataFrame) -> DataFrame:
     return silver.join(lc, ["symbol"], "left")
 
 
+def with_first_listed(silver: DataFrame) -> DataFrame:
+    """JN6 without the join: ``first_listed_date`` as min(date) over the
+    symbol's rows (equal to joining the A01 lifecycle table; no exchange on
+    symbol-partitioned data)."""
+    from pyspark.sql import Window
+
+    return silver.withColumn("first_listed_date", F.min("date").over(Window.partitionBy("symbol")))
+
+
 def universe_semi(df: DataFrame, universe: DataFrame, symbol_col: str = "symbol") -> DataFrame:
     """JN8: keep rows whose symbol is in the universe."""
     u = universe.select(F.col(symbol_col).alias("__u")).distinct()

@@ -55,8 +55,9 @@ def gold(spark: SparkSession, sf_dir: str, keep_nulls: bool = False, silver_df:
          ts: str = DEFAULT_TS) -> DataFrame:
     """J14 lifecycle + J12 features."""
     s = silver_df if silver_df is not None else silver(spark, sf_dir)
-    lc = SV.stock_lifecycle(s, ts)
-    return FT.gold_features(SV.join_lifecycle(s, lc), keep_nulls=keep_nulls)
+    # JN6 as a window: on symbol-partitioned silver the first listed date is
+    # min(date) per symbol in the same pass (no second read of silver)
+    return FT.gold_features(SV.with_first_listed(s), keep_nulls=keep_nulls)
 
 
 def regime(spark: SparkSession, sf_dir: str, silver_df: DataFrame | None = None) -> DataFrame:
