@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..util import sdiv
+from ..util import safe_corr, sdiv
 
 # ---- fixed values of the spec / configs -----------------------------------------
 ROUND_TRIP_COST = {"india": 0.005, "us": 0.001}
@@ -82,7 +82,7 @@ def regression_metrics(df: DataFrame, actual: str, predicted: str, tier: str = "
     g = d.rollup(tier).agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(e)).alias("mae"),
                            F.sqrt(F.avg(e * e)).alias("rmse"),
                            F.avg(F.when(F.col(actual) != 0, F.abs(e / F.col(actual)))).alias("mape"),
-                           F.corr(predicted, actual).alias("corr"))
+                           safe_corr(predicted, actual).alias("corr"))
     return g
 
 

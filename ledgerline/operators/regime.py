@@ -140,10 +140,11 @@ def signal_ic(df: DataFrame, signal: str, forward: str, min_names: int = 3) -> D
     """Per-date rank correlation of a signal and the forward return
     (Spearman on min-rank percentiles; exact bucketed ranks per date)."""
     from ..functions.ranking import rank_many
+    from ..util import safe_corr
 
     d = df.filter(F.col(signal).isNotNull() & F.col(forward).isNotNull()).select("date", signal, forward)
     r = rank_many(d, ["date"], [(signal, "__rs"), (forward, "__rf")])
-    g = r.groupBy("date").agg(F.count(F.lit(1)).alias("n_names"), F.corr("__rs", "__rf").alias("__c"))
+    g = r.groupBy("date").agg(F.count(F.lit(1)).alias("n_names"), safe_corr("__rs", "__rf").alias("__c"))
     return g.select("date", "n_names", F.when(F.col("n_names") >= min_names, F.col("__c")).alias("ic"))
 
 

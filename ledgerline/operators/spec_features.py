@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..util import sdiv
+from ..util import safe_corr, sdiv
 
 # ---- fixed thresholds of the spec ----------------------------------------------
 NEAR_52W_HIGH, NEAR_52W_LOW = -0.05, 0.10
@@ -169,7 +169,7 @@ def volume_features(df: DataFrame, price: str = "close") -> DataFrame:
         F.when(n5, F.regr_slope(F.col("volume").cast("double"), "__x").over(f5)).alias("volume_trend_5d"),
         F.when(n5, F.regr_slope("obv", "__x").over(f5)).alias("obv_slope_5d"),
         F.when(n5, F.regr_slope("ad_line", "__x").over(f5)).alias("ad_line_slope_5d"),
-        F.when(F.count(price).over(f21) >= 21, F.corr(F.col(price), F.col("volume").cast("double")).over(f21))
+        F.when(F.count(price).over(f21) >= 21, safe_corr(price, "volume", f21))
         .alias("price_volume_correlation_21d"),
         rolling(F.avg, "obv", 10).alias("__obv_sma"),
         F.when(F.sum("__has_prev").over(f14) >= 14, F.sum("__pos").over(f14)).alias("__p14"),
@@ -323,7 +323,7 @@ def quant_extras(df: DataFrame, price: str = "close", ret: str = "return_1d", la
     cols = []
     for k in lags:
         pair = F.when(F.col(ret).isNotNull() & F.col(f"__r{k}").isNotNull(), 1)
-        cols.append(F.when(F.count(pair).over(frame) >= window, F.corr(ret, f"__r{k}").over(frame))
+        cols.append(F.when(F.count(pair).over(frame) >= window, safe_corr(ret, f"__r{k}", frame))
                     .alias(f"autocorr_lag{k}_{window}d"))
     mu, sd = rolling(F.avg, ret, window), rolling(F.stddev_samp, ret, window)
     df = df.select("*", *cols, mu.alias("__mu"), sd.alias("__sd"))

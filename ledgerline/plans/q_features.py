@@ -14,6 +14,7 @@ from ..sources import landing_text as LT
 from ..sources import testviews as TV
 from . import daily
 from . import oracle as O
+from ..util import safe_corr_sql
 from .catalog import query
 
 
@@ -172,7 +173,7 @@ FROM (
            AS volume_trend_5d,
          CASE WHEN count(volume) OVER {_w(n=5)} >= 5 THEN regr_slope(obv, x) OVER {_w(n=5)} END AS obv_slope_5d,
          CASE WHEN count(volume) OVER {_w(n=5)} >= 5 THEN regr_slope(ad_line, x) OVER {_w(n=5)} END AS ad_line_slope_5d,
-         CASE WHEN count(close) OVER {_w(n=21)} >= 21 THEN corr(close, CAST(volume AS DOUBLE)) OVER {_w(n=21)} END
+         CASE WHEN count(close) OVER {_w(n=21)} >= 21 THEN {safe_corr_sql('close', 'volume', _w(n=21))} END
            AS price_volume_correlation_21d,
          {rs('avg', 'obv', 10)} AS obv_sma,
          CASE WHEN sum(has_prev) OVER {_w(n=14)} >= 14 THEN sum(pos) OVER {_w(n=14)} END AS p14,
@@ -371,7 +372,7 @@ def fe30(spark, d):
 # ------------------------------------------------------------------------ FE31
 _AC = ", ".join(
     f"CASE WHEN count(CASE WHEN r IS NOT NULL AND r{k} IS NOT NULL THEN 1 END) OVER {_w(n=63)} >= 63 "
-    f"THEN corr(r, r{k}) OVER {_w(n=63)} END AS autocorr_lag{k}_63d" for k in range(1, 6))
+    f"THEN {safe_corr_sql('r', f'r{k}', _w(n=63))} END AS autocorr_lag{k}_63d" for k in range(1, 6))
 FE31 = f"""
 SELECT symbol, date, drawdown_252d, {", ".join(f"autocorr_lag{k}_63d" for k in range(1, 6))},
   CASE WHEN r IS NULL THEN NULL WHEN sd IS NOT NULL THEN least(greatest(r, mu - 3.0 * sd), mu + 3.0 * sd) ELSE r END

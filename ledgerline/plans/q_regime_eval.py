@@ -16,6 +16,7 @@ from ..sources import landing_text as LT
 from ..sources import testviews as TV
 from . import daily
 from . import oracle as O
+from ..util import safe_corr_sql
 from .catalog import query
 from .q_enrich import _E04, _E04_DEPS, _E04_EXTRA, _E11_DEPS, _E11_EXTRA
 from .q_enrich import _E11 as E11_SQL
@@ -151,8 +152,8 @@ SELECT date, signal, fwd FROM (
   SELECT date, close / NULLIF(lag(close, 21) OVER w, 0) - 1 AS signal, lead(close) OVER w / NULLIF(close, 0) - 1 AS fwd
   FROM silver WINDOW w AS (PARTITION BY symbol ORDER BY date)) t
 WHERE signal IS NOT NULL AND fwd IS NOT NULL"""
-_IC = """
-SELECT date, count(*) AS n_names, CASE WHEN count(*) >= 3 THEN corr(rs, rf) END AS ic
+_IC = f"""
+SELECT date, count(*) AS n_names, CASE WHEN count(*) >= 3 THEN {safe_corr_sql("rs", "rf")} END AS ic
 FROM (SELECT date, percent_rank() OVER (PARTITION BY date ORDER BY signal) AS rs,
              percent_rank() OVER (PARTITION BY date ORDER BY fwd) AS rf FROM icb) t GROUP BY date"""
 ICX = {"icb": _IC_BASE, "ic": _IC}
@@ -315,11 +316,11 @@ def v02(spark, d):
     return V.classification_metrics(ev_frame(spark, d), "label_direction_1d", "pred_direction", "return_5d")
 
 
-@query("v03_regression_metrics", _ev(["ev"], """
+@query("v03_regression_metrics", _ev(["ev"], f"""
 SELECT cap_tier, count(*) AS n, avg(abs(p - label_return_1d)) AS mae, sqrt(avg((p - label_return_1d) * (p - label_return_1d)))
          AS rmse,
        avg(CASE WHEN label_return_1d <> 0 THEN abs((p - label_return_1d) / label_return_1d) END) AS mape,
-       corr(p, label_return_1d) AS corr
+       {safe_corr_sql("p", "label_return_1d")} AS corr
 FROM (SELECT *, return_5d / 5.0 AS p FROM ev) x WHERE label_return_1d IS NOT NULL AND p IS NOT NULL
 GROUP BY ROLLUP (cap_tier)"""), {"mae": 6, "rmse": 6, "mape": 4, "corr": 6})
 def v03(spark, d):

@@ -79,3 +79,25 @@ def trailing_mean(c: str | Column, w: Window, n: int, strict: bool = True) -> Co
     if strict:
         return F.when(F.count(col(c)).over(frame) >= n, m)
     return m
+
+
+def safe_corr(x: str | Column, y: str | Column, w: Window | None = None) -> Column:
+    """Pearson correlation over pairs where both values are present, NULL
+    when a side has zero variance (``corr`` would divide by zero under ANSI).
+    Works as an aggregate or, with ``w``, as a window function."""
+    xc, yc = col(x).cast("double"), col(y).cast("double")
+    xm = F.when(yc.isNotNull(), xc)
+    ym = F.when(xc.isNotNull(), yc)
+    parts = [F.covar_pop(xm, ym), F.stddev_pop(xm), F.stddev_pop(ym)]
+    if w is not None:
+        parts = [p.over(w) for p in parts]
+    cov, sx, sy = parts
+    return F.try_divide(cov, sx * sy)
+
+
+def safe_corr_sql(x: str, y: str, over: str = "") -> str:
+    """The same correlation as SQL text (``over`` is an optional window clause)."""
+    xm = f"(CASE WHEN {y} IS NOT NULL THEN CAST({x} AS DOUBLE) END)"
+    ym = f"(CASE WHEN {x} IS NOT NULL THEN CAST({y} AS DOUBLE) END)"
+    o = f" OVER {over}" if over else ""
+    return f"(covar_pop({xm}, {ym}){o} / NULLIF(stddev_pop({xm}){o} * stddev_pop({ym}){o}, 0))"
