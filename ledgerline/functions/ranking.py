@@ -1,4 +1,4 @@
-"""Exact cross-sectional ranks without one task per group.
+"""Exact cross-sectional ranks without one task per large group.
 
 ``percent_rank() OVER (PARTITION BY date ORDER BY x)`` puts every symbol of
 a day into one task.  Here each group is split into value buckets whose
@@ -8,6 +8,10 @@ group, so bucket sizes are roughly even), ranks are computed inside
 values always land in the same bucket, so the result is exactly the window
 function's (``rank`` semantics for ties); only the bucket sizes are
 approximate.  NULL values get a NULL rank.
+
+The first pass (bounds and group sizes, one small row per group) decides
+the strategy: groups up to ``MAX_WINDOW_GROUP`` rows rank with ordinary
+windows (one exchange for all ranked columns); larger ones use buckets.
 """
 
 from __future__ import annotations
@@ -23,8 +27,23 @@ def _bucket(v, bounds):
     return F.when(v.isNotNull(), F.size(F.filter(F.array_distinct(bounds), lambda b: b < v)))
 
 
+# Largest group ranked with a plain window (one task sorts the group).
+MAX_WINDOW_GROUP = 1_000_000
+
+
+def _rank_windows(work: DataFrame, by: list[str], specs: list[tuple]) -> DataFrame:
+    """Small groups: ordinary rank windows; all specs share one exchange."""
+    out = work
+    for i, (_v, o, _d, percent) in enumerate(specs):
+        v = F.col(f"__v{i}")
+        w = Window.partitionBy(*by, v.isNull()).orderBy(v)
+        r = F.percent_rank().over(w) if percent else F.rank().over(w).cast("long")
+        out = out.withColumn(o, F.when(v.isNotNull(), r))
+    return out
+
+
 def rank_many(df: DataFrame, by: list[str] | str, specs: list[tuple], buckets: int = DEFAULT_BUCKETS,
-              materialize: bool = True) -> DataFrame:
+              materialize: bool = True, max_window_group: int = MAX_WINDOW_GROUP) -> DataFrame:
     """Rank several columns within ``by`` in one pass.
 
     ``specs``: (value column, output column[, descending[, percent]]).  One
@@ -46,6 +65,17 @@ def rank_many(df: DataFrame, by: list[str] | str, specs: list[tuple], buckets: i
     for i, _ in enumerate(specs):
         aggs += [F.percentile_approx(F.col(f"__v{i}"), qs, acc).alias(f"__q{i}"), F.count(f"__v{i}").alias(f"__n{i}")]
     bounds = work.groupBy(*by).agg(*aggs)  # one row per group
+    if max_window_group is not None:
+        # the first pass also measures the groups; small groups rank with plain
+        # windows, large ones with buckets (same result either way)
+        from ..session import cut_lineage
+
+        bounds = cut_lineage(bounds)
+        n_max = bounds.agg(F.greatest(*[F.max(f"__n{i}") for i in range(len(specs))], F.lit(0))
+                           .alias("m")).first()["m"]
+        if (n_max or 0) <= max_window_group:
+            out = _rank_windows(work, by, specs)
+            return out.drop(*[f"__v{i}" for i in range(len(specs))])
     j = work.join(bounds, by, "left")
     for i, _ in enumerate(specs):
         j = j.withColumn(f"__b{i}", _bucket(F.col(f"__v{i}"), F.col(f"__q{i}"))).drop(f"__q{i}")
@@ -69,17 +99,17 @@ def rank_many(df: DataFrame, by: list[str] | str, specs: list[tuple], buckets: i
 
 def rank_within(df: DataFrame, by: list[str] | str, value: str, out: str = "rank",
                 percent: bool = True, buckets: int = DEFAULT_BUCKETS, descending: bool = False,
-                materialize: bool = False) -> DataFrame:
+                materialize: bool = False, max_window_group: int | None = MAX_WINDOW_GROUP) -> DataFrame:
     """Add ``out`` = percent_rank (or rank) of ``value`` within ``by``."""
-    return rank_many(df, by, [(value, out, descending, percent)], buckets, materialize)
+    return rank_many(df, by, [(value, out, descending, percent)], buckets, materialize, max_window_group)
 
 
 def ntile_within(df: DataFrame, by: list[str] | str, value: str, n: int, out: str = "ntile",
-                 buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                 buckets: int = DEFAULT_BUCKETS, max_window_group: int | None = MAX_WINDOW_GROUP) -> DataFrame:
     """Decile-style tile from the exact rank: tile = floor((rank-1) * n / count) + 1
     (ties share a tile, unlike ``ntile()`` which splits them by position)."""
     by = [by] if isinstance(by, str) else list(by)
-    r = rank_within(df, by, value, "__r", percent=False, buckets=buckets)
+    r = rank_within(df, by, value, "__r", percent=False, buckets=buckets, max_window_group=max_window_group)
     cnt = r.filter(F.col(value).isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("__c"))
     r = r.join(cnt, by, "left")
     tile = F.floor((F.col("__r") - 1) * n / F.col("__c")) + 1
@@ -93,14 +123,14 @@ def percent_rank_col(value: str | Column, by: list[str]) -> Column:
 
 
 def exact_median(df: DataFrame, by: list[str] | str, value: str, out: str = "median",
-                 buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                 buckets: int = DEFAULT_BUCKETS, max_window_group: int | None = MAX_WINDOW_GROUP) -> DataFrame:
     """Exact median per group (linear interpolation between the two middle
     values, like ``percentile_cont(0.5)``) without buffering a group's
     values in one task: the k-th smallest value is the largest value whose
     exact min-rank is <= k, which is a partial aggregate over ranked rows."""
     by = [by] if isinstance(by, str) else list(by)
     d = df.select(*by, F.col(value).cast("double").alias("__x")).filter(F.col("__x").isNotNull())
-    r = rank_many(d, by, [("__x", "__r", False, False)], buckets)
+    r = rank_many(d, by, [("__x", "__r", False, False)], buckets, max_window_group=max_window_group)
     n = r.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))  # one row per group
     j = r.join(n, by)
     lo = F.floor((F.col("__n") + 1) / 2)
