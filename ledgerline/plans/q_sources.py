@@ -9,6 +9,7 @@ from ..operators import silver as SV
 from ..sources import landing as L
 from ..sources import landing_text as LT
 from ..sources import testviews as TV
+from ..util import exact_avg_sql, exact_sum_sql
 from . import daily
 from . import oracle as O
 from .catalog import query
@@ -59,10 +60,10 @@ def r05(spark, d):
                                                                   "volume")
 
 
-_CA = """
+_CA = f"""
 SELECT symbol, day, dividend, split FROM (
   SELECT 'U' || CAST(user_id AS VARCHAR) AS symbol, CAST(ts AS DATE) AS day,
-         sum(CASE WHEN event_type = 'purchase' THEN value END) AS dividend,
+         {exact_sum_sql("CASE WHEN event_type = 'purchase' THEN value END")} AS dividend,
          max(CASE WHEN event_type = 'signup' AND CAST(json_extract_string(props, '$.k') AS DOUBLE) >= 90
                   THEN CAST(json_extract_string(props, '$.k') AS DOUBLE) / 10.0 END) AS split
   FROM events GROUP BY 1, 2) t"""
@@ -139,8 +140,9 @@ SELECT {TV.symbol_sql('s_suppkey')} AS symbol,
        CASE WHEN s_acctbal > 0 THEN rev END AS total_revenue, rev * 0.1 AS net_income,
        CASE WHEN s_acctbal < 0 THEN -s_acctbal ELSE 0.0 END AS total_debt, rev * 0.05 AS operating_cashflow,
        CAST(s_acctbal > 1000 OR (s_acctbal > 0 AND rev IS NOT NULL) AS INTEGER) AS fundamental_presence_flag
-FROM supplier LEFT JOIN (SELECT l_suppkey, sum(l_extendedprice * (1 - l_discount)) AS rev, count(*) AS n,
-                                avg(l_discount) AS disc, avg(l_tax) AS tax FROM lineitem GROUP BY 1) a
+FROM supplier LEFT JOIN (SELECT l_suppkey, {exact_sum_sql('l_extendedprice * (1 - l_discount)', 4)} AS rev,
+                                count(*) AS n, {exact_avg_sql('l_discount')} AS disc, {exact_avg_sql('l_tax')} AS tax
+                         FROM lineitem GROUP BY 1) a
   ON s_suppkey = a.l_suppkey"""
 
 
@@ -153,8 +155,8 @@ def r09(spark, d):
     return L.flatten_fundamentals_json(LT.fundamentals_docs(spark, d))
 
 
-_DAY = """SELECT CAST(o_orderdate AS DATE) AS date, avg(o_totalprice) AS avgp, min(o_totalprice) AS minp,
-       max(o_totalprice) AS maxp, sum(o_totalprice) AS sump, count(*) AS cnt FROM orders GROUP BY 1"""
+_DAY = f"""SELECT CAST(o_orderdate AS DATE) AS date, {exact_avg_sql('o_totalprice')} AS avgp, min(o_totalprice) AS minp,
+       max(o_totalprice) AS maxp, {exact_sum_sql('o_totalprice')} AS sump, count(*) AS cnt FROM orders GROUP BY 1"""
 
 
 @query("r10_extract_macro_html", O.cte(["od"], """

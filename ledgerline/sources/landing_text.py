@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..util import exact_avg, exact_sum
+
 from ..util import round_half_away
 from .testviews import bars, table
 
@@ -80,7 +82,7 @@ def corporate_action_docs(spark: SparkSession, d: str) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("double")
     g = e.groupBy(F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("symbol"),
                   F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(
-        F.sum(F.when(F.col("event_type") == "purchase", F.col("value"))).alias("dividend"),
+        exact_sum(F.when(F.col("event_type") == "purchase", F.col("value"))).alias("dividend"),
         F.max(F.when((F.col("event_type") == "signup") & (k >= 90), k / 10.0)).alias("split"))
     doc = F.to_json(F.create_map(F.col("symbol"), F.create_map(F.col("day"), F.struct("dividend", "split"))))
     return g.select(doc.alias("json"))
@@ -114,8 +116,8 @@ def fundamentals_docs(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "supplier")
     li = table(spark, d, "lineitem")
     a = li.groupBy("l_suppkey").agg(
-        F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("rev"), F.count(F.lit(1)).alias("n"),
-        F.avg("l_discount").alias("disc"), F.avg("l_tax").alias("tax"))
+        exact_sum(F.col("l_extendedprice") * (1 - F.col("l_discount")), 4).alias("rev"), F.count(F.lit(1)).alias("n"),
+        exact_avg("l_discount").alias("disc"), exact_avg("l_tax").alias("tax"))
     j = s.join(a, s.s_suppkey == a.l_suppkey, "left")
     bal = F.col("s_acctbal")
     doc = F.struct(
@@ -133,8 +135,8 @@ def fundamentals_docs(spark: SparkSession, d: str) -> DataFrame:
 def _order_day_stats(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders")
     return o.groupBy(F.col("o_orderdate").cast("date").alias("date")).agg(
-        F.avg("o_totalprice").alias("avgp"), F.min("o_totalprice").alias("minp"), F.max("o_totalprice").alias("maxp"),
-        F.sum("o_totalprice").alias("sump"), F.count(F.lit(1)).alias("cnt"))
+        exact_avg("o_totalprice").alias("avgp"), F.min("o_totalprice").alias("minp"),
+        F.max("o_totalprice").alias("maxp"), exact_sum("o_totalprice").alias("sump"), F.count(F.lit(1)).alias("cnt"))
 
 
 def macro_html_pages(spark: SparkSession, d: str) -> DataFrame:

@@ -28,6 +28,30 @@ def round_half_away(c: str | Column, digits: int) -> Column:
     return F.round(col(c).cast("double") * F.lit(scale)) / F.lit(scale)
 
 
+def exact_sum(c: str | Column, scale: int = 2) -> Column:
+    """Sum of a money-like double as an exact decimal sum, returned as double.
+
+    A floating sum depends on the order rows arrive in (partitioning, shuffle
+    fetch order, a retried task), so a rerun after an executor loss could
+    differ in the last bit.  Values carrying ``scale`` decimals are summed
+    exactly in ``DECIMAL(18, scale)`` and converted once at the end.
+    """
+    return F.sum(col(c).cast(f"decimal(18,{scale})")).cast("double")
+
+
+def exact_avg(c: str | Column, scale: int = 2) -> Column:
+    """Order-independent mean: exact decimal sum / count of non-null values."""
+    return exact_sum(c, scale) / F.count(col(c))
+
+
+def exact_sum_sql(x: str, scale: int = 2) -> str:
+    return f"CAST(sum(CAST({x} AS DECIMAL(18,{scale}))) AS DOUBLE)"
+
+
+def exact_avg_sql(x: str, scale: int = 2) -> str:
+    return f"({exact_sum_sql(x, scale)} / count({x}))"
+
+
 def rounded(df: DataFrame, digits: int = 6, only: Iterable[str] | None = None,
             per_col: dict | None = None) -> DataFrame:
     """Round every double (or float) column for presentation / comparison."""

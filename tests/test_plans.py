@@ -35,6 +35,11 @@ def test_bars_aggregate_partially_before_shuffle(spark):
 
 def test_gold_windows_add_no_exchange(spark):
     plan = _plan(daily.gold(spark, SF001))
+    lines = [ln for ln in plan.split("\n") if "Exchange hashpartitioning" in ln]
+    # the scan parallelism guard (TV.spread_scan) spreads an under-split fact
+    # table on its own key right above the scan; it is counted apart
+    guard = [ln for ln in lines if "REPARTITION_BY_NUM" in ln]
+    assert all("l_orderkey" in ln or "o_orderkey" in ln for ln in guard)
     # sources: bars (1) + symbol repartitions of bronze, circuit, sentiment, delivery, sectors (5) + the
     # universe distinct (1); windows, the lifecycle and the joins add none
-    assert plan.count("Exchange hashpartitioning") <= 7
+    assert len(lines) - len(guard) <= 7
