@@ -9,9 +9,10 @@ values always land in the same bucket, so the result is exactly the window
 function's (``rank`` semantics for ties); only the bucket sizes are
 approximate.  NULL values get a NULL rank.
 
-The first pass (bounds and group sizes, one small row per group) decides
-the strategy: groups up to ``MAX_WINDOW_GROUP`` rows rank with ordinary
-windows (one exchange for all ranked columns); larger ones use buckets.
+A first pass counts the rows of each group and decides the strategy:
+groups up to ``MAX_WINDOW_GROUP`` rows rank with ordinary windows (one
+exchange for all ranked columns); larger ones use buckets, whose bounds
+(one small row per group) are only computed then.
 """
 
 from __future__ import annotations
@@ -61,21 +62,20 @@ def rank_many(df: DataFrame, by: list[str] | str, specs: list[tuple], buckets: i
     for i, (v, _o, desc, _p) in enumerate(specs):
         key = -F.col(v) if desc else F.col(v)
         work = work.withColumn(f"__v{i}", key.cast("double"))
-    aggs = []
-    for i, _ in enumerate(specs):
-        aggs += [F.percentile_approx(F.col(f"__v{i}"), qs, acc).alias(f"__q{i}"), F.count(f"__v{i}").alias(f"__n{i}")]
-    bounds = work.groupBy(*by).agg(*aggs)  # one row per group
     if max_window_group is not None:
-        # the first pass also measures the groups; small groups rank with plain
-        # windows, large ones with buckets (same result either way)
-        from ..session import cut_lineage
-
-        bounds = cut_lineage(bounds)
-        n_max = bounds.agg(F.greatest(*[F.max(f"__n{i}") for i in range(len(specs))], F.lit(0))
-                           .alias("m")).first()["m"]
+        # measure the groups first (a row count per group: the optimizer
+        # prunes the input to the grouping keys and what filters need); small
+        # groups rank with plain windows, large ones with buckets (same result
+        # either way).  The quantile sketches are only built for buckets.
+        n_max = (df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
+                 .agg(F.max("__n").alias("m")).first()["m"])
         if (n_max or 0) <= max_window_group:
             out = _rank_windows(work, by, specs)
             return out.drop(*[f"__v{i}" for i in range(len(specs))])
+    aggs = []
+    for i, _ in enumerate(specs):
+        aggs += [F.percentile_approx(F.col(f"__v{i}"), qs, acc).alias(f"__q{i}"), F.count(f"__v{i}").alias(f"__n{i}")]
+    bounds = work.groupBy(*by).agg(*aggs)  # one row per group
     j = work.join(bounds, by, "left")
     for i, _ in enumerate(specs):
         j = j.withColumn(f"__b{i}", _bucket(F.col(f"__v{i}"), F.col(f"__q{i}"))).drop(f"__q{i}")
