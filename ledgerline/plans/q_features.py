@@ -14,7 +14,7 @@ from ..sources import landing_text as LT
 from ..sources import testviews as TV
 from . import daily
 from . import oracle as O
-from ..util import safe_corr_sql
+from ..util import exact_avg_sql, safe_corr_sql
 from .catalog import query
 
 
@@ -245,11 +245,11 @@ def fe19(spark, d):
 
 
 # ------------------------------------------------------------------------ FE22
-_MACRO_DAY = """
+_MACRO_DAY = f"""
 SELECT CAST(o_orderdate AS DATE) AS date,
-       CASE WHEN count(*) >= 5 THEN avg(o_totalprice) / 10000.0 END AS vix,
+       CASE WHEN count(*) >= 5 THEN {exact_avg_sql('o_totalprice')} / 10000.0 END AS vix,
        CASE WHEN count(*) > 6 THEN ROUND(min(o_totalprice) / 20000.0 * 100) / 100
-            ELSE ROUND(avg(o_totalprice) / 50000.0 * 100) / 100 END AS repo
+            ELSE ROUND({exact_avg_sql('o_totalprice')} / 50000.0 * 100) / 100 END AS repo
 FROM orders GROUP BY 1"""
 FE22 = f"""
 SELECT market_context, date, index_return_21d, index_vs_sma_50, vix_level, macro_rate,
@@ -341,12 +341,12 @@ def fe28(spark, d):
 
 
 # ------------------------------------------------------------------------ FE29
-@query("fe29_institutional_flags", """
+@query("fe29_institutional_flags", f"""
 SELECT ('S' || CAST(s_suppkey AS VARCHAR) || CASE s_suppkey % 3 WHEN 0 THEN '.NS' WHEN 1 THEN '.BO' ELSE '' END)
          AS symbol, disc AS held_percent_institutions,
        CASE WHEN disc IS NULL THEN NULL WHEN disc > 0.70 THEN 1 ELSE 0 END AS institutional_high_flag,
        CAST(NULL AS INTEGER) AS promoter_pledging_flag
-FROM supplier LEFT JOIN (SELECT l_suppkey, avg(l_discount) AS disc FROM lineitem GROUP BY 1) a
+FROM supplier LEFT JOIN (SELECT l_suppkey, {exact_avg_sql('l_discount')} AS disc FROM lineitem GROUP BY 1) a
   ON s_suppkey = a.l_suppkey""", ["held_percent_institutions"])
 def fe29(spark, d):
     """FE29: institutional holding above 70 %; pledging has no source (NULL)."""

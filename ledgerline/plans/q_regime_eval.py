@@ -16,7 +16,7 @@ from ..sources import landing_text as LT
 from ..sources import testviews as TV
 from . import daily
 from . import oracle as O
-from ..util import safe_corr_sql
+from ..util import exact_avg_sql, safe_corr_sql
 from .catalog import query
 from .q_enrich import _E04, _E04_DEPS, _E04_EXTRA, _E11_DEPS, _E11_EXTRA
 from .q_enrich import _E11 as E11_SQL
@@ -26,7 +26,7 @@ from .q_labels import EXTRA as LAB_EXTRA
 from .q_labels import labels
 
 # ------------------------------------------------------------------ regime M01-M03
-VIX_DAY = """SELECT CAST(o_orderdate AS DATE) AS date, CASE WHEN count(*) >= 5 THEN avg(o_totalprice) / 10000.0 END AS vix
+VIX_DAY = f"""SELECT CAST(o_orderdate AS DATE) AS date, CASE WHEN count(*) >= 5 THEN {exact_avg_sql('o_totalprice')} / 10000.0 END AS vix
              FROM orders GROUP BY 1"""
 _M01 = """
 SELECT *, CASE WHEN vix > 25.0 THEN 'high_vol'
