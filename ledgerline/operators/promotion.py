@@ -96,8 +96,14 @@ def lookahead_mismatches(full: DataFrame, cut: DataFrame, cutoff: str) -> DataFr
     """Rows on or before the cutoff that differ between features built on
     all data and on data cut at the cutoff (must be zero)."""
     a = full.filter(F.col("date") <= F.lit(cutoff).cast("date"))
-    diff = a.exceptAll(cut).unionByName(cut.exceptAll(a))
-    return diff.agg(F.count(F.lit(1)).alias("mismatched_rows")).select(
+    cols = a.columns
+    # the multiset difference in both directions, counted in one aggregate:
+    # per distinct row |copies in full - copies in cut| (two exceptAll would
+    # each evaluate both feature builds)
+    tagged = a.select(*cols, F.lit(1).alias("__t")).unionByName(cut.select(*cols, F.lit(-1).alias("__t")))
+    per_row = tagged.groupBy(*cols).agg(F.sum("__t").alias("__d"))
+    n = F.coalesce(F.sum(F.abs("__d")), F.lit(0)).cast("long")
+    return per_row.agg(n.alias("mismatched_rows")).select(
         F.lit(cutoff).cast("date").alias("cutoff_date"), "mismatched_rows")
 
 

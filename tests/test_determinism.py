@@ -50,3 +50,15 @@ def test_spread_scan_only_on_under_split_input(spark):
     # an input with enough splits is returned unchanged
     many = raw.repartition(target * 2)
     assert TV.spread_scan(many, ("l_orderkey",)) is many
+
+
+def test_lookahead_counts_multiset_differences(spark):
+    from ledgerline.operators import promotion as P
+
+    df = spark.createDataFrame([("a", "1999-01-01", 1.0), ("b", "1999-01-02", None), ("c", "1999-01-03", 2.0),
+                                ("d", "2000-02-01", 3.0)], "s string, date string, x double"
+                               ).selectExpr("s", "cast(date as date) date", "x")
+    assert P.lookahead_mismatches(df, df.filter("date <= '1999-12-31'"), "1999-12-31").first()[1] == 0
+    # one row missing and one row twice: two mismatches (NULLs compare equal)
+    cut = df.filter("s IN ('a', 'b')").unionByName(df.filter("s = 'a'"))
+    assert P.lookahead_mismatches(df, cut, "1999-12-31").first()[1] == 2
