@@ -43,3 +43,9 @@ def test_gold_windows_add_no_exchange(spark):
     # sources: bars (1) + symbol repartitions of bronze, circuit, sentiment, delivery, sectors (5) + the
     # universe distinct (1); windows, the lifecycle and the joins add none
     assert len(lines) - len(guard) <= 7
+
+
+def test_bars_aggregate_is_hash_based(spark):
+    # a fixed-width ordering key keeps min_by / max_by in a hash aggregate
+    plan = _plan(TV.bars(spark, SF001))
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
