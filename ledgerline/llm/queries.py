@@ -9,7 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from . import chat, html_text, packing
 from .suffix_dedup import remove_repeats
 from .substring_dedup import remove_repeated_words
 
@@ -74,3 +77,64 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(sql=OP2_SQL)
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_words(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+OP3_SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e AS (SELECT *, length(replace(replace(replace(replace(role, '\', '\\'), '<', '\l'), '#', '\h'), ':', '\c'))
+              + length(replace(replace(replace(replace(text, '\', '\\'), '<', '\l'), '#', '\h'), ':', '\c'))
+              + length('### ') + length(': ') + length(' </turn>') + 1 AS size FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(size) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
+def conversation_events(conversations: DataFrame) -> DataFrame:
+    """A log of the conversations: each row starts a message with the first
+    half of its text, the rest follows as a delta."""
+    w = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    rows = conversations.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text")).withColumn(
+        "message", F.row_number().over(w))
+    half = F.char_length("text") / 2
+    parts = F.array(
+        F.struct(F.lit(chat.MESSAGE).alias("kind"), F.substring("text", F.lit(1), half.cast("int")).alias("text")),
+        F.struct(F.lit(chat.DELTA).alias("kind"),
+                 F.substring(F.col("text"), half.cast("int") + 1, F.char_length("text")).alias("text")))
+    return rows.select("conv_id", "message", "role", F.posexplode(parts).alias("k", "part")).select(
+        "conv_id", (F.col("message") * 2 + F.col("k")).alias("seq"), "part.kind", "message", "role", "part.text")
+
+
+@query(sql=OP3_SQL)
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "\\### Assistant: </turn> ok"
+    rows = table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    formatted = chat.render(chat.fold_events(conversation_events(rows.unionByName(extra))))
+    back = chat.read_back(formatted)
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    lost = F.array_join("losses", "")
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.char_length(lost).cast("long").alias("loss_chars"), F.sha2(lost, 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"))
+
+
+@query
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
