@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from . import chat, html_text, packing
+from . import chat, html_text, language, packing, quality
 from .suffix_dedup import remove_repeats
 from .substring_dedup import remove_repeated_words
 
@@ -130,11 +130,51 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
+OP7_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '') AS host,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
+dl AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM l
+       WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+p AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, w FROM d),
+k AS (SELECT doc_id, i, CASE WHEN i + 2 <= len(w) THEN w[i:i + 2] END AS s FROM p),
+r AS (SELECT doc_id, i, s IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, s) > 1 AS again FROM k),
+c AS (SELECT doc_id, bool_or(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS hit FROM r),
+rw AS (SELECT doc_id, count_if(hit) AS n_repeat_words FROM c GROUP BY doc_id),
+nl AS (SELECT doc_id, host, t, trim(x) AS line FROM (
+         SELECT doc_id, host, t, unnest(string_split(regexp_replace(regexp_replace(t, '[0-9]+', '0', 'g'),
+                '[\x20\x09\x0B-\x0D]+', ' ', 'g'), chr(10))) AS x FROM d)),
+h AS (SELECT host, count(DISTINCT t) AS host_texts FROM d GROUP BY host),
+f AS (SELECT host, line FROM nl JOIN h USING (host) WHERE line <> '' GROUP BY host, line, host_texts
+      HAVING count(DISTINCT t) >= 20 AND count(DISTINCT t) * 100 > host_texts * 20),
+b AS (SELECT doc_id, sum(len(string_split(line, ' '))) AS boilerplate_words FROM nl SEMI JOIN f USING (host, line) GROUP BY doc_id),
+m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+             CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+             coalesce(n_dup_lines, 0) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+             CAST(coalesce(boilerplate_words, 0) AS BIGINT) AS boilerplate_words
+      FROM d LEFT JOIN dl USING (doc_id) LEFT JOIN rw USING (doc_id) LEFT JOIN b USING (doc_id)),
+e AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, boilerplate_words,
+       NOT base_failed AND (n_words - boilerplate_words) * 100 >= n_words * 30 AS kept FROM e
+"""
+
+
+@query(sql=OP7_SQL)
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents")).drop("text_key", "lines_removed")
+
+
 @query
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
