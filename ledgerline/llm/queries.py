@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from . import chat, html_text, language, packing, quality
+from . import chat, html_text, language, near_dedup, packing, quality
 from .suffix_dedup import remove_repeats
 from .substring_dedup import remove_repeated_words
 
@@ -130,6 +130,30 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
+OP6_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, unnest(range(1, greatest(len(w), 2))) AS i, w FROM d WHERE len(w) > 0),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS x FROM p),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+t AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.x = b.x AND a.doc_id < b.doc_id
+      GROUP BY a.doc_id, b.doc_id),
+k AS (SELECT a, b FROM t JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM k UNION SELECT b, a FROM k),
+r AS (SELECT a AS node, b AS other FROM e UNION SELECT r.node, e.b FROM r JOIN e ON r.other = e.a),
+g AS (SELECT node, least(node, min(other)) AS component FROM r GROUP BY node)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(g.component, d.doc_id) AS component_id,
+       coalesce(g.component, d.doc_id) = d.doc_id AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN g ON g.node = d.doc_id
+"""
+
+
+@query(sql=OP6_SQL)
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=2)
+
+
 OP7_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '') AS host,
