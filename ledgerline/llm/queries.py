@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from . import chat, html_text, language, near_dedup, packing, quality
+from . import chat, html_text, language, near_dedup, order_minhash, packing, quality
 from .suffix_dedup import remove_repeats
 from .substring_dedup import remove_repeated_words
 
@@ -130,6 +130,16 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
+@query
+def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = order_minhash.fingerprints(table(spark, sf_dir, "documents"))
+    return d.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        order_minhash.as_text("print").alias("fingerprint"), order_minhash.as_text("edited_print").alias("edited_fingerprint"),
+        order_minhash.likeness("print", "edited_print").alias("near_edited"),
+        order_minhash.likeness("print", "next_print").alias("near_next"))
+
+
 OP6_SQL = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
