@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from . import chat, html_text, language, near_dedup, order_minhash, packing, quality
+from . import chat, html_text, language, near_dedup, order_minhash, packing, quality, sentence_bpe
 from .suffix_dedup import remove_repeats
 from .substring_dedup import remove_repeated_words
 
@@ -130,6 +130,18 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
+@query
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    ids = sentence_bpe.encode(docs).select(
+        "doc_id", F.coalesce("text", F.lit("")).alias("text"), "ids", F.size("ids").cast("long").alias("n_ids"),
+        F.xxhash64("ids").alias("ids_hash"))
+    back = sentence_bpe.decode(ids, keep=("doc_id", "text", "n_ids", "ids_hash"))
+    return back.select(
+        "doc_id", F.char_length("text").cast("long").alias("n_chars"), "n_ids", "ids_hash",
+        F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == F.col("text")).alias("lossless"))
+
+
 @query
 def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = order_minhash.fingerprints(table(spark, sf_dir, "documents"))

@@ -28,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
