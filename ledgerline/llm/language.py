@@ -23,7 +23,10 @@ from .shared import prepare
 UNKNOWN = "und"
 #: Bounded sample: labelled texts per language, and landmarks among them.
 TRAIN_PER_LABEL, LANDMARKS_PER_LABEL = 160, 24
+SHARES = 32
 RIDGE = 1e-3
+#: A prediction scored below this is no accepted language.
+MIN_SCORE = 0.2
 GRAM2, GRAM3 = 1 << 13, 1 << 14
 WIDTH = 256 + GRAM2 + GRAM3
 BATCH_DOCS, BATCH_BYTES = 128, 1 << 20
@@ -93,10 +96,12 @@ def training_rows(docs: DataFrame, text_col: str, label_col: str, learn: Column,
     rows = docs.where(learn & F.col(label_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(
         F.col(text_col).cast("string").alias("text"), F.col(label_col).cast("string").alias("label"))
     keys = rows.select("label", F.xxhash64("text").alias("key"))
-    first = Window.partitionBy("label").orderBy("key")
-    # row_number would count copies; the group limit still runs before the shuffle
-    chosen = keys.groupBy("label", "key").agg(F.lit(1).alias("one")).withColumn("rank", F.row_number().over(first))
-    keys = [(r.label, r.key) for r in chosen.where(F.col("rank") <= per_label).select("label", "key").collect()]
+    # copies count once; shares of a label are cut first, so no task reads more than SHARES * per_label rows of it
+    keys = keys.groupBy("label", "key").agg(F.pmod("key", F.lit(SHARES)).alias("share"))
+    for by in (["label", "share"], ["label"]):
+        rank = F.row_number().over(Window.partitionBy(*by).orderBy("key"))
+        keys = keys.withColumn("rank", rank).where(F.col("rank") <= per_label).drop("rank")
+    keys = [(r.label, r.key) for r in keys.select("label", "key").collect()]
     if not keys:
         return []
     found = (rows.where(F.xxhash64("text").isin([k for _, k in keys]))
@@ -105,6 +110,33 @@ def training_rows(docs: DataFrame, text_col: str, label_col: str, learn: Column,
     return [(r.text, r.label) for r in sorted(found, key=lambda r: (r.key, r.label)) if (r.label, r.key) in wanted]
 
 
+def score_texts(column, model: Model | None, marks: np.ndarray | None) -> tuple[list[str], list[float]]:
+    """Label and score of each text of an Arrow column."""
+    data, offsets = text_buffer(column)
+    labels, scores = [], []
+    for a, b in pieces(offsets, BATCH_BYTES):
+        for first in range(a, b, BATCH_DOCS):
+            last = min(b, first + BATCH_DOCS)
+            base = offsets[first]
+            part, bounds = data[base:offsets[last]], offsets[first:last + 1] - base
+            folded = FOLD[part] != 32
+            latin = np.concatenate(([0], np.cumsum(folded)))
+            letters = latin[bounds[1:]] > latin[bounds[:-1]]
+            plain = np.concatenate(([0], np.cumsum(folded & (part < 128))))
+            for i in np.flatnonzero(letters & (plain[bounds[1:]] == plain[bounds[:-1]])):
+                letters[i] = any(c.isalpha() for c in part[bounds[i]:bounds[i + 1]].tobytes().decode())
+            if model is None:
+                labels += [UNKNOWN] * (last - first)
+                scores += [0.0] * (last - first)
+                continue
+            value = (normalised(presence(part, bounds)) @ marks) @ model.weights
+            best = value.argmax(axis=1)
+            score = np.clip((value[np.arange(len(best)), best] + 1) / 2, 0, 1)
+            labels += [model.labels[k] if ok else UNKNOWN for k, ok in zip(best, letters)]
+            scores += np.where(letters, score, 0.0).astype(float).tolist()
+    return labels, scores
+
+
 def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score) of each row by ``model``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -113,27 +145,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
         m = shared.value
         marks = m.matrix() if m else None
         for batch in batches:
-            data, offsets = text_buffer(batch.column(1))
-            labels, scores = [], []
-            for a, b in pieces(offsets, BATCH_BYTES):
-                for first in range(a, b, BATCH_DOCS):
-                    last = min(b, first + BATCH_DOCS)
-                    base = offsets[first]
-                    part, bounds = data[base:offsets[last]], offsets[first:last + 1] - base
-                    latin = np.concatenate(([0], np.cumsum(FOLD[part] != 32)))
-                    letters = latin[bounds[1:]] > latin[bounds[:-1]]
-                    plain = np.concatenate(([0], np.cumsum((FOLD[part] != 32) & (part < 128))))
-                    for i in np.flatnonzero(letters & (plain[bounds[1:]] == plain[bounds[:-1]])):
-                        letters[i] = any(c.isalpha() for c in part[bounds[i]:bounds[i + 1]].tobytes().decode())
-                    if m is None:
-                        labels += [UNKNOWN] * (last - first)
-                        scores += [0.0] * (last - first)
-                        continue
-                    value = (normalised(presence(part, bounds)) @ marks) @ m.weights
-                    best = value.argmax(axis=1)
-                    score = np.clip((value[np.arange(len(best)), best] + 1) / 2, 0, 1)
-                    labels += [m.labels[k] if ok else UNKNOWN for k, ok in zip(best, letters)]
-                    scores += np.where(letters, score, 0.0).astype(float).tolist()
+            labels, scores = score_texts(batch.column(1), m, marks)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(labels, pa.string()), pa.array(scores, pa.float64())],
                 ["doc_id", "lang_pred", "score"])
@@ -142,6 +154,33 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
+def model_of(docs: DataFrame, id_col: str, text_col: str, label_col: str, per_label: int) -> Model | None:
+    sample = training_rows(docs, text_col, label_col, ~held_out(id_col), per_label)
+    return fit([t for t, _ in sample], [x for _, x in sample]) if sample else None
+
+
+def accepted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang",
+             per_label: int = TRAIN_PER_LABEL, min_score: float = MIN_SCORE) -> DataFrame:
+    """``docs`` without the rows whose language is unknown (``und``) or scored
+    below ``min_score``; all columns are kept, texts do not move.  With no
+    labelled row there is no model, and only texts without letters go."""
+    prepare(docs.sparkSession)
+    model = model_of(docs, id_col, text_col, label_col, per_label)
+    if model is None:
+        return docs.where(F.col(text_col).rlike(r"\p{L}"))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        marks = m.matrix()
+        for batch in batches:
+            labels, scores = score_texts(batch.column(at), m, marks)
+            yield batch.filter(pa.array([x != UNKNOWN and s >= min_score for x, s in zip(labels, scores)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """Documents that are never learned from."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -159,6 +198,5 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     gives an empty result.  Other columns are not read.
     """
     prepare(docs.sparkSession)
-    sample = training_rows(docs, text_col, label_col, ~held_out(id_col), per_label)
-    model = fit([t for t, _ in sample], [x for _, x in sample]) if sample else None
+    model = model_of(docs, id_col, text_col, label_col, per_label)
     return predict(docs, model, id_col, text_col).select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")

@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +29,8 @@ TREES, DEPTH, DEEPEST = 21, 3, 10
 #: Regions up to this size are compared pair by pair; larger ones are split.
 REGION = 24
 CHUNK_BYTES = 1 << 20
-NO_ID = (1 << 63) - 1
+#: Documents without an id are numbered from here by the hash of their set.
+NO_ID = 1 << 62
 _SEEDS = mix(np.arange(1, 2 * TREES * DEPTH + 1, dtype=U) * U(0xC2B2AE3D27D4EB4F))
 
 
@@ -57,7 +59,8 @@ def shingle_sets(data: np.ndarray, bounds: np.ndarray, words: int) -> tuple[np.n
 
 
 def signatures(docs: DataFrame, words: int) -> DataFrame:
-    """(node, n, h1, h2, sig): set size, two hashes of the set, its MinHashes."""
+    """(node, text_key, n, h1, h2, sig): set size, two hashes of the set, its
+    MinHashes.  ``docs``: id, text, text_key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         functions = TREES * DEPTH
@@ -78,12 +81,14 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
                         x ^= x >> U(29)
                         x *= U(0xFF51AFD7ED558CCD)
                         sig[some, j] = np.minimum.reduceat((x >> U(32)).astype(np.uint32), cut)
+                unnamed = pa.array((h1 >> U(2)).astype(np.int64) + NO_ID)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(a, b - a), pa.array(size.astype(np.int64)), pa.array(h1.view(np.int64)),
+                    pa.compute.coalesce(batch.column(0).slice(a, b - a), unnamed), batch.column(2).slice(a, b - a),
+                    pa.array(size.astype(np.int64)), pa.array(h1.view(np.int64)),
                     pa.array(h2.view(np.int64)), pa.array([s.tobytes() for s in sig], pa.binary())],
-                    ["node", "n", "h1", "h2", "sig"])
+                    ["node", "text_key", "n", "h1", "h2", "sig"])
 
-    return docs.mapInArrow(run, "node long, n long, h1 long, h2 long, sig binary")
+    return docs.mapInArrow(run, "node long, text_key long, n long, h1 long, h2 long, sig binary")
 
 
 def tree_keys(reps: DataFrame, depths: range) -> DataFrame:
@@ -138,7 +143,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """(node, names): full shingle sets of the documents in ``nodes``."""
+    """(node, names): full shingle sets of the ``nodes`` (node, id, text_key)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -151,7 +156,7 @@ def sets_of(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
                     pa.array([raw[8 * x:8 * y] for x, y in zip(at[:-1].tolist(), at[1:].tolist())], pa.binary())],
                     ["node", "names"])
 
-    return docs.join(nodes, "node", "left_semi").select("node", "text").mapInArrow(run, "node long, names binary")
+    return docs.join(nodes, ["node", "text_key"]).select("node", "text").mapInArrow(run, "node long, names binary")
 
 
 def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
@@ -181,24 +186,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     A document with fewer words is one shingle; without words (or with a null
     text) it has none, is linked with nothing and kept.  Rows of one id are
-    one document; rows without an id are one document, which comes last: its
-    component_id is null if it reaches no other.  Of rows of one id and text
-    each gives a row.  An empty table gives an empty result.  Other columns
-    of ``docs`` are not read.
+    one document.  Documents without an id are told apart by their sets and
+    rank last, so their component_id is null where they reach no other.
+    Repeated rows give a row each.  An empty table gives an empty result.
+    Other columns of ``docs`` are not read.  text_key (a hash of the text)
+    and group (the component's internal number) identify rows for callers.
     """
     spark = docs.sparkSession
     prepare(spark)
-    source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("node"),
-                         F.col(text_col).cast("string").alias("text"))
+    source = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    source = source.withColumn("text_key", F.xxhash64("text"))
     sigs = written(signatures(source, words), "signatures")
     some = sigs.where("n > 0")
-    classes = written(some.groupBy("h1", "h2").agg(F.min(F.struct("node", "n", "sig")).alias("r"))
-                      .select("h1", "h2", "r.node", "r.n", "r.sig"), "classes")
+    classes = written(some.groupBy("h1", "h2").agg(F.min(F.struct("node", "n", "text_key", "sig")).alias("r"))
+                      .select("h1", "h2", "r.*"), "classes")
     # one set per node, though rows of one id may hold several
-    reps = classes.groupBy("node").agg(F.min(F.struct("n", "sig")).alias("r")).select("node", "r.*")
+    reps = classes.groupBy("node").agg(F.min(F.struct("n", "text_key", "sig")).alias("r")).select("node", "r.*")
     members = regions(tree_keys(reps, range(DEPTH, DEPTH + 1)), "regions")
-    wanted = members.select("node").distinct()
-    sets = written(sets_of(source, wanted, words).groupBy("node").agg(F.min("names").alias("names")), "sets", "none")
+    wanted = members.select("node").distinct().join(reps.select("node", "text_key"), "node")
+    # rows of one id and text are read once; documents without an id are found by their text
+    texts = source.select(F.col("id").alias("node"), "text_key", "text")
+    named = sets_of(texts.where("node is not null"), wanted.where(F.col("node") < NO_ID), words)
+    unnamed = sets_of(texts.where("node is null").drop("node").join(
+        wanted.where(F.col("node") >= NO_ID).withColumnRenamed("text_key", "key"), F.col("text_key") == F.col("key")
+    ).select("node", "text_key", "text"), wanted.where(F.col("node") >= NO_ID), words)
+    sets = written(named.unionByName(unnamed).groupBy("node").agg(F.min("names").alias("names")), "sets", "none")
 
     # 1. each document with the smallest pivot of its regions
     nearest = _stars(members, percent).groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
@@ -236,8 +248,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     by_class = written(classes.select("node", "h1", "h2").join(roots, "node", "left").select(
         "h1", "h2", F.coalesce("root", "node").alias("root")), "class-roots")
-    joined = some.select("node", "n", "h1", "h2").join(by_class, ["h1", "h2"]).select("node", "n", "root").unionByName(
-        sigs.where("n = 0").select("node", "n", F.col("node").alias("root")))
+    joined = some.select("node", "text_key", "n", "h1", "h2").join(by_class, ["h1", "h2"]).select(
+        "node", "text_key", "n", "root").unionByName(
+        sigs.where("n = 0").select("node", "text_key", "n", F.col("node").alias("root")))
     return joined.select(
-        F.when(F.col("node") != NO_ID, F.col("node")).alias("doc_id"), F.col("n").alias("n_shingles"),
-        F.when(F.col("root") != NO_ID, F.col("root")).alias("component_id"), (F.col("node") == F.col("root")).alias("kept"))
+        F.when(F.col("node") < NO_ID, F.col("node")).alias("doc_id"), F.col("n").alias("n_shingles"),
+        F.when(F.col("root") < NO_ID, F.col("root")).alias("component_id"), (F.col("node") == F.col("root")).alias("kept"),
+        "text_key", F.col("root").alias("group"))
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
+                    percent: int = 80) -> DataFrame:
+    """``docs`` with one document of each component; documents without words
+    stay.  All columns are kept; repeated rows of a document go."""
+    found = near_duplicates(docs, id_col, text_col, words, percent).where("kept")
+    one = found.where("n_shingles > 0").groupBy("group").agg(F.min(F.struct("text_key", "doc_id")).alias("r")).select("r.*")
+    one = one.unionByName(found.where("n_shingles = 0").select("text_key", "doc_id").distinct())
+    one = one.select(F.col("text_key").alias("_key"), F.col("doc_id").alias("_id"))
+    keyed = docs.withColumn("_text_key", F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    kept = keyed.join(one, (F.col("_text_key") == F.col("_key")) & F.col(id_col).eqNullSafe(F.col("_id")))
+    return kept.dropDuplicates(["_text_key", id_col]).select(*docs.columns)

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import prepare, written
+
 WORD_GAP = r"[\x20\x09-\x0D]+"
 HAS_WORD = r"[^\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
@@ -133,8 +135,11 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """``docs`` without the rejected documents and without boilerplate lines,
     all columns kept (``n_chars``, where present, follows the text)."""
-    verdict = judge(docs, id_col, text_col, host_col).where("kept").select(
-        F.col(id_col).alias("_id"), F.col("text_key").alias("_key"), F.col("lines_removed").alias("_gone")).dropDuplicates(["_id", "_key"])
+    prepare(docs.sparkSession)
+    # written: a filter on the verdict would otherwise be pushed into the rules and evaluate them over and over
+    verdict = written(judge(docs, id_col, text_col, host_col).select(
+        F.col(id_col).alias("_id"), F.col("text_key").alias("_key"), F.col("lines_removed").alias("_gone"), "kept"), "verdict")
+    verdict = verdict.where("kept").drop("kept").dropDuplicates(["_id", "_key"])
     t = F.coalesce(F.col(text_col), F.lit(""))
     left = F.array_join(F.filter(F.split(t, "\n", -1), lambda x, i: ~F.array_contains("_gone", i)), "\n")
     kept = docs.join(verdict, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(t) == F.col("_key")))

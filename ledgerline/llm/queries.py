@@ -173,7 +173,7 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN g ON g.node = d.doc_id
 
 @query(sql=OP6_SQL)
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=2)
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=2).drop("text_key", "group")
 
 
 OP7_SQL = r"""

@@ -23,6 +23,7 @@ units (bytes or words) and which position anchors a window.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -86,18 +87,26 @@ class Block:
         self.ids = np.frombuffer(raw, np.int64, n, 8)
         self.null = np.frombuffer(raw, np.int64, n, 8 + 8 * n).astype(bool)
         self.bounds = np.frombuffer(raw, np.int64, n + 1, 8 + 16 * n)
-        self.data = np.frombuffer(raw, np.uint8, offset=8 + 16 * n + 8 * (n + 1))
+        head = 8 + 16 * n + 8 * (n + 1)
+        self.data = np.frombuffer(raw, np.uint8, int(self.bounds[-1]), head)
+        self._rest = raw[head + int(self.bounds[-1]):]
+
+    def carried(self) -> list[str | None]:
+        """The other columns of the documents, as JSON, if they were packed."""
+        return pickle.loads(self._rest)
 
     @staticmethod
-    def pack(ids: pa.Array, bounds: np.ndarray, data: np.ndarray) -> bytes:
+    def pack(ids: pa.Array, bounds: np.ndarray, data: np.ndarray, carried: list[str | None]) -> bytes:
         null = np.asarray(ids.is_null().to_numpy(zero_copy_only=False), dtype=np.int64)
         numbers = ids.fill_null(NO_ID).to_numpy(zero_copy_only=False).astype(np.int64)
         parts = (np.array([len(numbers)], np.int64), numbers, null, (bounds - bounds[0]).astype(np.int64), data)
-        return zstandard.ZstdCompressor(level=3).compress(b"".join(p.tobytes() for p in parts))
+        raw = b"".join(p.tobytes() for p in parts) + pickle.dumps(carried)
+        return zstandard.ZstdCompressor(level=3).compress(raw)
 
 
-def pack(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Documents as compressed blocks: (block, payload, n_bytes)."""
+def pack(docs: DataFrame, id_col: str, text_col: str, carry: list[str]) -> DataFrame:
+    """Documents as compressed blocks: (block, payload, n_bytes); the columns
+    ``carry`` travel along."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         serial = TaskContext.get().partitionId() << 32
@@ -109,11 +118,12 @@ def pack(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             data = np.concatenate([w[2] for w in waiting])
             sizes = np.concatenate([np.diff(w[1]) for w in waiting])
             bounds = np.concatenate(([0], np.cumsum(sizes)))
+            carried = [x for w in waiting for x in w[3]]
             waiting.clear()
             serial += 1
             return pa.RecordBatch.from_pydict({
                 "block": pa.array([serial - 1], pa.int64()),
-                "payload": pa.array([Block.pack(ids, bounds, data)], pa.binary()),
+                "payload": pa.array([Block.pack(ids, bounds, data, carried)], pa.binary()),
                 "n_bytes": pa.array([len(data)], pa.int64())})
 
         held = 0
@@ -125,12 +135,14 @@ def pack(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     yield flush()
                     held = 0
                 ids = pa.array(batch.column(0).slice(first, last - first).to_pylist(), pa.int64())
-                waiting.append((ids, offsets[first:last + 1] - offsets[first], part))
+                others = batch.column(2).slice(first, last - first).to_pylist() if carry else []
+                waiting.append((ids, offsets[first:last + 1] - offsets[first], part, others))
                 held += len(part)
         if waiting:
             yield flush()
 
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"),
+                         *([F.to_json(F.struct(*carry)).alias("carried")] if carry else []))
     return source.mapInArrow(run, "block long, payload binary, n_bytes long")
 
 
@@ -374,10 +386,10 @@ def resolve(blocks: DataFrame, replies: DataFrame, masks: DataFrame, units: Unit
 
 
 def recurring(docs: DataFrame, id_col: str, text_col: str, units: Units, width: int,
-              report: Callable, schema: str) -> DataFrame:
+              report: Callable, schema: str, carry: list[str] | None = None) -> DataFrame:
     """The whole job; ``width`` is the number of bytes that identify a unit."""
     prepare(docs.sparkSession)
-    blocks = written(pack(docs, id_col, text_col), "blocks", "none")
+    blocks = written(pack(docs, id_col, text_col, carry or []), "blocks", "none")
     replies = written(verdicts(phrase_rows(blocks, units)), "verdicts")
     masks = written(suffix_order(dictionary_rows(blocks, replies, units), units, width), "masks")
     return resolve(blocks, replies, masks, units, report, schema)

@@ -18,6 +18,8 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import repeats
 from .arrays import TOP, U, mix, word_hashes, word_spans
@@ -135,23 +137,38 @@ def _texts(block, covered, bounds) -> pa.Table:
         sizes.append(b - a)
     return pa.table({
         "doc_id": pa.array(block.ids, pa.int64(), mask=block.null), "n_words": pa.array(sizes, pa.int64()),
-        "n_removed": pa.array(cuts, pa.int64()), "kept_text": pa.array(texts, pa.binary()).cast(pa.string())})
+        "n_removed": pa.array(cuts, pa.int64()), "kept_text": pa.array(texts, pa.binary()).cast(pa.string()),
+        "carried": pa.array(block.carried(), pa.string())})
 
 
-def remove_repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                          with_text: bool = False) -> DataFrame:
+def remove_repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """Remove each word of a ``window``-word sequence that also starts in a
     document with a smaller id.
 
     Words are ``[^\\x20\\x09-\\x0D]+``, unchanged; windows are judged on the
     input.  Returns per document doc_id, n_words, n_removed and kept_sha256
-    (kept words joined by one space) or, with ``with_text``, kept_text: the
-    text without the removed words and the white space behind each.
+    (kept words joined by one space).
 
     A null or empty text has no words; a null id ranks last; rows with equal
     ids do not remove words of each other, and each gives a row.  An empty
     table gives an empty result.  Other columns of ``docs`` are not read.
     """
     units = repeats.Units(_read, symbols_as_anchors, window, True)
-    schema = "doc_id long, n_words long, n_removed long, " + ("kept_text string" if with_text else "kept_sha256 string")
-    return repeats.recurring(docs, id_col, text_col, units, 8, _texts if with_text else _digests, schema)
+    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
+    return repeats.recurring(docs, id_col, text_col, units, 8, _digests, schema)
+
+
+def without_repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
+    """``docs`` with the texts that are left: removed words go with the white
+    space behind each (``n_chars``, where present, follows the text).  Every
+    row stays, a null text becomes empty; other columns travel unchanged."""
+    units = repeats.Units(_read, symbols_as_anchors, window, True)
+    schema = "doc_id long, n_words long, n_removed long, kept_text string, carried string"
+    carry = [c for c in docs.columns if c not in (id_col, text_col)] or [id_col]
+    left = repeats.recurring(docs, id_col, text_col, units, 8, _texts, schema, carry)
+    fields = T.StructType([docs.schema[c] for c in carry])
+    rows = left.withColumn("other", F.from_json("carried", fields))
+    named = {id_col: F.col("doc_id").cast(docs.schema[id_col].dataType), text_col: F.col("kept_text")}
+    if "n_chars" in docs.columns:
+        named["n_chars"] = F.char_length("kept_text").cast(docs.schema["n_chars"].dataType)
+    return rows.select(*[named.get(c, F.col("other").getField(c)).alias(c) for c in docs.columns])
