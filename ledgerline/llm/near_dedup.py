@@ -5,7 +5,8 @@ starting at other positions.  In a tree, documents whose signatures share a
 prefix form a region; a region with many documents is split by longer
 prefixes (adaptive depth).  Candidates are neighbours of a region, links are
 confirmed on full shingle sets, and components grow in rounds: a pair whose
-ends are already connected is not compared.
+ends are already connected is not compared.  Documents that stay outside the
+largest component of large regions are at last compared with all of these.
 
 Documents of equal shingle sets are one class from the start, so exact copies
 cost one row per task.
@@ -28,6 +29,8 @@ from .shared import prepare, written
 TREES, DEPTH, DEEPEST = 21, 3, 10
 #: Regions up to this size are compared pair by pair; larger ones are split.
 REGION = 24
+#: Documents of a block when what large regions hide is compared.
+BLOCK = 128
 CHUNK_BYTES = 1 << 20
 #: Documents without an id are numbered from here by the hash of their set.
 NO_ID = 1 << 62
@@ -91,8 +94,9 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, "node long, text_key long, n long, h1 long, h2 long, sig binary")
 
 
-def tree_keys(reps: DataFrame, depths: range) -> DataFrame:
-    """(key, depth, node, n): the region of each document in each tree at each depth."""
+def tree_keys(reps: DataFrame, depth: int) -> DataFrame:
+    """(key, above, node, n): the region of each document in each tree at a
+    depth, and the one above that holds it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -100,16 +104,15 @@ def tree_keys(reps: DataFrame, depths: range) -> DataFrame:
                 continue
             sig = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint32).reshape(batch.num_rows, -1)
             for t in range(TREES):
-                order = (np.arange(DEEPEST) + t * DEPTH) % (TREES * DEPTH)
-                key = np.full(batch.num_rows, t + 1, U)
-                for d in range(1, depths[-1] + 1):
-                    key = mix(key * U(0x9E3779B97F4A7C15) + sig[:, order[d - 1]].astype(U))
-                    if d in depths:
-                        yield pa.RecordBatch.from_arrays([
-                            pa.array(key.view(np.int64)), pa.array(np.full(batch.num_rows, d, np.int32)),
-                            batch.column(0), batch.column(1)], ["key", "depth", "node", "n"])
+                order = (np.arange(depth) + t * DEPTH) % (TREES * DEPTH)
+                key = above = np.full(batch.num_rows, t + 1, U)
+                for d in order:
+                    above, key = key, mix(key * U(0x9E3779B97F4A7C15) + sig[:, d].astype(U))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(key.view(np.int64)), pa.array(above.view(np.int64)), batch.column(0), batch.column(1)],
+                    ["key", "above", "node", "n"])
 
-    return reps.select("node", "n", "sig").mapInArrow(run, "key long, depth int, node long, n long")
+    return reps.select("node", "n", "sig").mapInArrow(run, "key long, above long, node long, n long")
 
 
 def regions(keys: DataFrame, name: str) -> DataFrame:
@@ -117,7 +120,7 @@ def regions(keys: DataFrame, name: str) -> DataFrame:
     found = written(keys.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("pivot"),
                                             F.min(F.struct("node", "n")).alias("p"))
                     .where("size > 1").select("key", "size", "pivot", F.col("p.n").alias("pivot_n")), name + "-sizes")
-    return written(keys.join(found, "key"), name)
+    return written(keys.select("key", "node", "n").join(found, "key"), name)
 
 
 def similar_sizes(a: str, b: str, percent: int):
@@ -159,8 +162,9 @@ def sets_of(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     return docs.join(nodes, ["node", "text_key"]).select("node", "text").mapInArrow(run, "node long, names binary")
 
 
-def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
-    return members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+def _labelled(members: DataFrame, roots: DataFrame, node: str = "node", root: str = "root") -> DataFrame:
+    own = roots.select(F.col("node").alias(node), F.col("root").alias(root))
+    return members.join(own, node, "left").withColumn(root, F.coalesce(root, node))
 
 
 def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
@@ -168,12 +172,78 @@ def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
     a = members.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
     b = members.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
     return a.join(b, "key").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb"))
-                                  & similar_sizes("na", "nb", percent)).select("a", "b")
+                                  & similar_sizes("na", "nb", percent)).select("a", "b").distinct()
 
 
 def _stars(members: DataFrame, percent: int) -> DataFrame:
     return members.where((F.col("node") != F.col("pivot")) & similar_sizes("n", "pivot_n", percent)).select(
-        F.col("pivot").alias("a"), F.col("node").alias("b"))
+        F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+
+
+def _descend(reps: DataFrame, members: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs of regions that hold more than one component: small
+    regions pair by pair, large ones by their pivot and, split by one more
+    signature value at a time, by their own regions."""
+    pairs = None
+    for depth in range(DEPTH, DEEPEST + 1):
+        now = _labelled(members, roots)
+        mixed = now.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("key")
+        now = written(now.join(mixed, "key"), "mixed")
+        large = now.where(F.col("size") > REGION)
+        stars = _labelled(_labelled(_stars(large, percent), roots, "a", "ra"), roots, "b", "rb").where("ra <> rb").select("a", "b")
+        found = _cross_pairs(now.where(F.col("size") <= REGION), percent).unionByName(stars)
+        pairs = found if pairs is None else pairs.unionByName(found)
+        if depth == DEEPEST or large.isEmpty():
+            break
+        # the trees in which a document is in a large region go one value deeper
+        wanted = large.select("key", "node")
+        above = tree_keys(reps.join(wanted.select("node").distinct(), "node", "left_semi"), depth + 1)
+        members = regions(above.join(wanted.withColumnRenamed("key", "above"), ["node", "above"], "left_semi"), "regions")
+    return pairs.distinct()
+
+
+def _blocks(reps: DataFrame, large: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links that large regions still hide: in each cluster (documents that
+    large regions chain together), those outside its largest component are
+    the queries, compared with all its documents, block by block."""
+    stars = large.select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+    cluster = components(stars).select("node", F.col("root").alias("cluster"))
+    rows = written(_labelled(cluster, roots), "clusters")
+    parts = rows.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("c"))
+    whole = written(parts.groupBy("cluster").agg(
+        F.max(F.struct("c", "root")).alias("m"), F.sum("c").alias("all"), F.count(F.lit(1)).alias("kinds")).where(
+        "kinds > 1").select("cluster", F.col("m.root").alias("main"), F.ceil(F.col("all") / BLOCK).alias("right"),
+                            F.ceil((F.col("all") - F.col("m.c")) / BLOCK).alias("left")), "cluster-sizes")
+    rows = rows.join(whole, "cluster")
+    own = F.xxhash64("node")
+    queries = rows.where("root <> main").select(
+        "node", "root", "cluster", F.pmod(own, "left").alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("right") - 1)).alias("j"))
+    others = rows.select(
+        "node", "root", "cluster", F.explode(F.sequence(F.lit(0).cast("long"), F.col("left") - 1)).alias("i"), F.pmod(own, "right").alias("j"))
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        x = [np.frombuffer(v, U) for v in left.column("names").to_pylist()]
+        y = [np.frombuffer(v, U) for v in right.column("names").to_pylist()]
+        if not x or not y:
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        sizes = np.array([len(v) for v in (*x, *y)])
+        # a shingle that one document has cannot be shared
+        names, of, seen = np.unique(np.concatenate((*x, *y)), return_inverse=True, return_counts=True)
+        shared = seen > 1
+        column = np.cumsum(shared) - 1
+        row, keep = np.repeat(np.arange(len(sizes)), sizes), shared[of]
+        grams = np.zeros((len(sizes), max(1, int(shared.sum()))), np.float32)
+        grams[row[keep], column[of[keep]]] = 1
+        same = np.rint(grams[:len(x)] @ grams[len(x):].T).astype(np.int64)
+        union = sizes[:len(x), None] + sizes[None, len(x):] - same
+        roots_x, roots_y = left.column("root").to_numpy(), right.column("root").to_numpy()
+        i, j = np.nonzero((100 * same >= percent * union) & (roots_x[:, None] != roots_y[None, :]))
+        return pa.table({"a": pa.array(left.column("node").to_numpy()[i]), "b": pa.array(right.column("node").to_numpy()[j])})
+
+    by = ["cluster", "i", "j"]
+    renamed = lambda df: df.select(*[F.col(c).alias(c) for c in df.columns])  # noqa: E731  both sides stem from one table
+    return (renamed(queries.join(sets, "node")).groupBy(*by).cogroup(renamed(others.join(sets, "node")).groupBy(*by))
+            .applyInArrow(run, "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
@@ -202,7 +272,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       .select("h1", "h2", "r.*"), "classes")
     # one set per node, though rows of one id may hold several
     reps = classes.groupBy("node").agg(F.min(F.struct("n", "text_key", "sig")).alias("r")).select("node", "r.*")
-    members = regions(tree_keys(reps, range(DEPTH, DEPTH + 1)), "regions")
+    members = regions(tree_keys(reps, DEPTH), "regions")
     wanted = members.select("node").distinct().join(reps.select("node", "text_key"), "node")
     # rows of one id and text are read once; documents without an id are found by their text
     texts = source.select(F.col("id").alias("node"), "text_key", "text")
@@ -216,34 +286,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nearest = _stars(members, percent).groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     links = written(confirmed(nearest, sets, percent), "confirmed")
     roots = components(links)
-    # 2. small regions pair by pair, large ones by their pivot and by longer prefixes
-    now = written(_labelled(members, roots), "labelled")
-    open_ = now.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("key")
-    now = written(now.join(open_, "key"), "open")
-    large = now.where(F.col("size") > REGION)
-    deeper = regions(tree_keys(reps.join(large.select("node").distinct(), "node", "left_semi"),
-                               range(DEPTH + 1, DEEPEST + 1)), "deeper")
-    deeper = _labelled(deeper, roots)
-    pivot_root = roots.select(F.col("node").alias("pivot"), F.col("root").alias("pivot_root"))
-    far = lambda m: m.join(pivot_root, "pivot", "left").where(
-        F.coalesce("pivot_root", "pivot") != F.col("root"))
-    pairs = (_cross_pairs(now.where(F.col("size") <= REGION), percent)
-             .unionByName(_cross_pairs(deeper.where(F.col("size") <= REGION), percent))
-             .unionByName(_stars(far(large), percent)).unionByName(_stars(far(deeper.where(F.col("size") > REGION)), percent)))
-    links = links.unionByName(written(confirmed(pairs.distinct(), sets, percent), "confirmed"))
+    # 2. regions with more than one component, by longer and longer prefixes
+    links = links.unionByName(written(confirmed(_descend(reps, members, roots, percent), sets, percent), "confirmed"))
     roots = components(links)
-    # 3. what is left of large regions: members outside the largest component against the others
-    rest = written(_labelled(large.drop("root"), roots), "rest")
-    count = rest.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
-    main = count.groupBy("key").agg(F.max(F.struct("c", "root")).alias("m"), F.count(F.lit(1)).alias("kinds")).where(
-        "kinds > 1").select("key", F.col("m.root").alias("main"))
-    rest = written(rest.join(main, "key"), "rest-open")
-    out = rest.where("root <> main")
-    a = out.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    b = rest.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    pairs = a.join(b, "key").where((F.col("ra") != F.col("rb")) & similar_sizes("na", "nb", percent)).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = links.unionByName(written(confirmed(pairs, sets, percent), "confirmed"))
+    # 3. what is left of the large regions
+    large = members.where(F.col("size") > REGION)
+    links = links.unionByName(written(_blocks(reps, large, roots, sets, percent), "confirmed"))
     roots = components(links)
 
     by_class = written(classes.select("node", "h1", "h2").join(roots, "node", "left").select(
