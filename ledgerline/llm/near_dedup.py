@@ -26,7 +26,7 @@ from .arrays import U, lower_ascii, mix, pieces, prefix_hash, stretch_hash, text
 from .components import components
 from .shared import prepare, written
 
-TREES, DEPTH, DEEPEST = 21, 3, 10
+TREES, DEPTH, DEEPEST = 21, 3, 6
 #: Regions up to this size are compared pair by pair; larger ones are split.
 REGION = 24
 #: Documents of a block when what large regions hide is compared.
@@ -186,19 +186,20 @@ def _descend(reps: DataFrame, members: DataFrame, roots: DataFrame, percent: int
     signature value at a time, by their own regions."""
     pairs = None
     for depth in range(DEPTH, DEEPEST + 1):
-        now = _labelled(members, roots)
-        mixed = now.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("key")
-        now = written(now.join(mixed, "key"), "mixed")
+        now = written(_labelled(members, roots), "labelled")
+        mixed = now.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"),
+                                       F.min(F.struct("node", "root")).alias("p")).where("r0 <> r1")
+        now = written(now.join(mixed.select("key", F.col("p.root").alias("pivot_root")), "key"), "mixed")
         large = now.where(F.col("size") > REGION)
-        stars = _labelled(_labelled(_stars(large, percent), roots, "a", "ra"), roots, "b", "rb").where("ra <> rb").select("a", "b")
-        found = _cross_pairs(now.where(F.col("size") <= REGION), percent).unionByName(stars)
+        found = written(_cross_pairs(now.where(F.col("size") <= REGION), percent).unionByName(
+            _stars(large.where("root <> pivot_root"), percent)), "pairs")
         pairs = found if pairs is None else pairs.unionByName(found)
         if depth == DEEPEST or large.isEmpty():
             break
         # the trees in which a document is in a large region go one value deeper
-        wanted = large.select("key", "node")
+        wanted = large.select(F.col("key").alias("above"), "node")
         above = tree_keys(reps.join(wanted.select("node").distinct(), "node", "left_semi"), depth + 1)
-        members = regions(above.join(wanted.withColumnRenamed("key", "above"), ["node", "above"], "left_semi"), "regions")
+        members = regions(above.join(wanted, ["node", "above"], "left_semi"), "regions")
     return pairs.distinct()
 
 

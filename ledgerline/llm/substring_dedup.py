@@ -22,10 +22,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import repeats
-from .arrays import TOP, U, mix, word_hashes, word_spans
+from .arrays import TOP, U, mix, prefix_hash, stretch_hash, word_hashes, word_spans
 
 WINDOW = 13
-ROUNDS = 3
 
 
 def _read(data: np.ndarray, bounds: np.ndarray):
@@ -73,12 +72,20 @@ def recompress(values: np.ndarray, rounds: int):
         yield name, start, low, high
 
 
-def symbols_as_anchors(values: np.ndarray, window: int, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """For each window start, the position and the name of its anchor symbol."""
+def rounds_for(window: int) -> int:
+    """Rounds whose symbols a window can hold together with what decided them:
+    the deciding words are about 4 after one round and double with each."""
+    return max(1, int(np.log2(window / 6)))
+
+
+def symbols_as_anchors(values: np.ndarray, window: int, rounds: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """For each window start, the position and the name of its anchor: the
+    symbol together with all words that decided it."""
     places = len(values) - window + 1
     anchor = np.full(places, -1, np.int64)
     name = np.zeros(places, U)
-    for level, (names, start, low, high) in reversed(list(enumerate(recompress(values, rounds)))):
+    prefix = prefix_hash(values)
+    for level, (names, start, low, high) in reversed(list(enumerate(recompress(values, rounds or rounds_for(window))))):
         open_ = np.flatnonzero(anchor < 0)
         if not len(open_):
             break
@@ -93,9 +100,10 @@ def symbols_as_anchors(values: np.ndarray, window: int, rounds: int = ROUNDS) ->
             better = fits & ((key < best) | (found < 0))
             best = np.where(better, key, best)
             found = np.where(better, open_ + step, found)
-        hit = found >= 0
+        hit = np.flatnonzero(found >= 0)
+        symbol = at[found[hit]]
         anchor[open_[hit]] = found[hit]
-        name[open_[hit]] = mix(best[hit] + U(level + 1))
+        name[open_[hit]] = mix(names[symbol] + U((level + 1) * 0x9FB21C651E98DF25 & 0xFFFFFFFFFFFFFFFF)) ^ stretch_hash(prefix, low[symbol], high[symbol])
     return anchor, name
 
 
