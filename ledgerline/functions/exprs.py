@@ -143,11 +143,6 @@ SILVER_DEFAULTS = {
 }
 
 
-def coalesce_default(c: str, default) -> Column:
-    """F16."""
-    return F.coalesce(F.col(c), F.lit(default)).alias(c)
-
-
 def bhav_date_format(d: str | Column) -> Column:
     """yyyy-MM-dd to ddMMyyyy."""
     return F.date_format(col(d).cast("date"), "ddMMyyyy")

@@ -1,18 +1,15 @@
-"""Exact cross-sectional ranks without one task per large group.
-
-``percent_rank() OVER (PARTITION BY date ORDER BY x)`` puts every symbol of
-a day into one task.  Here each group is split into value buckets whose
-bounds come from ``percentile_approx`` (an approximate quantile sketch per
-group, so bucket sizes are roughly even), ranks are computed inside
-(group, bucket) and shifted by the row counts of the lower buckets.  Equal
-values always land in the same bucket, so the result is exactly the window
-function's (``rank`` semantics for ties); only the bucket sizes are
-approximate.  NULL values get a NULL rank.
-
-A first pass counts the rows of each group and decides the strategy:
-groups up to ``MAX_WINDOW_GROUP`` rows rank with ordinary windows (one
-exchange for all ranked columns); larger ones use buckets, whose bounds
-(one small row per group) are only computed then.
+"""Exact cross-sectional ranks without a task per group.
+
+``percent_rank() OVER (PARTITION BY date ORDER BY x)`` puts every row of a day
+into one task.  Here rows first fold into distinct values with their counts (a
+partial aggregate, so a value that most rows share costs one row per task).
+The distinct values of a group are dealt into value ranges by the leading bits
+of their number, an order-preserving code; counts of the lower ranges plus the
+running count inside a range give the rank.  One window task holds one range
+of one group, and the ranges of a group are bounded by the code's width, not
+by the data.  Ranks return to the rows by a join on (group, value), which
+Spark's skew join splits.  Ties share the smallest rank, NULLs get NULL, NaN
+ranks above all numbers.
 """
 
 from __future__ import annotations
@@ -20,121 +17,98 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 64
+from ..session import cut_lineage
 
+#: Leading bits of a double that make a range: sign, exponent, 8 of the fraction.
+RANGE_BITS = 20
 
-def _bucket(v, bounds):
-    """Number of distinct bounds below the value (NULL for NULL values)."""
-    return F.when(v.isNotNull(), F.size(F.filter(F.array_distinct(bounds), lambda b: b < v)))
 
+def _range_of(v: Column) -> Column:
+    """Value range of a double, in the order of the values (NULL for NULL).
 
-# Largest group ranked with a plain window (one task sorts the group).
-MAX_WINDOW_GROUP = 1_000_000
+    An IEEE double's bits, read as an integer, order like the value if the
+    sign is handled; ``log2`` gives the exponent and the fraction without a
+    bit cast: binade * 256 + position in the binade, mirrored below zero."""
+    size = F.least(F.abs(v), F.lit(1e300))
+    binade = F.least(F.greatest(F.floor(F.log2(size)), F.lit(-1000)), F.lit(1000))
+    inside = F.floor((size / F.pow(F.lit(2.0), binade) - 1) * (1 << (RANGE_BITS - 12)))
+    cell = (binade + 1001) * (1 << (RANGE_BITS - 11)) + inside
+    return (F.when(v.isNull(), None).when(F.isnan(v), F.lit(1 << 40)).when(v == 0, F.lit(0))
+            .when(v > 0, cell).otherwise(-cell)).cast("long")
 
 
-def _rank_windows(work: DataFrame, by: list[str], specs: list[tuple]) -> DataFrame:
-    """Small groups: ordinary rank windows; all specs share one exchange."""
-    out = work
-    for i, (_v, o, _d, percent) in enumerate(specs):
-        v = F.col(f"__v{i}")
-        w = Window.partitionBy(*by, v.isNull()).orderBy(v)
-        r = F.percent_rank().over(w) if percent else F.rank().over(w).cast("long")
-        out = out.withColumn(o, F.when(v.isNotNull(), r))
-    return out
+def rank_table(values: DataFrame, by: list[str]) -> DataFrame:
+    """(by..., __value, __rank, __count, __total) of the distinct non-null
+    ``__value`` of each group."""
+    values = (values.where("__value is not null")
+              .groupBy(*by, "__value").agg(F.count(F.lit(1)).alias("__count"))
+              .withColumn("__range", _range_of(F.col("__value"))))
+    inner = Window.partitionBy(*by, "__range").orderBy("__value").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = values.groupBy(*by, "__range").agg(F.sum("__count").alias("__in"))
+    below = Window.partitionBy(*by).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select(*by, "__range", F.coalesce(F.sum("__in").over(below), F.lit(0)).alias("__below"),
+                           F.sum("__in").over(Window.partitionBy(*by)).alias("__total"))
+    keys = [*by, "__range"]
+    inside = values.withColumn("__before", F.coalesce(F.sum("__count").over(inner), F.lit(0)))
+    j = inside.join(ranges.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__below", "__total"),
+                    [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)])
+    return j.select(*by, "__value", (F.col("__below") + F.col("__before") + 1).alias("__rank"), "__count", "__total")
+
 
+def _as_value(c: Column) -> Column:
+    return c.cast("double") + F.lit(0.0)  # -0.0 and 0.0 are one value
 
-def rank_many(df: DataFrame, by: list[str] | str, specs: list[tuple], buckets: int = DEFAULT_BUCKETS,
-              materialize: bool = True, max_window_group: int = MAX_WINDOW_GROUP) -> DataFrame:
-    """Rank several columns within ``by`` in one pass.
 
-    ``specs``: (value column, output column[, descending[, percent]]).  One
-    aggregate gives every column's bucket bounds; the bucketed frame is
-    checkpointed into the shared checkpoint folder (``materialize``) so the
-    per-bucket counts and the in-bucket ranks read it instead of
-    recomputing the input; each column then needs one small count table and
-    one window over (by, bucket).
-    """
+def rank_many(df: DataFrame, by: list[str] | str, specs: list[tuple]) -> DataFrame:
+    """Rank several columns within ``by``.
+
+    ``specs``: (value column, output column[, descending[, percent]]); the
+    percent form is ``percent_rank``'s, 0 for a group of one value row.  The
+    columns are ranked together: one table of distinct values, written to the
+    shared checkpoint folder, serves all joins back."""
     by = [by] if isinstance(by, str) else list(by)
-    specs = [tuple(sp) + (False, True)[len(sp) - 2:] if len(sp) < 4 else tuple(sp) for sp in specs]
-    qs = [i / buckets for i in range(1, buckets)]
-    acc = max(4 * buckets, 100)
-    work = df
-    for i, (v, _o, desc, _p) in enumerate(specs):
-        key = -F.col(v) if desc else F.col(v)
-        work = work.withColumn(f"__v{i}", key.cast("double"))
-    if max_window_group is not None:
-        # measure the groups first (a row count per group: the optimizer
-        # prunes the input to the grouping keys and what filters need); small
-        # groups rank with plain windows, large ones with buckets (same result
-        # either way).  The quantile sketches are only built for buckets.
-        n_max = (df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
-                 .agg(F.max("__n").alias("m")).first()["m"])
-        if (n_max or 0) <= max_window_group:
-            out = _rank_windows(work, by, specs)
-            return out.drop(*[f"__v{i}" for i in range(len(specs))])
-    aggs = []
-    for i, _ in enumerate(specs):
-        aggs += [F.percentile_approx(F.col(f"__v{i}"), qs, acc).alias(f"__q{i}"), F.count(f"__v{i}").alias(f"__n{i}")]
-    bounds = work.groupBy(*by).agg(*aggs)  # one row per group
-    j = work.join(bounds, by, "left")
-    for i, _ in enumerate(specs):
-        j = j.withColumn(f"__b{i}", _bucket(F.col(f"__v{i}"), F.col(f"__q{i}"))).drop(f"__q{i}")
-    if materialize:
-        from ..session import cut_lineage
-
-        j = cut_lineage(j)
-    for i, (_v, out, _d, percent) in enumerate(specs):
-        b = f"__b{i}"
-        counts = j.filter(F.col(b).isNotNull()).groupBy(*by, b).agg(F.count(F.lit(1)).alias("__cnt"))
-        wo = Window.partitionBy(*by).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-        offs = counts.select(*by, b, F.coalesce(F.sum("__cnt").over(wo), F.lit(0)).alias(f"__off{i}"))
-        j = j.join(offs, by + [b], "left")
-        r = F.rank().over(Window.partitionBy(*by, b).orderBy(f"__v{i}")) + F.col(f"__off{i}")
-        n = F.col(f"__n{i}")
-        res = F.when(n > 1, (r - 1) / (n - 1)).otherwise(F.lit(0.0)) if percent else r
-        j = j.withColumn(out, F.when(F.col(f"__v{i}").isNotNull(), res))
-    tmp = [f"__{k}{i}" for i in range(len(specs)) for k in ("v", "n", "b", "off")]
-    return j.drop(*tmp)
-
-
-def rank_within(df: DataFrame, by: list[str] | str, value: str, out: str = "rank",
-                percent: bool = True, buckets: int = DEFAULT_BUCKETS, descending: bool = False,
-                materialize: bool = False, max_window_group: int | None = MAX_WINDOW_GROUP) -> DataFrame:
+    specs = [tuple(sp) + (False, True)[len(sp) - 2:] for sp in specs]
+    columns = [_as_value(-F.col(v) if descending else F.col(v)) for v, _, descending, _ in specs]
+    long = df.select(*by, F.posexplode(F.array(*columns)).alias("__spec", "__value"))
+    ranks = rank_table(long, [*by, "__spec"])
+    if len(specs) > 1:
+        ranks = cut_lineage(ranks)
+    out = df
+    for i, (value, name, descending, percent) in enumerate(specs):
+        own = ranks.where(F.col("__spec") == i).select(
+            *[F.col(b).alias(f"__b{k}") for k, b in enumerate(by)], F.col("__value").alias("__rv"), "__rank", "__total")
+        on = [F.col(b).eqNullSafe(F.col(f"__b{k}")) for k, b in enumerate(by)] + [columns[i] == F.col("__rv")]
+        n = F.col("__total")
+        score = F.when(n > 1, (F.col("__rank") - 1) / (n - 1)).when(n == 1, F.lit(0.0)) if percent else F.col("__rank")
+        out = out.join(own, on, "left").withColumn("__score", score).drop(
+            "__rv", "__rank", "__total", *[f"__b{k}" for k in range(len(by))]).withColumnRenamed("__score", f"__s{i}")
+    for i, sp in enumerate(specs):
+        out = out.withColumn(sp[1], F.col(f"__s{i}")).drop(f"__s{i}")
+    return out
+
+
+def rank_within(df: DataFrame, by: list[str] | str, value: str, out: str = "rank", percent: bool = True,
+                descending: bool = False) -> DataFrame:
     """Add ``out`` = percent_rank (or rank) of ``value`` within ``by``."""
-    return rank_many(df, by, [(value, out, descending, percent)], buckets, materialize, max_window_group)
+    return rank_many(df, by, [(value, out, descending, percent)])
 
 
-def ntile_within(df: DataFrame, by: list[str] | str, value: str, n: int, out: str = "ntile",
-                 buckets: int = DEFAULT_BUCKETS, max_window_group: int | None = MAX_WINDOW_GROUP) -> DataFrame:
+def ntile_within(df: DataFrame, by: list[str] | str, value: str, n: int, out: str = "ntile") -> DataFrame:
     """Decile-style tile from the exact rank: tile = floor((rank-1) * n / count) + 1
     (ties share a tile, unlike ``ntile()`` which splits them by position)."""
     by = [by] if isinstance(by, str) else list(by)
-    r = rank_within(df, by, value, "__r", percent=False, buckets=buckets, max_window_group=max_window_group)
-    cnt = r.filter(F.col(value).isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("__c"))
-    r = r.join(cnt, by, "left")
+    r = rank_within(df, by, value, "__r", percent=False)
+    cnt = df.filter(F.col(value).isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("__c"))
     tile = F.floor((F.col("__r") - 1) * n / F.col("__c")) + 1
-    return r.withColumn(out, F.when(F.col("__r").isNotNull(), tile.cast("int"))).drop("__r", "__c")
-
-
-def percent_rank_col(value: str | Column, by: list[str]) -> Column:
-    """Plain window form (small groups only)."""
-    v = F.col(value) if isinstance(value, str) else value
-    return F.percent_rank().over(Window.partitionBy(*by).orderBy(v))
+    return r.join(cnt, by, "left").withColumn(out, F.when(F.col("__r").isNotNull(), tile.cast("int"))).drop("__r", "__c")
 
 
-def exact_median(df: DataFrame, by: list[str] | str, value: str, out: str = "median",
-                 buckets: int = DEFAULT_BUCKETS, max_window_group: int | None = MAX_WINDOW_GROUP) -> DataFrame:
-    """Exact median per group (linear interpolation between the two middle
-    values, like ``percentile_cont(0.5)``) without buffering a group's
-    values in one task: the k-th smallest value is the largest value whose
-    exact min-rank is <= k, which is a partial aggregate over ranked rows."""
+def exact_median(df: DataFrame, by: list[str] | str, value: str, out: str = "median") -> DataFrame:
+    """Exact median per group (``percentile_cont(0.5)``) from the distinct
+    values: the k-th smallest is the largest value whose rank is at most k."""
     by = [by] if isinstance(by, str) else list(by)
-    d = df.select(*by, F.col(value).cast("double").alias("__x")).filter(F.col("__x").isNotNull())
-    r = rank_many(d, by, [("__x", "__r", False, False)], buckets, max_window_group=max_window_group)
-    n = r.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))  # one row per group
-    j = r.join(n, by)
-    lo = F.floor((F.col("__n") + 1) / 2)
-    hi = F.ceil((F.col("__n") + 1) / 2)
-    g = j.groupBy(*by).agg(F.max(F.when(F.col("__r") <= lo, F.col("__x"))).alias("__lo"),
-                           F.max(F.when(F.col("__r") <= hi, F.col("__x"))).alias("__hi"))
+    r = rank_table(df.select(*by, _as_value(F.col(value)).alias("__value")), by)
+    lo, hi = F.floor((F.col("__total") + 1) / 2), F.ceil((F.col("__total") + 1) / 2)
+    g = r.groupBy(*by).agg(F.max(F.when(F.col("__rank") <= lo, F.col("__value"))).alias("__lo"),
+                           F.max(F.when(F.col("__rank") <= hi, F.col("__value"))).alias("__hi"))
     return g.select(*by, ((F.col("__lo") + F.col("__hi")) / 2.0).alias(out))

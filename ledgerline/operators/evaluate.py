@@ -32,12 +32,16 @@ DEFAULT_CAPITAL = 1_000_000.0
 # ----------------------------------------------------------------------------------
 
 
-def walk_forward_folds(df: DataFrame, test_years: list[int]) -> DataFrame:
+def walk_forward_folds(df: DataFrame, calendar: DataFrame) -> DataFrame:
     """Expanding folds - a row of year y is 'train' for every test year
-    after y and 'test' for its own year (per-row explode, no join)."""
+    after y and 'test' for its own year.  Every year of ``calendar`` (date)
+    but the first is a test year; its bounds are one row, broadcast, and the
+    folds of a row are generated, not joined."""
+    bounds = calendar.agg(F.min(F.year("date")).alias("__first"), F.max(F.year("date")).alias("__last"))
     y = F.year("date")
-    folds = F.filter(F.array(*[F.lit(t) for t in test_years]), lambda t: t >= y)
-    out = df.select("*", F.explode(folds).alias("fold_year"))
+    first = F.greatest(y, F.col("__first") + 1)
+    folds = F.when(first <= F.col("__last"), F.sequence(first, F.col("__last")))
+    out = df.crossJoin(F.broadcast(bounds)).select(*df.columns, F.explode(folds).alias("fold_year"))
     return out.withColumn("role", F.when(F.col("fold_year") == y, F.lit("test")).otherwise(F.lit("train")))
 
 

@@ -39,8 +39,10 @@ def freshness(rows: DataFrame, cal_idx: DataFrame) -> DataFrame:
 
 
 def symbol_null_rate(raw: DataFrame, fields=("symbol", "date", "open", "high", "low", "close", "volume")) -> DataFrame:
-    """Share of rows with a NULL mandatory field, per symbol."""
-    anynull = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in fields if c != "symbol"])
+    """Share of rows with a NULL or NaN mandatory field, per symbol."""
+    from .gate import present_value
+
+    anynull = reduce(lambda a, b: a | b, [present_value(raw, c).isNull() for c in fields if c != "symbol"])
     g = raw.groupBy("symbol").agg(F.avg(anynull.cast("double")).alias("null_rate"), F.count(F.lit(1)).alias("n"))
     return g.withColumn("passes", F.col("null_rate") <= SYMBOL_NULL_RATE_MAX)
 

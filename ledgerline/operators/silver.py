@@ -35,8 +35,10 @@ def one_per_key(df: DataFrame, keys: list[str], order: str | None = None) -> Dat
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.select(*keys).distinct()
-    pick = F.max_by(F.struct(*rest), F.col(order)) if order else F.min(F.struct(*rest))
-    return df.groupBy(*keys).agg(pick.alias("__r")).select(*keys, "__r.*")
+    if order:  # equal orders: the larger row
+        row = F.max(F.struct(F.col(order).alias("__o"), F.struct(*rest).alias("__row")))
+        return df.groupBy(*keys).agg(row.alias("__r")).select(*keys, "__r.__row.*")
+    return df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("__r")).select(*keys, "__r.*")
 
 
 def _typed_nulls(cols: dict[str, str]) -> list:

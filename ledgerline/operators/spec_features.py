@@ -118,7 +118,7 @@ def relative_strength(df: DataFrame, index: DataFrame, tier_col: str = "cap_tier
         # exact percentile within (date, tier, market) without a one-task-per-day window
         from ..functions.ranking import rank_within
 
-        j = rank_within(j, ["date", tier_col, "market_context"], "rs_vs_index_63d", "__pr", materialize=True)
+        j = rank_within(j, ["date", tier_col, "market_context"], "rs_vs_index_63d", "__pr")
         j = j.withColumn("rs_rank_63d", F.col("__pr") * 100.0).drop("__pr")
     return j.drop("index_return_21d", "index_return_63d")
 

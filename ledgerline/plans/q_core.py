@@ -38,15 +38,15 @@ _G_CUTOFF = (f"(DATE '{GATE_ASOF}' + CAST(CASE dayofweek(DATE '{GATE_ASOF}') WHE
 _G_REASONS = f"""
 SELECT t.* EXCLUDE (ratio), list_filter([
     CASE WHEN t.ratio > 0.05 THEN 'batch_missing_ratio' END,
-    CASE WHEN NOT COALESCE(symbol IS NOT NULL AND date IS NOT NULL AND open IS NOT NULL AND high IS NOT NULL
+    CASE WHEN NOT COALESCE(symbol IS NOT NULL AND date IS NOT NULL AND open IS NOT NULL AND high IS NOT NULL AND NOT isnan(high)
                   AND low IS NOT NULL AND close IS NOT NULL AND volume IS NOT NULL, false) THEN 'missing_field' END,
-    CASE WHEN NOT COALESCE(open > 0 AND high > 0 AND low > 0 AND close > 0, false) THEN 'non_positive_price' END,
+    CASE WHEN NOT COALESCE(open > 0 AND high > 0 AND NOT isnan(high) AND low > 0 AND close > 0, false) THEN 'non_positive_price' END,
     CASE WHEN NOT COALESCE(volume >= 0, false) THEN 'negative_volume' END,
-    CASE WHEN NOT COALESCE(high >= low, false) THEN 'high_below_low' END,
+    CASE WHEN NOT COALESCE(high >= low AND NOT isnan(high), false) THEN 'high_below_low' END,
     CASE WHEN NOT COALESCE(TRY_CAST(date AS DATE) <= {_G_CUTOFF}, false) THEN 'bad_or_future_date' END,
     CASE WHEN symbol IS NULL OR symbol NOT IN (SELECT symbol FROM universe) THEN 'not_in_universe' END
   ], lambda x: x IS NOT NULL) AS g0_reasons
-FROM (SELECT *, avg(CASE WHEN symbol IS NULL OR date IS NULL OR open IS NULL OR high IS NULL OR low IS NULL
+FROM (SELECT *, avg(CASE WHEN symbol IS NULL OR date IS NULL OR open IS NULL OR high IS NULL OR isnan(high) OR low IS NULL
                             OR close IS NULL OR volume IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY date) AS ratio
       FROM raw_ticks) t"""
 _GATE_EXTRA = {"g0": _G_REASONS}
@@ -65,13 +65,15 @@ def g0_passing_rows(spark, d):
 
 
 @query("g14_g0_rejected_rows", O.cte(["g0"], f"""
-SELECT {_TICK_COLS}, array_to_string(g0_reasons, ',') AS reasons FROM g0 WHERE len(g0_reasons) > 0""",
+SELECT * REPLACE (CASE WHEN NOT isnan(high) THEN high END AS high) FROM (
+  SELECT {_TICK_COLS}, array_to_string(g0_reasons, ',') AS reasons FROM g0 WHERE len(g0_reasons) > 0) q""",
                                      _GATE_EXTRA, _GATE_DEPS), OHLC)
 def g0_rejected_rows(spark, d):
     """Rejected rows with their reason codes (the quarantine set)."""
     r = G.rejected_rows(_gate_verdicts(spark, d))
     reasons = F.array_join(F.col("g0_reasons"), ",")
-    return r.select("symbol", "date", *OHLC, "volume", *_TICK_ORDER, reasons.alias("reasons"))
+    high = F.nanvl("high", F.lit(None).cast("double")).alias("high")
+    return r.select("symbol", "date", *[high if c == "high" else c for c in OHLC], "volume", *_TICK_ORDER, reasons.alias("reasons"))
 
 
 @query("q08_g0_audit_by_batch", O.cte(["g0"], """
@@ -92,9 +94,9 @@ def g0_audit(spark, d):
 
 @query("q01_g0_missing_ratio", O.cte(["raw_ticks"], """
 SELECT date, count(*) AS input_count,
-       avg(CASE WHEN symbol IS NULL OR date IS NULL OR open IS NULL OR high IS NULL OR low IS NULL
+       avg(CASE WHEN symbol IS NULL OR date IS NULL OR open IS NULL OR high IS NULL OR isnan(high) OR low IS NULL
                      OR close IS NULL OR volume IS NULL THEN 1 ELSE 0 END) AS missing_ratio,
-       avg(CASE WHEN symbol IS NULL OR date IS NULL OR open IS NULL OR high IS NULL OR low IS NULL
+       avg(CASE WHEN symbol IS NULL OR date IS NULL OR open IS NULL OR high IS NULL OR isnan(high) OR low IS NULL
                      OR close IS NULL OR volume IS NULL THEN 1 ELSE 0 END) > 0.05 AS batch_rejected
 FROM raw_ticks GROUP BY date"""), ["missing_ratio"])
 def g0_missing_ratio(spark, d):

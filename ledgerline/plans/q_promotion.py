@@ -34,9 +34,9 @@ def g01(spark, d):
 
 
 @query("g02_symbol_null_rate", O.cte(["raw_ticks"], """
-SELECT symbol, avg(CASE WHEN date IS NULL OR open IS NULL OR high IS NULL OR low IS NULL OR close IS NULL
+SELECT symbol, avg(CASE WHEN date IS NULL OR open IS NULL OR high IS NULL OR isnan(high) OR low IS NULL OR close IS NULL
                         OR volume IS NULL THEN 1 ELSE 0 END) AS null_rate, count(*) AS n,
-       avg(CASE WHEN date IS NULL OR open IS NULL OR high IS NULL OR low IS NULL OR close IS NULL
+       avg(CASE WHEN date IS NULL OR open IS NULL OR high IS NULL OR isnan(high) OR low IS NULL OR close IS NULL
                 OR volume IS NULL THEN 1 ELSE 0 END) <= 0.02 AS passes
 FROM raw_ticks GROUP BY symbol"""), ["null_rate"])
 def g02(spark, d):

@@ -200,21 +200,31 @@ _LAGN = " + ".join([f"COALESCE(lag(n, {k}) OVER w, 0) * {0.5 ** (k / 2.0)!r}" if
 _CNT = " + ".join([f"COALESCE(lag(n, {k}) OVER w, 0)" if k else "n" for k in range(5)])
 
 
-@query("m08_sentiment_decay", O.cte(["art"], f"""
-SELECT symbol, day, cnt AS article_count_5d, CASE WHEN cnt < 2 THEN 0.0 ELSE num / den END AS sentiment_decayed
-FROM (SELECT symbol, day, {_CNT} AS cnt, {_LAGS} AS num, {_LAGN} AS den
-      FROM (SELECT g.symbol, g.day, COALESCE(a.p, 0) AS p, COALESCE(a.n, 0) AS n
-            FROM (SELECT symbol, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day
-                  FROM (SELECT symbol, min(day) AS lo, max(day) AS hi FROM art GROUP BY 1) s) g
-            LEFT JOIN art a ON g.symbol = a.symbol AND g.day = a.day) x
-      WINDOW w AS (PARTITION BY symbol ORDER BY day)) y""", {"art": """
-SELECT 'U' || CAST(user_id AS VARCHAR) AS symbol, CAST(ts AS DATE) AS day,
-       sum(least(greatest((value - 25.0) / 25.0, -1.0), 1.0)) AS p, count(*) AS n
-FROM events WHERE CAST(json_extract_string(props, '$.k') AS DOUBLE) / 100.0 >= 0.4 GROUP BY 1, 2"""}, {"art": []}),
-       ["sentiment_decayed"])
+_ART = """
+SELECT c.symbol, d.idx, sum(c.p) AS p, sum(c.n) AS n
+FROM (SELECT 'U' || CAST(user_id AS VARCHAR) AS symbol, CAST(ts AS DATE) AS day,
+             sum(least(greatest((value - 25.0) / 25.0, -1.0), 1.0)) AS p, count(*) AS n
+      FROM events WHERE CAST(json_extract_string(props, '$.k') AS DOUBLE) / 100.0 >= 0.4 GROUP BY 1, 2) c
+ASOF JOIN tdays d ON c.day <= d.day GROUP BY 1, 2"""
+_TDAYS = """
+SELECT day, row_number() OVER (ORDER BY day) AS idx
+FROM (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events WHERE isodow(ts) <= 5) t"""
+
+
+@query("m08_sentiment_decay", O.cte(["tdays", "art"], f"""
+SELECT symbol, day, cnt AS article_count_5d, CASE WHEN cnt < 2 THEN 0.0 ELSE num / den END AS sentiment_decayed,
+       cnt < 2 AS low_coverage
+FROM (SELECT symbol, idx, {_CNT} AS cnt, {_LAGS} AS num, {_LAGN} AS den
+      FROM (SELECT g.symbol, g.idx, COALESCE(a.p, 0) AS p, COALESCE(a.n, 0) AS n
+            FROM (SELECT symbol, unnest(generate_series(lo, hi)) AS idx
+                  FROM (SELECT symbol, min(idx) AS lo, max(idx) AS hi FROM art GROUP BY 1) s) g
+            LEFT JOIN art a ON g.symbol = a.symbol AND g.idx = a.idx) x
+      WINDOW w AS (PARTITION BY symbol ORDER BY idx)) y JOIN tdays USING (idx)""",
+                                    {"art": _ART, "tdays": _TDAYS}, {"art": ["tdays"], "tdays": []}), ["sentiment_decayed"])
 def m08(spark, d):
-    """Recency-weighted (half-life 2 days) article polarity over 5 days; neutral under 2 articles."""
-    return N.sentiment_decay(articles(spark, d))
+    """Recency-weighted (half-life 2 days) article polarity over 5 trading days; neutral under 2 articles."""
+    a = articles(spark, d)
+    return N.sentiment_decay(a, a.select("day").where(F.weekday("day") < 5))
 
 
 @query("m09_news_novelty", """
@@ -281,15 +291,21 @@ def _ev(names, body, extra=None, deps=None):
     return O.cte(names, body, {**EX, **(extra or {})}, {**ED, **(deps or {})})
 
 
-TEST_YEARS = [1998, 1999, 2000, 2001]
+def ship_dates(spark, d):
+    """The days that the data covers; their years are the folds."""
+    return TV.table(spark, d, "lineitem").select(F.col("l_shipdate").cast("date").alias("date"))
+
+
+_FOLDS = """generate_series(greatest(year(date), (SELECT min(year(l_shipdate)) + 1 FROM lineitem)),
+                                (SELECT max(year(l_shipdate)) FROM lineitem))"""
 
 
 @query("v01_walk_forward_folds", _ev(["ev"], f"""
 SELECT symbol, date, CAST(f AS INTEGER) AS fold_year, CASE WHEN f = year(date) THEN 'test' ELSE 'train' END AS role
-FROM (SELECT symbol, date, unnest(list_filter({TEST_YEARS}, lambda t: t >= year(date))) AS f FROM ev) x"""))
+FROM (SELECT symbol, date, unnest({_FOLDS}) AS f FROM ev) x"""))
 def v01(spark, d):
     """Expanding walk-forward folds by test year (no random split)."""
-    return V.walk_forward_folds(ev_frame(spark, d).select("symbol", "date"), TEST_YEARS)
+    return V.walk_forward_folds(ev_frame(spark, d).select("symbol", "date"), ship_dates(spark, d))
 
 
 _CLS = """
@@ -497,12 +513,12 @@ FROM (SELECT CAST(f AS INTEGER) AS fold_year,
                       THEN CASE WHEN label_direction_1d = pred_reversal THEN 1.0 ELSE 0.0 END END) AS new_test,
              avg(CASE WHEN label_direction_1d IS NOT NULL AND pred_reversal IS NOT NULL AND f <> year(date)
                       THEN CASE WHEN label_direction_1d = pred_reversal THEN 1.0 ELSE 0.0 END END) AS new_train
-      FROM (SELECT *, unnest(list_filter({TEST_YEARS}, lambda t: t >= year(date))) AS f FROM ev) x GROUP BY 1) t"""),
+      FROM (SELECT *, unnest({_FOLDS}) AS f FROM ev) x GROUP BY 1) t"""),
        ["old_test_accuracy", "new_test_accuracy", "accuracy_gain", "overfit_gap"])
 def v10(spark, d):
     """Per walk-forward fold, promote the reversal rule over the momentum
     rule when it gains 2 points of test accuracy with a train-test gap <= 20 points."""
-    folds = V.walk_forward_folds(ev_frame(spark, d), TEST_YEARS)
+    folds = V.walk_forward_folds(ev_frame(spark, d), ship_dates(spark, d))
     acc = V.fold_accuracy(folds, "label_direction_1d", {"old": "pred_direction", "new": "pred_reversal"})
     return V.promotion_decision(acc, "old", "new")
 

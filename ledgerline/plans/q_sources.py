@@ -134,7 +134,7 @@ _FUND_MONEY = ["market_cap", "total_revenue", "net_income", "operating_cashflow"
 FUND_SQL = f"""
 SELECT {TV.symbol_sql('s_suppkey')} AS symbol,
        CASE WHEN s_acctbal > 1000 THEN s_acctbal / 100.0 END AS pe_ratio, s_acctbal / 120.0 AS forward_pe,
-       CAST(n AS DOUBLE) / 10.0 AS price_to_book, rev * 4.0 AS market_cap, CAST(NULL AS DOUBLE) AS institutional_ownership_pct,
+       CAST(n AS DOUBLE) / 10.0 AS price_to_book, rev * 4.0 AS market_cap, CAST(0.0 AS DOUBLE) AS institutional_ownership_pct,
        CAST(n AS DOUBLE) * 1000.0 AS implied_institutional_ownership_pct, disc AS held_percent_institutions,
        tax AS held_percent_insiders, CAST(NULL AS DOUBLE) AS short_ratio, CAST(NULL AS DOUBLE) AS short_percent_of_float,
        CASE WHEN s_acctbal > 0 THEN rev END AS total_revenue, rev * 0.1 AS net_income,

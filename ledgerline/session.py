@@ -15,6 +15,8 @@ _BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
+    # rows of one symbol lie in one partition: joins on (symbol, date) need no other layout
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
@@ -56,13 +58,15 @@ def get_spark(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared (distributed) folder there; only when it is
-    unset (local tests) do we fall back to a fresh temporary folder.
+    A cluster names a shared (distributed) folder there; a local master
+    without one gets a fresh temporary folder, any other is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path

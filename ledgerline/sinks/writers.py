@@ -1,11 +1,9 @@
-"""Sinks K01-K11 and snapshot reads R13-R17.
-
-Tables are Parquet folders.  Snapshot-versioned tables (silver, gold) carry a
-``snapshot_id`` partition column plus a small commit-log table, which gives
-append snapshots, latest-snapshot reads and time travel without a table
-format jar.  Every write is a plain DataFrame write, so it is retried by
-Spark's task retry and committed atomically per task by the output
-committer.
+"""Sinks K01-K11 and reads R13, R15.
+
+Tables are Parquet folders.  Tables that are appended to (silver, gold) carry
+a ``snapshot_id`` partition column, one value per write, so readers of the
+newest write read one folder.  Every write is a plain DataFrame write, which
+Spark's task retry and output committer protect.
 """
 
 from __future__ import annotations
@@ -18,26 +16,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: One table for gate and job records; fields that a record lacks are NULL.
 AUDIT_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()), T.StructField("job_id", T.StringType()),
     T.StructField("source", T.StringType()), T.StructField("date", T.StringType()),
     T.StructField("input_count", T.LongType()), T.StructField("pass_count", T.LongType()),
     T.StructField("reject_count", T.LongType()), T.StructField("quarantine_path", T.StringType()),
     T.StructField("status", T.StringType()), T.StructField("timestamp", T.StringType()),
+    T.StructField("job_date", T.StringType()), T.StructField("metrics", T.StringType()),
+    T.StructField("error_message", T.StringType()),
 ])
 
-COMMIT_SCHEMA = T.StructType([
-    T.StructField("snapshot_id", T.LongType()), T.StructField("committed_at", T.TimestampType()),
-    T.StructField("operation", T.StringType()),
-])
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(p)
-
 
 def write_bronze(df: DataFrame, path: str, partition_cols=("market_context", "date")) -> str:
     """Parquet (snappy) partitioned by context and date.
@@ -78,6 +67,14 @@ def append_audit(spark: SparkSession, rows: list[dict], path: str) -> str:
     return path
 
 
+def audit_row(job_id: str, run_id: str, status: str, source: str | None = None, date: str | None = None,
+              input_count: int = 0, pass_count: int = 0, reject_count: int = 0, quarantine_path: str = "") -> dict:
+    """The gate's audit record."""
+    return {"run_id": run_id, "job_id": job_id, "source": source, "date": date, "input_count": int(input_count),
+            "pass_count": int(pass_count), "reject_count": int(reject_count), "quarantine_path": quarantine_path,
+            "status": status, "timestamp": datetime.now(timezone.utc).isoformat()}
+
+
 def job_audit_row(job_id: str, run_id: str, status: str, metrics: dict | None = None,
                   error_message: str | None = None, job_date: str | None = None) -> dict:
     """The job-level audit record (one typed signature, T11)."""
@@ -88,70 +85,46 @@ def job_audit_row(job_id: str, run_id: str, status: str, metrics: dict | None =
 
 
 # ---------------------------------------------------------------------------
-# snapshot tables
+# tables of successive writes
 # ---------------------------------------------------------------------------
 
-def _log_path(path: str) -> str:
-    return f"{path.rstrip('/')}/_commits"
-
+def on_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` projected onto a fixed table schema; missing columns as typed NULLs."""
+    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                       for f in schema.fields])
 
-def _data_path(path: str) -> str:
-    return f"{path.rstrip('/')}/data"
 
-
-def append_snapshot(df: DataFrame, path: str, operation: str = "append",
-                    schema: T.StructType | None = None) -> int:
-    """Append ``df`` as a new snapshot; create the table if absent.
-
-    With ``schema`` the frame is projected onto the fixed table schema
-    (missing columns as typed NULLs).
-    """
-    spark = df.sparkSession
+def append_snapshot(df: DataFrame, path: str, schema: T.StructType | None = None) -> int:
+    """Append ``df`` under a new ``snapshot_id``; create the table if absent."""
     if schema is not None:
-        df = df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-                         for f in schema.fields])
-    now = datetime.now(timezone.utc)
-    sid = int(now.timestamp() * 1_000_000) * 10 + uuid.uuid4().int % 10  # epoch micros + a random digit
-    df.withColumn("snapshot_id", F.lit(sid)).write.mode("append").partitionBy("snapshot_id").parquet(_data_path(path))
-    log = spark.createDataFrame([(sid, datetime.now(timezone.utc).replace(tzinfo=None), operation)], COMMIT_SCHEMA)
-    log.coalesce(1).write.mode("append").parquet(_log_path(path))
+        df = on_schema(df, schema)
+    sid = int(datetime.now(timezone.utc).timestamp() * 1_000_000) * 10 + uuid.uuid4().int % 10
+    df.withColumn("snapshot_id", F.lit(sid)).write.mode("append").partitionBy("snapshot_id").parquet(path)
     return sid
 
 
-def overwrite_snapshot(df: DataFrame, path: str) -> int:
-    """Full rebuild; readers of the latest snapshot see only this data."""
-    return append_snapshot(df, path, operation="overwrite")
-
-
-def list_snapshots(spark: SparkSession, path: str) -> DataFrame:
-    """snapshot_id, committed_at, operation ordered by commit time."""
-    return spark.read.schema(COMMIT_SCHEMA).parquet(_log_path(path)).orderBy("committed_at", "snapshot_id")
+def overwrite_table(df: DataFrame, path: str) -> int:
+    """Full rebuild; the table holds this write alone."""
+    sid = int(datetime.now(timezone.utc).timestamp() * 1_000_000) * 10 + uuid.uuid4().int % 10
+    (df.withColumn("snapshot_id", F.lit(sid)).write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("snapshot_id").parquet(path))
+    return sid
 
 
-def read_snapshot_table(spark: SparkSession, path: str, as_of=None, schema: T.StructType | None = None) -> DataFrame:
-    """The table as of a time (default now).
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None, newest: bool = False) -> DataFrame:
+    """All rows of the table, or those of the newest write.
 
-    Rows of every append snapshot committed by then, starting from the last
-    overwrite.  The snapshot id filter is a partition filter, so only those
-    folders are listed and read.  With ``schema`` older snapshots read newly
-    added columns as NULL (K09).
-    """
-    log = list_snapshots(spark, path)
-    if as_of is not None:
-        log = log.filter(F.col("committed_at") <= F.lit(as_of).cast("timestamp"))
-    rows = log.collect()  # the commit log is one row per write: small by construction
-    ids: list[int] = []
-    for r in rows:
-        if r.operation == "overwrite":
-            ids = []
-        ids.append(r.snapshot_id)
+    With ``schema`` no footers are merged: rows of older writes read columns
+    added since as NULL (K09).  ``newest`` filters on the partition column,
+    so other writes are not read."""
     reader = spark.read
     if schema is not None:
-        reader = reader.schema(T.StructType(list(schema.fields) + [T.StructField("snapshot_id", T.LongType())]))
-    data = reader.option("mergeSchema", "true").parquet(_data_path(path))
-    if not ids:
-        return data.limit(0)
-    return data.filter(F.col("snapshot_id").isin(ids))
+        reader = reader.schema(T.StructType([*schema.fields, T.StructField("snapshot_id", T.LongType())]))
+    data = reader.parquet(path)
+    if not newest:
+        return data
+    last = data.select("snapshot_id").distinct().agg(F.max("snapshot_id").alias("m")).first()["m"]
+    return data.where(F.col("snapshot_id") == F.lit(last))
 
 
 def scan_partitioned(spark: SparkSession, base: str, schema: T.StructType | None = None) -> DataFrame:
@@ -175,10 +148,12 @@ def evolve_union(old: DataFrame, new: DataFrame) -> DataFrame:
 def upsert_latest(existing: DataFrame, incoming: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Insert-or-replace by key, newest ``order`` wins.
 
-    A partial aggregate (``max_by``) instead of a window, so a hot key is
-    reduced on the map side.
+    Rows of one ``order`` value are resolved, too: incoming beats existing,
+    then the larger row.  A partial aggregate instead of a window, so a hot
+    key is reduced on the map side.
     """
-    u = existing.unionByName(incoming, allowMissingColumns=True)
-    cols = [c for c in u.columns]
+    u = existing.withColumn("__new", F.lit(0)).unionByName(incoming.withColumn("__new", F.lit(1)), allowMissingColumns=True)
+    cols = [c for c in u.columns if c != "__new"]
+    ranked = F.struct(F.col(order).alias("__o"), "__new", F.struct(*cols).alias("__row"))
     return (u.groupBy(*[F.col(k).alias(f"__k_{k}") for k in keys])
-            .agg(F.max_by(F.struct(*cols), F.col(order)).alias("__r")).select("__r.*"))
+            .agg(F.max(ranked).alias("__r")).select("__r.__row.*"))

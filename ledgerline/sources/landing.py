@@ -159,7 +159,7 @@ def _long_from_kv(long: DataFrame, sep: str) -> DataFrame:
     parts = F.split(F.col("__k"), re.escape(sep), 2)
     long = long.select("date", parts[0].alias("symbol"), F.lower(parts[1]).alias("field"), "__v")
     fields = [f.lower() for f in OHLCV_WIDE_FIELDS]
-    out = long.groupBy("date", "symbol").pivot("field", fields).agg(F.first("__v"))
+    out = long.groupBy("date", "symbol").pivot("field", fields).agg(F.max("__v"))
     return X.drop_all_null_bars(out.withColumn("volume", F.col("volume").cast("long")))
 
 
@@ -229,7 +229,9 @@ _FUND_SCHEMA = "struct<" + ", ".join(f"{k}: double" for k, _ in FUNDAMENTAL_FIEL
 def flatten_fundamentals_json(df: DataFrame, json_col: str = "json", symbol_col: str = "symbol") -> DataFrame:
     """One flat JSON object per symbol to the renamed bronze columns + F13."""
     p = df.select(F.col(symbol_col).alias("symbol"), F.from_json(F.col(json_col), _FUND_SCHEMA).alias("__f"))
-    cols = [F.col(f"__f.{k}").alias(v) for k, v in FUNDAMENTAL_FIELDS]
+    # an absent share of institutions is 0, every other absent key NULL
+    zero = {"institutional_ownership_pct"}
+    cols = [(F.coalesce(f"__f.{k}", F.lit(0.0)) if v in zero else F.col(f"__f.{k}")).alias(v) for k, v in FUNDAMENTAL_FIELDS]
     out = p.select("symbol", *cols)
     return out.withColumn("fundamental_presence_flag", X.fundamental_presence_flag("pe_ratio", "total_revenue"))
 

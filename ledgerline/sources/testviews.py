@@ -22,51 +22,9 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-# Tables whose size grows with the data.  Dimensions (region, nation,
-# supplier) stay as read: they are small and broadcast or joined whole.
-FACT_TABLES = frozenset({"lineitem", "orders", "customer", "part", "events", "documents", "pages",
-                         "conversations", "embeddings", "labels"})
-# Hash keys for the parallelism guard (a hash repartition is deterministic
-# on task retry without the local sort a round-robin repartition needs).
-_SPREAD_KEYS = {"lineitem": ("l_orderkey", "l_linenumber"), "orders": ("o_orderkey",),
-                "customer": ("c_custkey",), "part": ("p_partkey",), "events": ("event_id",),
-                "documents": ("doc_id",), "pages": ("page_id",), "conversations": ("conv_id", "turn"),
-                "embeddings": ("vec_id",), "labels": ("doc_id",)}
-
-_READS: dict = {}
-
-
-def spread_scan(df: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
-    """Input parallelism guard for a fact table.
-
-    A file written as one large row group is read by a single task, and every
-    operator fused into the scan stage (projections, gate rules, the map side
-    of aggregates) then runs on one core.  When the scan yields fewer splits
-    than the cluster has cores, spread the rows by a hash of the table key;
-    filters and column pruning still reach the scan below the exchange.  A
-    well laid out table (many files / row groups, as at cluster scale) has
-    far more splits than cores and is returned unchanged.
-    """
-    sc = df.sparkSession.sparkContext
-    target = sc.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    cols = [k for k in keys if k in df.columns]
-    return df.repartition(target, *cols) if cols else df.repartition(target)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; the DataFrame is built once per session and path
-    (no repeated footer reads and identical plans, so exchanges are reused)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), spark.sparkContext.applicationId, path)
-    df = _READS.get(key)
-    if df is None:
-        df = spark.read.parquet(path)
-        if name in FACT_TABLES:
-            df = spread_scan(df, _SPREAD_KEYS.get(name, ()))
-        _READS[key] = df
-    return df
+    """A driver table, whole."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def symbol_of(suppkey: str | Column) -> Column:
@@ -152,7 +110,8 @@ def raw_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
         symbol_of("l_suppkey").alias("symbol"),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"),
         px.alias("open"),
-        F.when(F.col("l_quantity") == 50, lo * 0.99).otherwise(px * (1 + F.col("l_tax"))).alias("high"),
+        # a NaN is a missing value, too
+        F.when(F.col("l_partkey") % 97 == 5, F.lit(float("nan"))).when(F.col("l_quantity") == 50, lo * 0.99).otherwise(px * (1 + F.col("l_tax"))).alias("high"),
         lo.alias("low"),
         F.when((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 7), -px)
         .otherwise(px * (1 - F.col("l_discount") / 2)).alias("close"),
@@ -166,7 +125,8 @@ def raw_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 RAW_TICKS_SQL = f"""
 SELECT {symbol_sql('l_suppkey')} AS symbol, strftime(l_shipdate, '%Y-%m-%d') AS date,
        l_extendedprice / l_quantity AS open,
-       CASE WHEN l_quantity = 50 THEN l_extendedprice / l_quantity * (1 - l_discount) * 0.99
+       CASE WHEN l_partkey % 97 = 5 THEN CAST('NaN' AS DOUBLE)
+            WHEN l_quantity = 50 THEN l_extendedprice / l_quantity * (1 - l_discount) * 0.99
             ELSE l_extendedprice / l_quantity * (1 + l_tax) END AS high,
        l_extendedprice / l_quantity * (1 - l_discount) AS low,
        CASE WHEN l_returnflag = 'R' AND l_linenumber = 7 THEN -(l_extendedprice / l_quantity)

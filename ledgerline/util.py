@@ -66,17 +66,6 @@ def rounded(df: DataFrame, digits: int = 6, only: Iterable[str] | None = None,
     return df.select(*out)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast ``df`` only when it is proven to hold at most ``max_rows``.
-
-    The check reads at most ``max_rows + 1`` rows (the scan stops early).
-    Above the bound the frame is returned unchanged and the planner falls
-    back to a shuffle join (AQE may still convert it at run time).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def symbol_window(by: str | list[str] = "symbol", order: str = "date") -> Window:
     by = [by] if isinstance(by, str) else list(by)
     return Window.partitionBy(*by).orderBy(order)

@@ -32,26 +32,6 @@ def test_exact_avg_ignores_nulls(spark):
     assert r["a"] == 2.0
 
 
-def test_spread_scan_only_on_under_split_input(spark):
-    raw = spark.read.parquet(f"{SF01}/lineitem.parquet")
-    target = spark.sparkContext.defaultParallelism
-    spread = TV.spread_scan(raw, ("l_orderkey", "l_linenumber"))
-    if raw.rdd.getNumPartitions() < target:
-        assert spread.rdd.getNumPartitions() == target
-        # filters and column pruning still reach the scan below the exchange
-        q = spread.filter(F.col("l_quantity") > 10).select("l_orderkey")
-        plan = q._jdf.queryExecution().executedPlan().toString()
-        assert "PushedFilters: [IsNotNull(l_quantity), GreaterThan(l_quantity,10.0)]" in plan
-        # only the selected column, the filter column and the spread keys are read
-        assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_quantity:double>" in plan
-    else:
-        assert spread is raw
-    assert spread.count() == raw.count()
-    # an input with enough splits is returned unchanged
-    many = raw.repartition(target * 2)
-    assert TV.spread_scan(many, ("l_orderkey",)) is many
-
-
 def test_lookahead_counts_multiset_differences(spark):
     from ledgerline.operators import promotion as P
 

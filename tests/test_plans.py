@@ -34,15 +34,24 @@ def test_bars_aggregate_partially_before_shuffle(spark):
 
 
 def test_gold_windows_add_no_exchange(spark):
-    plan = _plan(daily.gold(spark, SF001))
-    lines = [ln for ln in plan.split("\n") if "Exchange hashpartitioning" in ln]
-    # the scan parallelism guard (TV.spread_scan) spreads an under-split fact
-    # table on its own key right above the scan; it is counted apart
-    guard = [ln for ln in lines if "REPARTITION_BY_NUM" in ln]
-    assert all("l_orderkey" in ln or "o_orderkey" in ln for ln in guard)
-    # sources: bars (1) + symbol repartitions of bronze, circuit, sentiment, delivery, sectors (5) + the
-    # universe distinct (1); windows, the lifecycle and the joins add none
-    assert len(lines) - len(guard) <= 7
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        count = lambda df: _plan(df).count("Exchange hashpartitioning")
+        silver, gold = count(daily.silver(spark, SF001)), count(daily.gold(spark, SF001))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # joins on (symbol, date), the lifecycle and every feature window use the symbol layout
+    assert gold <= 2 * silver and silver <= 13, (silver, gold)
+
+
+def test_ranks_have_no_window_over_a_whole_day(spark):
+    from ledgerline.functions.ranking import rank_within
+
+    df = spark.range(2000).selectExpr("'2024-01-01' as date", "if(id % 10 > 0, 0.5D, cast(id as double)) as x")
+    plan = _plan(rank_within(df, ["date"], "x", "r"))
+    assert "partial_count" in plan and "__range" in plan
+    # windows run over distinct values of a range, or over the counts of the ranges
+    assert all("__value" in w or "__in" in w for w in plan.split("\n") if " Window [" in w)
 
 
 def test_bars_aggregate_is_hash_based(spark):

@@ -1,7 +1,5 @@
 """Sinks: bronze dynamic partition overwrite, snapshot tables, schema evolution, upsert."""
 
-import time
-
 from pyspark.sql import functions as F
 
 from ledgerline.sinks import writers as W
@@ -19,24 +17,16 @@ def test_bronze_rerun_replaces_one_day(spark, tmp_path):
     assert got == [("A.NS", "2024-01-01", 1.0), ("A.NS", "2024-01-02", 9.0)]
 
 
-def test_snapshots_time_travel_and_overwrite(spark, tmp_path):
-    path = str(tmp_path / "silver")
-    W.append_snapshot(spark.createDataFrame([("AAPL", "2024-01-02", 185.9)], "symbol string, d string, close double"),
-                      path)
-    W.append_snapshot(spark.createDataFrame([("AAPL", "2024-01-03", 184.6)], "symbol string, d string, close double"),
-                      path)
-    time.sleep(0.01)
-    cut = spark.sql("select current_timestamp() t").first().t
-    time.sleep(1.1)
-    W.append_snapshot(spark.createDataFrame([("MSFT", "2024-01-04", 370.0)], "symbol string, d string, close double"),
-                      path)
-    assert W.read_snapshot_table(spark, path).count() == 3
-    assert W.list_snapshots(spark, path).count() == 3
-    old = W.read_snapshot_table(spark, path, as_of=cut.strftime("%Y-%m-%d %H:%M:%S.%f"))
-    assert sorted(r.d for r in old.collect()) == ["2024-01-02", "2024-01-03"]
-    W.overwrite_snapshot(spark.createDataFrame([("X", "2024-02-01", 1.0)], "symbol string, d string, close double"),
-                         path)
-    assert [r.symbol for r in W.read_snapshot_table(spark, path).collect()] == ["X"]
+def test_appends_newest_write_and_overwrite(spark, tmp_path):
+    path, schema = str(tmp_path / "silver"), "symbol string, d string, close double"
+    W.append_snapshot(spark.createDataFrame([("AAPL", "2024-01-02", 185.9)], schema), path)
+    W.append_snapshot(spark.createDataFrame([("MSFT", "2024-01-04", 370.0)], schema), path)
+    assert W.read_table(spark, path).count() == 2
+    assert [r.symbol for r in W.read_table(spark, path, newest=True).collect()] == ["MSFT"]
+    wide = spark.createDataFrame([], schema + ", tier string").schema
+    assert {r.tier for r in W.read_table(spark, path, wide).collect()} == {None}
+    W.overwrite_table(spark.createDataFrame([("X", "2024-02-01", 1.0)], schema), path)
+    assert [r.symbol for r in W.read_table(spark, path).collect()] == ["X"]
 
 
 def test_schema_evolution_reads_null(spark):
@@ -52,14 +42,20 @@ def test_upsert_latest(spark):
     inc = spark.createDataFrame([("A", "2024-01-02", 0.9, 2)], "symbol string, prediction_date string, p double, version int")
     got = {r.symbol: r.p for r in W.upsert_latest(cur, inc, ["symbol", "prediction_date"], "version").collect()}
     assert got == {"A": 0.9, "B": 0.2}
+    # equal versions: the incoming row wins, whatever the order of the rows
+    tie = inc.withColumn("version", F.lit(1))
+    for existing in (cur, cur.orderBy(F.desc("p"))):
+        got = {r.symbol: r.p for r in W.upsert_latest(existing, tie, ["symbol", "prediction_date"], "version").collect()}
+        assert got == {"A": 0.9, "B": 0.2}
 
 
 def test_landing_and_audit(spark, tmp_path):
     df = spark.createDataFrame([("2024-01-02", "x")], "date string, v string")
     W.write_landing_raw(df, str(tmp_path / "land"), "json")
     assert spark.read.json(str(tmp_path / "land")).count() == 1
-    W.append_audit(spark, [W.job_audit_row("J01", "r1", "SUCCESS") | {"source": "s", "date": "d", "input_count": 1,
-                                                                         "pass_count": 1, "reject_count": 0,
-                                                                         "quarantine_path": ""}],
-                   str(tmp_path / "audit"))
-    assert spark.read.parquet(str(tmp_path / "audit")).select(F.col("status")).first().status == "SUCCESS"
+    path = str(tmp_path / "audit")
+    W.append_audit(spark, [W.job_audit_row("J01", "r1", "SUCCESS", {"rows": 3}, "late", "2024-01-02")], path)
+    W.append_audit(spark, [W.audit_row("G0", "r2", "PASS", "bars", "2024-01-02", 5, 4, 1)], path)
+    got = {r.run_id: r for r in spark.read.parquet(path).collect()}
+    assert got["r1"].metrics == '{"rows": 3}' and got["r1"].error_message == "late" and got["r1"].job_date == "2024-01-02"
+    assert got["r2"].pass_count == 4 and got["r2"].metrics is None
