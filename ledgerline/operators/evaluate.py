@@ -8,7 +8,7 @@ per-row expression, or a window over one row per date after aggregation
 from __future__ import annotations
 
 import math
-from functools import reduce
+
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -249,4 +249,3 @@ def reconcile_counts(a: DataFrame, b: DataFrame, key: str = "date", tolerance: f
     return j.withColumn("diff_ratio", diff).withColumn("mismatch", diff > tolerance)
 
 
-__all__ = ["reduce"]

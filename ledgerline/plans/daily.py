@@ -1,11 +1,11 @@
 """The daily batch plan over the stand-in tables.
 
-Exchange plan (checked with ``explain``): the bars aggregate shuffles
-pre-aggregated rows on (symbol, date); from there everything is hash
-partitioned on ``symbol`` once - gate universe join, de-duplication, the
-silver joins, the lifecycle aggregate and all feature windows reuse that
-partitioning.  Market-wide tables (macro by date, regime by market and
-date) are one row per calendar day and are broadcast.
+The bars aggregate shuffles pre-aggregated rows on (symbol, date); each source
+is then hash partitioned on ``symbol`` once, and with
+``spark.sql.requireAllClusterKeysForCoPartition`` off that layout serves the
+(symbol, date) joins, the lifecycle and all feature windows.  Market-wide
+tables (macro by date, regime by market and date) are one row per calendar
+day and are broadcast.
 """
 
 from __future__ import annotations
@@ -36,6 +36,13 @@ def bronze_ohlcv(spark: SparkSession, sf_dir: str, asof: str = DEFAULT_ASOF,
             .withColumn("ingestion_run_id", F.lit(run_id)))
 
 
+def trading_days(spark: SparkSession, sf_dir: str, asof: str = DEFAULT_ASOF) -> DataFrame:
+    """(market_context, date) of every day on which a market has a passing
+    bar: silver's days, without building silver."""
+    v = G.verdicts(TV.bars(spark, sf_dir), TV.universe(spark, sf_dir), asof)
+    return v.where("g0_pass").select(X.market_context("symbol").alias("market_context"), "date").distinct()
+
+
 def silver(spark: SparkSession, sf_dir: str, asof: str = DEFAULT_ASOF, ts: str = DEFAULT_TS,
            bronze: DataFrame | None = None) -> DataFrame:
     """J11 grand join over every stand-in source."""

@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import features as FT
 from ..operators import gate as G
-from ..operators import regime as RG
 from ..operators import silver as SV
 from ..sources import testviews as TV
 from . import daily
@@ -251,4 +249,3 @@ def flagship(spark, d):
     return daily.flagship(spark, d)
 
 
-__all__ = ["FT", "RG"]

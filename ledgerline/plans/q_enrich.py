@@ -23,14 +23,14 @@ def _rows(spark, d):
     return daily.silver(spark, d)
 
 
-def _cal(s):
-    return EN.trading_calendar_index(s)
+def _cal(spark, d):
+    return EN.trading_calendar_index(daily.trading_days(spark, d))
 
 
 @query("e03_trading_day_index", O.cte(["cal"], "SELECT * FROM cal", EXTRA, DEPS))
 def e03(spark, d):
     """Dense per-market index of trading days."""
-    return _cal(_rows(spark, d))
+    return _cal(spark, d)
 
 
 _E04 = f"""
@@ -69,7 +69,7 @@ def e04(spark, d):
     pre-result volume build-up and post-result opening gap."""
     s = _rows(spark, d)
     out = EN.earnings_features(s.select("symbol", "date", "market_context", "open", "close", "volume"),
-                               TV.earnings_events(spark, d), _cal(s))
+                               TV.earnings_events(spark, d), _cal(spark, d))
     return out.select("symbol", "date", "day_index", "days_to_next_earnings", "days_since_last_earnings",
                       "pre_earnings_zone_flag", "earnings_blackout_flag", "earnings_date_unknown_flag",
                       "earnings_cycle_position", "pre_earnings_volume_buildup", "post_earnings_gap_1d")
@@ -114,7 +114,7 @@ def e11(spark, d):
     impacted sectors, blackout flag and event type."""
     s = _rows(spark, d)
     out = EN.macro_event_features(s.select("symbol", "date", "market_context", "sector"),
-                                  TV.macro_events(spark, d), _cal(s))
+                                  TV.macro_events(spark, d), _cal(spark, d))
     return out.select("symbol", "date", "days_to_next_macro_event", "macro_event_blackout_flag", "macro_event_type")
 
 
@@ -157,7 +157,7 @@ def e14(spark, d):
     """Every trading day of the symbol's market between its first and
     last bar, price filled over at most 3 missing days, volume over 2."""
     s = _rows(spark, d)
-    return EN.gap_fill(s.select("symbol", "date", "market_context", "close", "volume"), _cal(s))
+    return EN.gap_fill(s.select("symbol", "date", "market_context", "close", "volume"), _cal(spark, d))
 
 
 @query("e15_is_valid_row", O.cte(["silver", "bar_actions"], """

@@ -4,9 +4,6 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import functions as F
-
-from ..operators import features as FT
 from ..operators import regime as RG
 from ..operators import spec_features as SF
 from ..sources import landing as L
@@ -418,4 +415,3 @@ def fe33m(spark, d):
     return SF.resample_bars(_silver(spark, d), "month")
 
 
-__all__ = ["FT", "F"]

@@ -18,7 +18,7 @@ def label_rows(spark, d):
     s = daily.silver(spark, d)
     g = daily.gold(spark, d, keep_nulls=True, silver_df=s).select(
         "symbol", "date", "market_context", "open", "high", "low", "close", "atr_14")
-    cal = EN.trading_calendar_index(s)  # one row per market-day
+    cal = EN.trading_calendar_index(daily.trading_days(spark, d))  # one row per market-day
     g = g.join(F.broadcast(cal), ["market_context", "date"], "left")
     sp = (TV.bar_corporate_actions(spark, d).filter(F.col("action_type") == "split")
           .select("symbol", "date", F.lit(1).alias("split_flag")))

@@ -30,7 +30,7 @@ LEFT JOIN (SELECT market_context, max(day_index) AS max_index FROM cal GROUP BY
 def g01(spark, d):
     """Trading days since each symbol's latest bar (fresh when <= 2)."""
     s = daily.silver(spark, d)
-    return P.freshness(s, EN.trading_calendar_index(s))
+    return P.freshness(s, EN.trading_calendar_index(daily.trading_days(spark, d)))
 
 
 @query("g02_symbol_null_rate", O.cte(["raw_ticks"], """
@@ -193,7 +193,7 @@ def g12(spark, d):
     result-date coverage."""
     s = daily.silver(spark, d)
     e = EN.earnings_features(s.select("symbol", "date", "market_context", "open", "close", "volume"),
-                             TV.earnings_events(spark, d), EN.trading_calendar_index(s))
+                             TV.earnings_events(spark, d), EN.trading_calendar_index(daily.trading_days(spark, d)))
     dl = TV.delivery(spark, d).select("symbol", "date", F.lit(True).alias("has_delivery"))
     rows = e.select("symbol", "date", "market_context", "days_to_next_earnings").join(dl, ["symbol", "date"], "left")
     rows = rows.withColumn("has_delivery", F.coalesce("has_delivery", F.lit(False)))

@@ -20,7 +20,7 @@ from ..util import exact_avg_sql, safe_corr_sql
 from .catalog import query
 from .q_enrich import _E04, _E04_DEPS, _E04_EXTRA, _E11_DEPS, _E11_EXTRA
 from .q_enrich import _E11 as E11_SQL
-from .q_features import FE01, FE10, macro_daily
+from .q_features import FE01, macro_daily
 from .q_labels import DEPS as LAB_DEPS
 from .q_labels import EXTRA as LAB_EXTRA
 from .q_labels import labels
@@ -479,7 +479,7 @@ def serve_frame(spark, d):
     from ..operators import promotion as P
 
     s = daily.silver(spark, d)
-    cal = EN.trading_calendar_index(s)
+    cal = EN.trading_calendar_index(daily.trading_days(spark, d))
     rows = s.select("symbol", "date", "market_context", "sector", "open", "close", "volume", "circuit_band")
     rows = EN.earnings_features(rows, TV.earnings_events(spark, d), cal)
     rows = EN.circuit_flags(rows)
@@ -594,4 +594,3 @@ def v15(spark, d):
     return g.select("symbol", "date", V.features_hash(g, HASH_FEATS).alias("features_hash"))
 
 
-__all__ = ["FE10", "L"]
