@@ -23,6 +23,8 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # joins deal rows by all their keys: one of them (a host, a cluster) may be hot
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "true")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     ensure_checkpoint_dir(spark)
     sc = spark.sparkContext
