@@ -64,9 +64,9 @@ def _line_prices(li: DataFrame) -> DataFrame:
 
 def supplier_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every per-(supplier, ship date) statistic the stand-ins need, in one
-    partial aggregate over ``lineitem``.  Bars, delivery and sentiment are
-    projections of this one plan, so Spark scans and shuffles the line items
-    once (the exchange is reused) and a hot supplier is combined map side."""
+    partial aggregate over ``lineitem``, so a hot supplier is combined map
+    side.  Bars, delivery and sentiment are projections of it; with real
+    bronze tables each is a plain scan."""
     li = table(spark, sf_dir, "lineitem")
     return (_line_prices(li).groupBy("symbol", "date")
             .agg(F.min_by("px", "k").alias("open"), F.max("hi").alias("high"), F.min("lo").alias("low"),
