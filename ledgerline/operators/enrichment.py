@@ -10,7 +10,9 @@ key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.asof import asof_backward, asof_forward
@@ -100,6 +102,24 @@ def corporate_action_flags(rows: DataFrame, actions: DataFrame) -> DataFrame:
     return out.withColumn("corporate_action_flag", F.when(F.col("corporate_action_type").isNotNull(), 1).otherwise(0))
 
 
+# Event files name groups, the sector table sectors and industries.
+EVENT_SECTORS = {
+    "banks": ("Financials", "Banking"),
+    "nbfc": ("Financials", "Consumer Finance"),
+    "real_estate": ("Real Estate",),
+    "auto": ("Consumer Discretionary", "Automobiles"),
+    "infrastructure": ("Industrials", "Construction"),
+    "defense": ("Industrials",),
+}
+
+
+def _event_sectors(listed: Column) -> Column:
+    """An event's groups as sector or industry names; other names stay."""
+    names = F.create_map(*[x for k, v in EVENT_SECTORS.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
+    return F.array_distinct(F.flatten(F.transform(
+        F.split(listed, r"\s*,\s*"), lambda x: F.coalesce(F.try_element_at(names, x), F.array(x)))))
+
+
 def macro_event_features(rows: DataFrame, events: DataFrame, cal_idx: DataFrame,
                          market: str = "india") -> DataFrame:
     """Trading days to the next macro event within 60 calendar days,
@@ -107,7 +127,7 @@ def macro_event_features(rows: DataFrame, events: DataFrame, cal_idx: DataFrame,
     listed in the event's impacted sectors.  Events and the calendar are
     small (bounded by history length): the next event per trading day is
     resolved on the calendar, then broadcast to the rows."""
-    ev = events.select("event_date", "event_type", F.split("sectors_impacted", r"\s*,\s*").alias("sectors"))
+    ev = events.select("event_date", "event_type", _event_sectors(F.col("sectors_impacted")).alias("sectors"))
     cal = cal_idx.filter(F.col("market_context") == market)
     nxt = asof_forward(cal, ev.withColumn("market_context", F.lit(market)), "market_context", "date", "event_date",
                        ["event_date", "event_type", "sectors"])
@@ -119,7 +139,8 @@ def macro_event_features(rows: DataFrame, events: DataFrame, cal_idx: DataFrame,
     nxt = nxt.select("market_context", "date", F.when(within, F.col("ev_idx") - F.col("day_index")).alias("__dtn"),
                      F.when(within, F.col("event_type")).alias("__type"), "sectors")
     j = rows.join(F.broadcast(nxt), ["market_context", "date"], "left")
-    applies = F.coalesce(F.array_contains("sectors", F.col("sector")), F.lit(False))
+    of = [F.array_contains("sectors", F.col(c)) for c in ("sector", "industry") if c in rows.columns]
+    applies = F.coalesce(reduce(lambda a, b: a | b, of), F.lit(False))
     dtn = F.when(applies, F.col("__dtn")).cast("int")
     return j.select(*rows.columns, dtn.alias("days_to_next_macro_event"),
                     F.when(dtn.between(*MACRO_BLACKOUT), 1).otherwise(0).alias("macro_event_blackout_flag"),

@@ -118,7 +118,15 @@ def read_universe_csv(spark: SparkSession, path: str) -> DataFrame:
     return universe_from_fields(_read_csv_strip_header(spark, path, ["SYMBOL", "SERIES"]))
 
 
-US_FALLBACK = ("AAPL", "MSFT")  # fixed list for the 'us' context
+US_SYMBOLS = ("AAPL", "MSFT")  # fixed value: the 'us' list
+
+
+def universe_of(india: DataFrame, market: str | None = None) -> DataFrame:
+    """The symbols of one market context, or of both (``india``: symbol)."""
+    us = india.sparkSession.createDataFrame([(s,) for s in US_SYMBOLS], "symbol string")
+    if market == "us":
+        return us
+    return india.select("symbol") if market == "india" else india.select("symbol").unionByName(us).distinct()
 
 
 # ---- R04 sector dimension -----------------------------------------------------

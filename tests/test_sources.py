@@ -133,3 +133,26 @@ def test_next_upcoming_date_array(spark):
     df = df.select(F.transform("d", lambda x: x.cast("date")).alias("d"))
     r = df.select(X.next_upcoming_date("d", "2024-01-15").alias("n")).first()
     assert str(r.n) == "2024-02-01"
+
+
+def test_universe_of_a_market(spark):
+    india = spark.createDataFrame([("TCS.NS",)], "symbol string")
+    names = lambda m: sorted(r.symbol for r in L.universe_of(india, m).collect())
+    assert names("india") == ["TCS.NS"] and names("us") == ["AAPL", "MSFT"] and names(None) == ["AAPL", "MSFT", "TCS.NS"]
+
+
+def test_absent_institutional_share_is_zero(spark):
+    got = L.flatten_fundamentals_json(spark.createDataFrame([("A", "{}")], "symbol string, json string")).first()
+    assert got.institutional_ownership_pct == 0.0 and got.pe_ratio is None
+
+
+def test_event_groups_reach_sectors_and_industries(spark):
+    from ledgerline.operators import enrichment as EN
+
+    days = [f"2024-01-{i:02d}" for i in range(1, 6)]
+    rows = spark.createDataFrame([(s, d, "india", sec, ind) for s, sec, ind in (
+        ("A", "Financials", "Banking"), ("B", "Consumer Discretionary", "Automobiles"), ("C", "Energy", "Oil & Gas")) for d in days],
+        "symbol string, date string, market_context string, sector string, industry string").withColumn("date", F.to_date("date"))
+    events = spark.createDataFrame([("2024-01-04", "policy", "banks, auto")], "event_date string, event_type string, sectors_impacted string")
+    out = EN.macro_event_features(rows, events.withColumn("event_date", F.to_date("event_date")), EN.trading_calendar_index(rows))
+    assert {r.symbol for r in out.where("macro_event_type is not null").collect()} == {"A", "B"}
