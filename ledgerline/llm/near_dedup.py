@@ -199,7 +199,7 @@ def _descend(reps: DataFrame, members: DataFrame, roots: DataFrame, percent: int
         # the trees in which a document is in a large region go one value deeper
         wanted = large.select(F.col("key").alias("above"), "node")
         above = tree_keys(reps.join(wanted.select("node").distinct(), "node", "left_semi"), depth + 1)
-        members = regions(above.join(wanted, ["node", "above"], "left_semi"), "regions")
+        members = regions(written(above.join(wanted, ["node", "above"], "left_semi").select("key", "node", "n"), "keys"), "regions")
     return pairs.distinct()
 
 
