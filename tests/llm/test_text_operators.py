@@ -165,7 +165,7 @@ def base(text):
 
 def test_quality_base_columns_and_boilerplate(spark):
     r = random.Random(4)
-    fresh = lambda n: " ".join(f"w{r.randrange(10 ** 6)}" for _ in range(n))
+    fresh = lambda n: " ".join("".join(r.choices("abcdefgh", k=7)) for _ in range(n))
     texts = [t for t in TEXTS if t is None or len(t) < 3000]
     menu = "home | about us | contact | terms and conditions of use | privacy policy | imprint | help and support"
     site = [fresh(60) + "\n" + menu.replace("|", "  |") for _ in range(25)] + ["\n".join([menu] * 6) + "\n" + fresh(4)]
@@ -179,7 +179,7 @@ def test_quality_base_columns_and_boilerplate(spark):
     columns = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
     assert sorted(((x.doc_id, *(x[c] for c in columns)) for x in got), key=repr) == sorted(((i, *base(t)) for i, t, _ in rows), key=repr)
     by = {x.doc_id: x for x in got}
-    assert by[1].lines_removed == [1] and by[1].kept and by[1].boilerplate_words == 23
+    assert by[1].lines_removed == [1] and by[1].kept and by[1].boilerplate_words == len(WORDS.findall(menu))
     assert not by[25].kept and all(by[100 + i].kept for i in range(30)) and by[None].kept
     left = quality.clean(df).collect()
     assert left[0].asDict().keys() == df.first().asDict().keys()
