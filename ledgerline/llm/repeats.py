@@ -18,7 +18,8 @@ units (bytes or words) and which position anchors a window.
    length, then by place in the corpus; within equal suffixes all but the
    earliest are repeats.  An anchor with very many phrases is split: each of
    its windows travels under the hash of its own units.
-5. ``resolve``: each block combines the verdicts into covered units.
+5. ``resolve``: each block combines the verdicts into covered units; equal
+   phrases of one document share the verdict of the first.
 """
 
 from __future__ import annotations
@@ -347,6 +348,18 @@ def suffix_order(dictionary: DataFrame, units: Units, width: int) -> DataFrame:
             .mapInArrow(run, "block long, slot int, mask binary"))
 
 
+def _share_masks(p: Phrases, hit: np.ndarray) -> None:
+    """Only the first of a block's equal phrases has a mask in ``hit`` (a mark
+    per window start): its equals that are not plainly later get it too."""
+    lead = np.maximum.accumulate(np.where(p.first, np.arange(len(p.k1)), 0))
+    marked = np.concatenate(([0], np.cumsum(hit)))
+    copy = np.flatnonzero(~p.first & ~p.later)
+    copy = copy[marked[p.low[lead[copy]] + p.count[copy]] > marked[p.low[lead[copy]]]]
+    count = p.count[copy]
+    step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    hit[np.repeat(p.low[copy], count) + step] |= hit[np.repeat(p.low[lead[copy]], count) + step]
+
+
 def resolve(blocks: DataFrame, replies: DataFrame, masks: DataFrame, units: Units,
             report: Callable, schema: str) -> DataFrame:
     """``report(block, covered, unit_bounds)`` of each block as rows, where
@@ -371,7 +384,10 @@ def resolve(blocks: DataFrame, replies: DataFrame, masks: DataFrame, units: Unit
                 slots = own.column("slot").to_numpy().astype(np.int64)
                 packed = own.column("mask").to_pylist()
                 bits = [np.flatnonzero(np.unpackbits(np.frombuffer(m, np.uint8))) for m in packed]
-                hits = np.concatenate([s + b for s, b in zip(slots, bits)])
+                hit = np.zeros(len(values), bool)
+                hit[np.concatenate([s + b for s, b in zip(slots, bits)])] = True
+                _share_masks(p, hit)
+                hits = np.flatnonzero(hit)
                 np.add.at(edge, hits, 1)
                 np.add.at(edge, hits + window, -1)
             tables.append(report(block, np.cumsum(edge[:-1]) > 0, bounds))

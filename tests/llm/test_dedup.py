@@ -99,6 +99,23 @@ def test_substring_dedup_is_exact(spark, monkeypatch, limits):
     assert words == sorted(((w[0], w[3]) for w in want), key=repr)
 
 
+@pytest.mark.parametrize("hot", [2048, 1])
+def test_copies_within_a_document_share_its_verdict(spark, monkeypatch, hot):
+    monkeypatch.setattr(repeats, "HOT_PHRASES", hot)
+    r = random.Random(11)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    data = []
+    for k in range(12):  # an earlier document holds a part of what a later one says twice
+        passage = prose(60)
+        data.append((2 * k, prose(5) + " " + " ".join(passage.split()[:30 + k]) + " " + prose(5)))
+        data.append((2 * k + 1, " ".join([passage, prose(9), passage, prose(7)])))
+    data.append(data[-1])
+    df = spark.createDataFrame(data, "doc_id long, text string").coalesce(1)
+    assert rows_of(substring_dedup.remove_repeated_words(df)) == removed_words(data)
+    assert rows_of(suffix_dedup.remove_repeats(df)) == removed_bytes(data)
+
+
 def test_recompression_names_equal_substrings_alike():
     r = random.Random(1)
     values = mix(np.array([r.randint(0, 5) for _ in range(4000)], dtype=np.int64).view(U))
