@@ -27,6 +27,10 @@ SHARES = 32
 RIDGE = 1e-3
 #: A prediction scored below this is no accepted language.
 MIN_SCORE = 0.2
+#: A text is of no known language if, for every label, the share of its 3-grams
+#: that texts of the label hold is less than this part of the median share of
+#: the learned texts.
+FAMILIAR_PART = 0.5
 GRAM2, GRAM3 = 1 << 13, 1 << 14
 WIDTH = 256 + GRAM2 + GRAM3
 BATCH_DOCS, BATCH_BYTES = 128, 1 << 20
@@ -66,11 +70,27 @@ class Model:
     labels: list[str]
     landmarks: np.ndarray  # packed bits
     weights: np.ndarray
+    familiar: np.ndarray  # per 3-gram and label: known (1 or 0) less the least share
 
     def matrix(self) -> np.ndarray:
         return normalised(np.unpackbits(self.landmarks, axis=1)[:, :WIDTH].astype(np.float32)).T.copy()
 
 
+def familiarity(grams: np.ndarray, labels: np.ndarray, names: list[str]) -> np.ndarray:
+    """Which 3-grams at least two learned texts of a label hold, less the least
+    share of them that a text of the label has.  The sum over a text's 3-grams
+    is negative if it has a smaller share.  The least share follows from the
+    learned texts, each held against the others; few texts of a label tell
+    nothing, and the share is 0."""
+    out = np.zeros((GRAM3, len(names)), np.float32)
+    for k, name in enumerate(names):
+        own = grams[labels == name][:, 256 + GRAM2:]
+        count = own.sum(axis=0)
+        share = (own @ (count > 2)) / np.maximum(own.sum(axis=1), 1)
+        out[:, k] = (count > 1) - FAMILIAR_PART * np.median(share)
+    return out
+
+
 def fit(texts: list[str], labels: list[str], landmarks_per_label: int = LANDMARKS_PER_LABEL, ridge: float = RIDGE) -> Model:
     """Kernel ridge regression over Nystroem landmarks, one column per label."""
     names = sorted(set(labels))
@@ -87,7 +107,8 @@ def fit(texts: list[str], labels: list[str], landmarks_per_label: int = LANDMARK
     target = np.where(np.array(labels)[:, None] == np.array(names)[None, :], 1.0, -1.0)
     left = kernel.T.astype(np.float64) @ kernel + ridge * len(texts) * (inner + 1e-6 * np.eye(len(marks)))
     weights = np.linalg.solve(left, kernel.T.astype(np.float64) @ target)
-    return Model(names, np.packbits(grams[marks].astype(np.uint8), axis=1), weights.astype(np.float32))
+    return Model(names, np.packbits(grams[marks].astype(np.uint8), axis=1), weights.astype(np.float32),
+                 familiarity(grams, np.array(labels), names))
 
 
 def training_rows(docs: DataFrame, text_col: str, label_col: str, learn: Column, per_label: int) -> list[tuple[str, str]]:
@@ -110,8 +131,10 @@ def training_rows(docs: DataFrame, text_col: str, label_col: str, learn: Column,
     return [(r.text, r.label) for r in sorted(found, key=lambda r: (r.key, r.label)) if (r.label, r.key) in wanted]
 
 
-def score_texts(column, model: Model | None, marks: np.ndarray | None) -> tuple[list[str], list[float]]:
-    """Label and score of each text of an Arrow column."""
+def score_texts(column, model: Model | None, marks: np.ndarray | None,
+                reject: bool = False) -> tuple[list[str], list[float]]:
+    """Label and score of each text of an Arrow column.  ``reject``: texts
+    whose 3-grams are not those of any label are ``und`` too."""
     data, offsets = text_buffer(column)
     labels, scores = [], []
     for a, b in pieces(offsets, BATCH_BYTES):
@@ -129,7 +152,10 @@ def score_texts(column, model: Model | None, marks: np.ndarray | None) -> tuple[
                 labels += [UNKNOWN] * (last - first)
                 scores += [0.0] * (last - first)
                 continue
-            value = (normalised(presence(part, bounds)) @ marks) @ model.weights
+            unit = normalised(presence(part, bounds))
+            if reject:
+                letters &= (unit[:, 256 + GRAM2:] @ model.familiar).max(axis=1) >= 0
+            value = (unit @ marks) @ model.weights
             best = value.argmax(axis=1)
             score = np.clip((value[np.arange(len(best)), best] + 1) / 2, 0, 1)
             labels += [model.labels[k] if ok else UNKNOWN for k, ok in zip(best, letters)]
@@ -161,9 +187,11 @@ def model_of(docs: DataFrame, id_col: str, text_col: str, label_col: str, per_la
 
 def accepted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang",
              per_label: int = TRAIN_PER_LABEL, min_score: float = MIN_SCORE) -> DataFrame:
-    """``docs`` without the rows whose language is unknown (``und``) or scored
-    below ``min_score``; all columns are kept, texts do not move.  With no
-    labelled row there is no model, and only texts without letters go."""
+    """``docs`` without the rows whose language is unknown: no letters, 3-grams
+    unlike those of every learned language (``FAMILIAR_PART``), or a score
+    below ``min_score``.  Texts that mix learned languages stay.  All columns
+    are kept, texts do not move.  With no labelled row there is no model, and
+    only texts without letters go."""
     prepare(docs.sparkSession)
     model = model_of(docs, id_col, text_col, label_col, per_label)
     if model is None:
@@ -175,7 +203,7 @@ def accepted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
         m = shared.value
         marks = m.matrix()
         for batch in batches:
-            labels, scores = score_texts(batch.column(at), m, marks)
+            labels, scores = score_texts(batch.column(at), m, marks, reject=True)
             yield batch.filter(pa.array([x != UNKNOWN and s >= min_score for x, s in zip(labels, scores)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

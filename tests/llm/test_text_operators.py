@@ -259,6 +259,27 @@ def test_language_odd_rows(spark):
     assert kept.schema == docs(spark).schema and all(r.text and r.text.strip() for r in kept.collect())
 
 
+def test_language_rejects_noise_and_unlearned_languages(spark):
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    r = random.Random(3)
+    word = lambda signs, low, high: "".join(r.choices(signs, k=r.randint(low, high)))
+    odd = [" ".join(word("abcdefghijklmnopqrstuvwxyz", 2, 9) for _ in range(n)) for n in (60, 300, 3000)]
+    odd += [" ".join(word("0123456789abcdef", 8, 32) for _ in range(n)) for n in (60, 600)]
+    odd += ["Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i "
+            "sumieniem i powinni postępować wobec innych w duchu braterstwa.", "Все люди рождаются свободными и равными в "
+            "своем достоинстве и правах. Они наделены разумом и совестью.", "人人生而自由在尊严和权利上一律平等" * 5,
+            "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto."]
+    long = {}
+    for x in d.where("size(split(text, ' ')) >= 50").orderBy("doc_id").collect():
+        long.setdefault(x.lang, []).append(x)
+    mixed = [" ".join(w for x in same for w in x.text.split()[:50]) for same in list(zip(*(long[k] for k in sorted(long))))[:10]]
+    extra = [(-1 - i, t, None) for i, t in enumerate(odd)] + [(-100 - i, t, None) for i, t in enumerate(mixed)]
+    kept = {x.doc_id for x in language.accepted(d.unionByName(spark.createDataFrame(extra, d.schema))).collect()}
+    assert not [i for i, _, _ in extra if -100 < i and i in kept]
+    assert all(-100 - i in kept for i in range(len(mixed)))
+    assert {x.doc_id for same in long.values() for x in same} <= kept
+
+
 # packing
 
 def test_packing_ids_are_the_library(spark):
