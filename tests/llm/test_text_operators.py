@@ -188,6 +188,20 @@ def test_quality_base_columns_and_boilerplate(spark):
     assert quality.judge(df.limit(0)).collect() == [] == quality.clean(df.limit(0)).collect()
 
 
+def test_cleaning_removes_lines_that_many_documents_of_a_large_host_hold(spark):
+    r = random.Random(6)
+    fresh = lambda n: " ".join("".join(r.choices("abcdefgh", k=7)) for _ in range(n))
+    licence, seldom = "all rights reserved by the owners of this site", "see you next week"
+    rows = [(i, fresh(30) + "\n" + (licence + "\n" if i < 45 else "") + fresh(30) + ("\n" + seldom if i % 30 == 0 else ""))
+            for i in range(450)]  # 10 % and 3 % of the host's texts
+    df = spark.createDataFrame([(i, t, "site") for i, t in rows], "doc_id long, text string, source string")
+    left = {x.doc_id: x.text for x in quality.clean(df).collect()}
+    assert left == {i: t.replace(licence + "\n", "") for i, t in rows}
+    by_count = {x.doc_id: x.lines_removed for x in quality.judge(df, percent=90, documents=45).collect()}
+    assert by_count == {i: [1] if i < 45 else None for i, _ in rows}
+    assert all(x.lines_removed is None for x in quality.judge(df, percent=90, documents=46).collect())
+
+
 # HTML
 
 def test_html_layout():
