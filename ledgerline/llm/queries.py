@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from . import chat, html_text, language, near_dedup, order_minhash, packing, quality, sentence_bpe
+from . import (chat, html_text, importance, language, license_scan, near_dedup, order_minhash, packing, prefix_trie, quality,
+               sentence_bpe)
 from .suffix_dedup import remove_repeats
 from .substring_dedup import remove_repeated_words
 
@@ -224,3 +225,87 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+#: CRC-32 of a list of byte values, bit by bit.
+CRC32 = """xor(list_reduce({bytes}, lambda c, b: list_reduce([0, 1, 2, 3, 4, 5, 6, 7]::UBIGINT[],
+  lambda x, i: xor(x >> 1, 3988292384::UBIGINT * (x & 1)), xor(c, b)), 4294967295::UBIGINT), 4294967295::UBIGINT)"""
+
+OP11_SQL = r"""
+WITH w AS (
+  SELECT doc_id AS id, 0 AS target, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+  UNION ALL
+  SELECT item_id, 1, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+o AS (SELECT id, target, unnest(w) AS f FROM w
+      UNION ALL SELECT id, target, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM w),
+g AS (SELECT id, target, f, count(*) AS n FROM o GROUP BY id, target, f),
+x AS (SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM g)),
+v AS (SELECT f, list_transform(range(1, len(h), 2), lambda i:
+        (16 * (strpos('0123456789ABCDEF', h[i]) - 1) + strpos('0123456789ABCDEF', h[i + 1]) - 1)::UBIGINT) AS bytes FROM x),
+k AS (SELECT f, CAST({crc} % 10000 AS BIGINT) AS bucket FROM v),
+c AS (SELECT bucket, sum(n) FILTER (WHERE target = 0) AS s, sum(n) FILTER (WHERE target = 1) AS t FROM g JOIN k USING (f) GROUP BY bucket),
+a AS (SELECT coalesce(sum(s), 0) AS s, coalesce(sum(t), 0) AS t FROM c),
+b AS (SELECT bucket, CAST(floor(1000 * ln((coalesce(c.t, 0) + 1)::DOUBLE * (a.s + 10000)::DOUBLE
+             / ((coalesce(c.s, 0) + 1)::DOUBLE * (a.t + 10000)::DOUBLE))) AS BIGINT) AS gain FROM c, a),
+m AS (SELECT id, sum(n) AS n, floor(sum(n * gain)::DOUBLE / sum(n)) AS weight FROM g JOIN k USING (f) JOIN b USING (bucket)
+      WHERE target = 0 GROUP BY id),
+s AS (SELECT w.id AS doc_id, len(w) AS words, CAST(coalesce(n, 0) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+             CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || w.id), 1, 8))::BIGINT + 0.5)::DOUBLE / 4294967296))) AS BIGINT) AS score
+      FROM w LEFT JOIN m USING (id) WHERE w.target = 0),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM s WHERE words >= 20)
+SELECT s.doc_id, n_features, weight, score, CASE WHEN place <= 25 * n // 100 THEN place END AS rank
+FROM s LEFT JOIN r USING (doc_id)
+""".replace("{crc}", CRC32.format(bytes="bytes"))
+
+
+@query(sql=OP11_SQL)
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_features", "weight", "score", "rank")
+
+
+OP12_SQL = """
+WITH RECURSIVE t AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS pos,
+         md5(coalesce(role, '') || chr(10) || md5(coalesce(text, ''))) AS x, octet_length(encode(coalesce(text, ''))) AS n_bytes
+  FROM conversations WHERE conv_id IS NOT NULL),
+v AS (SELECT c, count(*) AS n, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda d: ascii(d)::UBIGINT) AS bytes FROM t GROUP BY c),
+h AS (SELECT c, n, c - c % 5 AS base, CAST({crc} % 9 AS BIGINT) AS h FROM v),
+k AS (SELECT a.c, a.base, a.h, least(a.h, coalesce(b.n, 0)) AS k FROM h a LEFT JOIN h b ON b.c = a.base),
+u AS (SELECT k.c, pos AS depth, x, n_bytes FROM k JOIN t ON t.c = k.base AND pos <= k.k
+      UNION ALL SELECT k.c, pos - h + k.k, x, n_bytes FROM k JOIN t ON t.c = k.c AND pos > h),
+z AS (SELECT k.c, count(u.c) AS size FROM k LEFT JOIN u USING (c) GROUP BY k.c),
+p AS (SELECT c, 0::BIGINT AS depth, md5('') AS path, NULL::VARCHAR AS up, 0::BIGINT AS n_bytes FROM k
+      UNION ALL SELECT p.c, u.depth, md5(p.path || u.x), p.path, u.n_bytes FROM p JOIN u ON u.c = p.c AND u.depth = p.depth + 1),
+n AS (SELECT depth, path, any_value(up) AS up, min(c) AS conv_id, count(*) AS n_convs, max(n_bytes) * (count(*) - 1) AS saved,
+             bool_and(size = depth) AS leaf,
+             sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE size = depth), '')) AS ends_sha256
+      FROM p JOIN z USING (c) GROUP BY depth, path),
+s AS (SELECT a.depth, a.path, sum(n.saved) AS saved, count_if(n.leaf) AS leaves
+      FROM n JOIN p q ON q.c = n.conv_id AND q.depth <= n.depth JOIN n a ON a.path = q.path AND a.depth = q.depth
+      GROUP BY a.depth, a.path),
+d AS (SELECT up AS path, count(*) AS kids FROM n WHERE up IS NOT NULL GROUP BY up)
+SELECT n.conv_id, n.depth, o.conv_id AS parent_conv_id, n.n_convs, coalesce(kids, 0) AS n_children,
+       CAST(leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM n JOIN s ON s.path = n.path AND s.depth = n.depth LEFT JOIN n o ON o.path = n.up AND o.depth = n.depth - 1 LEFT JOIN d ON d.path = n.path
+""".replace("{crc}", CRC32.format(bytes="bytes"))
+
+
+@query(sql=OP12_SQL)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = F.col("conv")
+    return prefix_trie.prefix_trie(
+        table(spark, sf_dir, "conversations"), base_of=conv - conv % 5, kept=F.crc32(conv.cast("string").cast("binary")) % 9, most=8)
+
+
+@query
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    exact = F.filter("findings", lambda x: x["exact"])
+    first = F.transform(exact, lambda x: x["first_word"])
+    return license_scan.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", F.size(exact).cast("long").alias("n_base"), F.array_min(first).alias("first_word"),
+        F.array_max(first).alias("last_word"), license_scan.labels(exact_only=True).alias("base_labels"),
+        license_scan.labels().alias("labels"),
+        F.coalesce(F.array_max(F.transform("findings", lambda x: x["similarity"])), F.lit(0.0)).alias("score"))
