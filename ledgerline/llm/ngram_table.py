@@ -7,6 +7,8 @@ rounds: free slots are claimed, claimed slots compared, the rest move on.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import xxhash
 
@@ -19,6 +21,17 @@ P4, P5 = U(0x85EBCA77C2B2AE63), U(0x27D4EB2F165667C5)
 STRIPE = 32
 
 
+def _crc_steps() -> np.ndarray:
+    """Effect of each low byte on a reflected CRC-32, from its polynomial."""
+    step = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        step = (step >> np.uint32(1)) ^ (np.uint32(0xEDB88320) * (step & np.uint32(1)))
+    return step
+
+
+CRC_STEPS = _crc_steps()
+
+
 def _rotate(x: np.ndarray, n: int) -> np.ndarray:
     return (x << U(n)) | (x >> U(64 - n))
 
@@ -69,6 +82,24 @@ class Bytes:
         out[short] = h
         return out
 
+    def crc32(self, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """CRC-32 of the slices, byte by byte over all that are long enough."""
+        order = np.argsort(-size, kind="stable")
+        start, size = start[order], size[order]
+        crc = np.full(len(start), 0xFFFFFFFF, np.uint32)
+        long = int(np.searchsorted(-size, -2 * STRIPE, side="right"))
+        data = np.frombuffer(self.raw, np.uint8)
+        for i in range(int(size[long]) if long < len(size) else 0):
+            upto = int(np.searchsorted(-size, -i, side="left"))
+            c = crc[long:upto]
+            crc[long:upto] = CRC_STEPS[(c ^ data[start[long:upto] + i]) & np.uint32(0xFF)] ^ (c >> np.uint32(8))
+        crc ^= np.uint32(0xFFFFFFFF)
+        for i, a, n in zip(range(long), start[:long].tolist(), size[:long].tolist()):
+            crc[i] = zlib.crc32(self.raw[a:a + n])
+        out = np.empty_like(crc)
+        out[order] = crc
+        return out
+
     def same(self, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Whether the slices of ``size`` bytes at ``a`` and at ``b`` are equal."""
         equal = np.ones(len(a), bool)
