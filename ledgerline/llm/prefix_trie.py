@@ -103,10 +103,13 @@ def nodes_of(paths: DataFrame) -> DataFrame:
 
 
 def subtree_totals(nodes: DataFrame, paths: DataFrame, values: list[str], piece: int = PIECE) -> DataFrame:
-    """(p1, p2, values...): each value summed over the node's subtree."""
+    """(p1, p2, values...): each value summed over the node's subtree.
+
+    ``nodes`` names each node's component (l1, l2) by its top; at first all
+    are in the root's."""
     state = ["depth", "p1", "p2", "q1", "q2", "conv", "weight", "l1", "l2", *values, *["sum_" + v for v in values]]
     zero = F.lit(0).cast("long")
-    live = nodes.withColumn("l1", zero).withColumn("l2", zero)  # the root names the only component
+    live = nodes
     for v in values:
         live = live.withColumn("sum_" + v, zero)
     live = live.select(*state)
@@ -272,8 +275,9 @@ def _digest_batch(rows: list[tuple]) -> pa.RecordBatch:
 def trie(paths: DataFrame, piece: int = PIECE) -> DataFrame:
     """One row a node of the trie over ``prefixes`` rows: conv_id, depth,
     parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256."""
+    zero = F.lit(0).cast("long")
     nodes = written(nodes_of(paths).withColumn("leaves", (F.col("n_ends") == F.col("n_convs")).cast("long")).withColumn(
-        "saved", (F.col("n_convs") - 1) * F.col("n_bytes")), "op12-nodes")
+        "saved", (F.col("n_convs") - 1) * F.col("n_bytes")).withColumn("l1", zero).withColumn("l2", zero), "op12-nodes")
     totals = subtree_totals(nodes, paths, ["leaves", "saved"], piece)
     children = nodes.filter("depth > 0").groupBy(F.col("q1").alias("p1"), F.col("q2").alias("p2")).agg(
         F.count(F.lit(1)).alias("n_children"))
