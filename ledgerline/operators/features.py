@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from ..functions.ema import EmaSpec, ema_many
+from ..functions.sliding import Extreme, sliding_extremes
 from ..util import sdiv
 
 RSI_WINDOW = 14
@@ -91,8 +92,7 @@ def price_features(df: DataFrame, price: str = "close", by="symbol", order="date
     """Returns, 52-week high (min 1 row) and proximity."""
     w = _w(by, order)
     cols = [pct_change(price, n, w).alias(f"return_{n}d") for n in RETURN_HORIZONS]
-    hi = F.max("high").over(w.rowsBetween(-(HIGH_52W_ROWS - 1), Window.currentRow))
-    df = df.select("*", *cols, hi.alias("high_52w"))
+    df = sliding_extremes(df.select("*", *cols), [Extreme("high", HIGH_52W_ROWS, "high_52w")], by, order)
     return df.withColumn("proximity_to_52w_high", X.proximity_to_52w_high(price, "high_52w"))
 
 

@@ -15,6 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.sliding import Extreme, sliding_extremes
 from ..util import safe_corr, sdiv
 
 # ---- fixed thresholds of the spec ----------------------------------------------
@@ -91,7 +92,8 @@ def moving_averages(df: DataFrame, price: str = "close") -> DataFrame:
 # FE07 ---------------------------------------------------------------------------------
 def range_52w(df: DataFrame, price: str = "close") -> DataFrame:
     """Strict 252-row high / low of the price (T21: unlike W09's min 1 row)."""
-    df = df.select("*", rolling(F.max, price, 252).alias("high_52w"), rolling(F.min, price, 252).alias("low_52w"))
+    df = sliding_extremes(df, [Extreme(price, TRADING_DAYS_YEAR, "high_52w", strict=True),
+                               Extreme(price, TRADING_DAYS_YEAR, "low_52w", largest=False, strict=True)])
     df = df.select("*", (sdiv(F.col(price) - F.col("high_52w"), "high_52w")).alias("pct_from_52w_high"),
                    (sdiv(F.col(price) - F.col("low_52w"), "low_52w")).alias("pct_from_52w_low"))
     return df.select("*", _flag(F.col("pct_from_52w_high") > NEAR_52W_HIGH).alias("near_52w_high_flag"),
@@ -313,12 +315,16 @@ def oscillators(df: DataFrame, price: str = "close") -> DataFrame:
 
 
 # FE31 --------------------------------------------------------------------------------------
+def drawdown(df: DataFrame, price: str = "close") -> DataFrame:
+    """drawdown_252d: distance of the price to its highest of the last 252 rows."""
+    df = sliding_extremes(df, [Extreme(price, TRADING_DAYS_YEAR, "__peak")])
+    return df.select("*", (sdiv(F.col(price), "__peak") - 1.0).alias("drawdown_252d")).drop("__peak")
+
+
 def quant_extras(df: DataFrame, price: str = "close", ret: str = "return_1d", lags=(1, 2, 3, 4, 5),
                  window: int = 63, z: float = 3.0) -> DataFrame:
     w = _w()
-    df = df.select("*", (sdiv(F.col(price), F.max(price).over(w.rowsBetween(-(TRADING_DAYS_YEAR - 1), 0))) - 1.0)
-                   .alias("drawdown_252d"),
-                   *[F.lag(ret, k).over(w).alias(f"__r{k}") for k in lags])
+    df = drawdown(df, price).select("*", *[F.lag(ret, k).over(w).alias(f"__r{k}") for k in lags])
     frame = w.rowsBetween(-(window - 1), Window.currentRow)
     cols = []
     for k in lags:
