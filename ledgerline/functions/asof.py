@@ -48,3 +48,24 @@ def asof_forward(left: DataFrame, right: DataFrame, by: list[str] | str, left_on
     carried = F.first(F.when(F.col("__kind") == right_kind, F.col("__val")), ignorenulls=True).over(w)
     out = u.withColumn("__c", carried).filter(F.col("__kind") == (1 - right_kind))
     return out.select(*left.columns, *[F.col(f"__c.{v}").alias(v) for v in values])
+
+
+def known_asof(left: DataFrame, reports: DataFrame, by: list[str] | str, left_on: str, effective: str, known: str,
+               values: list[str]) -> DataFrame:
+    """Point-in-time join over two times: each left row gets ``effective``,
+    ``known`` and ``values`` of the report with the latest effective time among
+    those known at ``left_on``, in the newest version known by then.
+
+    A correction of an old period that becomes known late does not displace a
+    newer period, and a report changes no row before it was known.  The carried
+    value is a running maximum in the order of knowledge: one pass, O(1) a row.
+    Left rows without a known report get NULLs; of reports equal in both times
+    the larger values win."""
+    by = [by] if isinstance(by, str) else list(by)
+    dated = reports.select(*by, F.col(known).alias("__known"), F.struct(
+        F.col(effective).alias("__effective"), F.col(known).alias("__known"), *[F.col(v) for v in values]).alias("__report"))
+    u = _stack(left, dated, by, left_on, "__known", ["__report"], right_first=True)
+    w = Window.partitionBy(*by).orderBy("__t", "__kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = u.withColumn("__c", F.max("__val.__report").over(w)).filter(F.col("__kind") == 1)
+    return out.select(*left.columns, F.col("__c.__effective").alias(effective), F.col("__c.__known").alias(known),
+                      *[F.col(f"__c.{v}").alias(v) for v in values])

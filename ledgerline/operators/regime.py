@@ -8,7 +8,7 @@ weight mean close of all symbols of the market that day, aggregated first
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SMA_LONG, SMA_SHORT = 50, 21
@@ -156,29 +156,104 @@ def ic_summary(ic: DataFrame) -> DataFrame:
 
 MACRO_STALE_DAYS = 35
 RATE_TREND_LOOKBACK = 63
-
-
-def macro_regime_inputs(calendar: DataFrame, macro: DataFrame, value: str = "rbi_repo_rate") -> DataFrame:
-    """Per trading day the latest macro record (as-of backward), its
-    age, the rate change over the last 63 records and the input label
-    (tightening / easing / stable; neutral when older than 35 days).
-    Both inputs are one row per day, so one ordered window over their union
-    is small (bounded by the calendar)."""
-    w = Window.orderBy("date")
-    m = macro.filter(F.col(value).isNotNull()).select(
-        "date", F.col(value).alias("__v"), (F.col(value) - F.lag(value, RATE_TREND_LOOKBACK).over(w)).alias("__chg"))
-    u = calendar.select("date", F.lit(1).alias("__k"), F.lit(None).cast("date").alias("__d"),
-                        F.lit(None).cast("double").alias("__v"), F.lit(None).cast("double").alias("__chg")).unionByName(
-        m.select("date", F.lit(0).alias("__k"), F.col("date").alias("__d"), "__v", "__chg"))
-    wr = Window.orderBy("date", "__k").rowsBetween(Window.unboundedPreceding, 0)
-    carried = F.last(F.when(F.col("__k") == 0, F.struct("__d", "__v", "__chg")), ignorenulls=True).over(wr)
-    u = u.select("date", "__k", carried.alias("__m"))
-    out = u.filter(F.col("__k") == 1).select("date", F.col("__m.__d").alias("macro_asof_date"),
-                                            F.col("__m.__v").alias("macro_rate"),
-                                            F.col("__m.__chg").alias("rate_change_63"))
-    age = F.datediff("date", "macro_asof_date")
-    label = (F.when(age.isNull() | (age > MACRO_STALE_DAYS), F.lit("neutral"))
-             .when(F.col("rate_change_63") > 0, F.lit("tightening"))
-             .when(F.col("rate_change_63") < 0, F.lit("easing")).otherwise(F.lit("stable")))
-    return out.select("date", "macro_asof_date", "macro_rate", "rate_change_63", age.alias("macro_age_days"),
-                      F.lit(None).cast("double").alias("inflation_trend"), label.alias("macro_regime_input"))
+#: Changes of the inflation and activity series below this size are flat.
+FLAT_TREND = 0.02
+
+
+def macro_series(daily: DataFrame, value: str, lookback: int, lag_days: int, relative: bool = False) -> DataFrame:
+    """(available, reference, value, change) of one series: ``available`` is its
+    date plus the release lag, ``change`` against ``lookback`` records before.
+    One row per date of the series."""
+    one = daily.filter(F.col(value).isNotNull()).groupBy("date").agg(F.max(value).cast("double").alias("value"))
+    back = F.lag("value", lookback).over(Window.orderBy("date"))  # one row per release
+    change = F.try_divide(F.col("value"), back) - 1.0 if relative else F.col("value") - back
+    return one.select(F.date_add("date", lag_days).alias("available"), F.col("date").alias("reference"), "value", change.alias("change"))
+
+
+def carried_series(calendar: DataFrame, series: dict[str, DataFrame]) -> DataFrame:
+    """One row per calendar date with, per series, a struct (available,
+    reference, value, change) of the newest release by then.
+
+    All series and the calendar fold into one row per date, whatever they
+    repeat, and one ordered pass carries them all."""
+    found = calendar.groupBy("date").agg(F.lit(True).alias("__day"))
+    for name, s in series.items():
+        newest = s.groupBy(F.col("available").alias("date")).agg(
+            F.max(F.struct("reference", "available", "value", "change")).alias(name))
+        found = found.join(newest, "date", "full_outer")
+    w = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, 0)  # one row per date
+    return found.select("date", "__day", *[F.last(n, ignorenulls=True).over(w).alias(n) for n in series]).filter("__day").drop("__day")
+
+
+def macro_regime_inputs(calendar: DataFrame, series: dict[str, DataFrame]) -> DataFrame:
+    """Rate, inflation, activity and yield-spread inputs per trading day,
+    each from its newest release by then, and the macro regime.
+
+    ``series`` (``macro_series`` frames): rate, long_yield, inflation, growth.
+    A series released over 35 days ago is stale, which makes its state neutral
+    (rate) or unknown.  Regime: expanding activity is expansion, or conflict if
+    prices and rates both point against it; contracting activity is stagflation
+    while prices rise, else contraction; neutral without activity or prices."""
+    c = carried_series(calendar, series)
+
+    def fresh(name: str) -> Column:
+        return F.coalesce(F.datediff("date", F.col(f"{name}.available")) <= MACRO_STALE_DAYS, F.lit(False))
+
+    def state(name: str, up: str, flat: str, down: str, least: float, unknown: str | None) -> Column:
+        change = F.col(f"{name}.change")
+        return (F.when(~fresh(name), F.lit(unknown)).when(change > least, F.lit(up)).when(change < -least, F.lit(down))
+                .when(change.isNotNull() | F.lit(unknown is not None), F.lit(flat)))
+
+    out = c.select(
+        "date", F.col("rate.reference").alias("macro_asof_date"), F.col("rate.value").alias("macro_rate"),
+        F.col("rate.change").alias("rate_change_63"), F.datediff("date", F.col("rate.reference")).alias("macro_age_days"),
+        F.col("inflation.change").alias("inflation_trend"), F.datediff("date", F.col("inflation.available")).alias("inflation_age_days"),
+        F.col("growth.change").alias("growth_trend"), F.datediff("date", F.col("growth.available")).alias("growth_age_days"),
+        (F.col("long_yield.value") - F.col("rate.value")).alias("yield_spread"),
+        state("rate", "tightening", "stable", "easing", 0.0, "neutral").alias("macro_regime_input"),
+        state("inflation", "rising", "flat", "falling", FLAT_TREND, None).alias("inflation_state"),
+        state("growth", "expanding", "flat", "contracting", FLAT_TREND, None).alias("growth_state"))
+    rising, growing = F.col("inflation_state") == "rising", F.col("growth_state") == "expanding"
+    against = rising & (F.col("macro_regime_input") == "tightening")
+    regime = (F.when(F.col("inflation_state").isNull() | F.col("growth_state").isNull(), F.lit("neutral"))
+              .when(growing & against, F.lit("conflict")).when(growing, F.lit("expansion"))
+              .when(rising, F.lit("stagflation")).when(F.col("growth_state") == "contracting", F.lit("contraction"))
+              .otherwise(F.lit("neutral")))
+    return out.withColumn("macro_regime", regime)
+
+
+#: Share of advancing symbols beyond which breadth votes, and the least confidence of a label that is passed on.
+BREADTH_BAND = 0.05
+CONFIDENCE_FLOOR = 0.5
+
+
+def breadth_confidence(breadth_days: DataFrame, labels: DataFrame, vix_threshold: float = 25.0, band: float = BREADTH_BAND,
+                       floor: float = CONFIDENCE_FLOOR) -> DataFrame:
+    """Breadth per (market_context, date) with the confidence of the
+    regime label.
+
+    Trend (index against its 50-day mean, with its slope), breadth (share of
+    advancing symbols beyond 0.5 by ``band``) and volatility (VIX below or above
+    the threshold) vote +1, 0 or -1; regime_confidence is the share of the known
+    votes that equal the trend's.  A label below ``floor`` is not passed on: the
+    last one above it holds.  breadth_conflict marks that trend and breadth
+    point in opposite directions.
+
+    ``labels``: rows of ``regime_buffer(regime_raw(...))``."""
+    slope = F.coalesce(F.signum("sma_slope"), F.lit(0.0))
+    above = F.signum(F.col("index_close") - F.col("index_sma_50"))
+    trend = F.when(above == slope, above).otherwise(F.lit(0.0)).cast("int")
+    wide = F.when(F.col("breadth") > 0.5 + band, 1).when(F.col("breadth") < 0.5 - band, -1).otherwise(0)
+    calm = F.when(F.col("vix").isNotNull(), F.when(F.col("vix") > vix_threshold, -1).otherwise(1))
+    j = breadth_days.join(labels.select("market_context", "date", "index_close", "index_sma_50", "sma_slope", "vix",
+                                        "regime_label_buffered"), ["market_context", "date"], "left")
+    j = j.select("market_context", "date", "breadth", "n_symbols", "regime_label_buffered", trend.alias("trend_vote"),
+                 wide.alias("breadth_vote"), calm.alias("volatility_vote"))
+    votes = [F.col("breadth_vote"), F.col("volatility_vote")]
+    agree = F.lit(1) + votes[0].eqNullSafe(F.col("trend_vote")).cast("int") + (
+        votes[1].isNotNull() & votes[1].eqNullSafe(F.col("trend_vote"))).cast("int")
+    j = j.withColumn("regime_confidence", agree / (F.lit(2) + votes[1].isNotNull().cast("int")))
+    j = j.withColumn("breadth_conflict", F.col("trend_vote") * F.col("breadth_vote") < 0)
+    w = Window.partitionBy("market_context").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
+    held = F.last(F.when(F.col("regime_confidence") >= floor, F.col("regime_label_buffered")), ignorenulls=True).over(w)
+    return j.withColumn("regime_label_held", held)

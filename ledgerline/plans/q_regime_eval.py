@@ -16,7 +16,7 @@ from ..sources import landing_text as LT
 from ..sources import testviews as TV
 from . import daily
 from . import oracle as O
-from ..util import exact_avg_sql, safe_corr_sql
+from ..util import exact_avg, exact_avg_sql, safe_corr_sql
 from .catalog import query
 from .q_enrich import _E04, _E04_DEPS, _E04_EXTRA, _E11_DEPS, _E11_EXTRA
 from .q_enrich import _E11 as E11_SQL
@@ -95,13 +95,31 @@ def _returns(spark, d):
     return SF.returns(daily.silver(spark, d), horizons=(1, 21))
 
 
-@query("m04_breadth", O.cte(["silver", "fe01"], """
-SELECT s.market_context, s.date, avg(CASE WHEN r.return_1d > 0 THEN 1.0 ELSE 0.0 END) AS breadth, count(*) AS n_symbols
-FROM silver s JOIN fe01 r ON s.symbol = r.symbol AND s.date = r.date GROUP BY 1, 2""", {"fe01": FE01},
-                                {"fe01": ["silver"]}), ["breadth"])
+_M04 = """
+SELECT *, last_value(CASE WHEN regime_confidence >= 0.5 THEN regime_label_buffered END IGNORE NULLS) OVER (
+            PARTITION BY market_context ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS regime_label_held,
+       trend_vote * breadth_vote < 0 AS breadth_conflict
+FROM (SELECT *, (1 + CAST(breadth_vote = trend_vote AS INTEGER) + CAST(COALESCE(volatility_vote = trend_vote, false) AS INTEGER))
+                / (2 + CAST(volatility_vote IS NOT NULL AS INTEGER)) AS regime_confidence
+      FROM (SELECT b.market_context, b.date, b.breadth, b.n_symbols, m.regime_label_buffered,
+                   CAST(CASE WHEN sign(m.index_close - m.index_sma_50) = COALESCE(sign(m.sma_slope), 0)
+                             THEN sign(m.index_close - m.index_sma_50) ELSE 0 END AS INTEGER) AS trend_vote,
+                   CASE WHEN b.breadth > 0.55 THEN 1 WHEN b.breadth < 0.45 THEN -1 ELSE 0 END AS breadth_vote,
+                   CASE WHEN m.vix IS NOT NULL THEN CASE WHEN m.vix > 25.0 THEN -1 ELSE 1 END END AS volatility_vote
+            FROM (SELECT s.market_context, s.date, avg(CASE WHEN r.return_1d > 0 THEN 1.0 ELSE 0.0 END) AS breadth,
+                         count(*) AS n_symbols
+                  FROM silver s JOIN fe01 r ON s.symbol = r.symbol AND s.date = r.date GROUP BY 1, 2) b
+            LEFT JOIN m02 m ON b.market_context = m.market_context AND b.date = m.date) v) c"""
+
+
+@query("m04_breadth", O.cte(["silver", "fe01", "m02"], _M04, {**REXTRA, "fe01": FE01}, {**RDEPS, "fe01": ["silver"]}),
+       ["breadth", "regime_confidence"])
 def m04(spark, d):
-    """Share of advancing symbols per market and date."""
-    return RG.breadth(_returns(spark, d))
+    """Share of advancing symbols per market and date, the votes of trend,
+    breadth and volatility, and the regime confidence that their disagreement cuts."""
+    s = daily.silver(spark, d)
+    labels = RG.regime_buffer(RG.regime_raw(RG.index_series(s), _vix(spark, d)))
+    return RG.breadth_confidence(RG.breadth(SF.returns(s, horizons=(1,))), labels)
 
 
 @query("m05_dow_trend", O.cte(["silver"], """
@@ -236,25 +254,62 @@ def m09(spark, d):
     return N.news_novelty(TV.table(spark, d, "documents"))
 
 
-_M10 = """
-SELECT c.date, m.date AS macro_asof_date, m.repo AS macro_rate, m.chg AS rate_change_63,
-       CAST(date_diff('day', m.date, c.date) AS INTEGER) AS macro_age_days, CAST(NULL AS DOUBLE) AS inflation_trend,
-       CASE WHEN m.date IS NULL OR date_diff('day', m.date, c.date) > 35 THEN 'neutral'
-            WHEN m.chg > 0 THEN 'tightening' WHEN m.chg < 0 THEN 'easing' ELSE 'stable' END AS macro_regime_input
-FROM (SELECT DISTINCT date FROM silver WHERE market_context = 'india') c
-ASOF LEFT JOIN (SELECT date, repo, repo - lag(repo, 63) OVER (ORDER BY date) AS chg FROM md WHERE repo IS NOT NULL) m
-  ON c.date >= m.date"""
+def macro_releases(spark, d):
+    """The macro series with their release lags: rates daily (the long yield a
+    day later), price level and activity monthly (12 and 20 days later)."""
+    rates = L.extract_macro_html(LT.macro_html_pages(spark, d))
+    o = TV.table(spark, d, "orders")
+    monthly = o.groupBy(F.last_day(F.col("o_orderdate").cast("date")).alias("date")).agg(
+        exact_avg("o_totalprice").alias("price_level"), F.count(F.lit(1)).alias("orders"))
+    return {"rate": RG.macro_series(rates, "rbi_repo_rate", RG.RATE_TREND_LOOKBACK, 0),
+            "long_yield": RG.macro_series(rates, "india_10y_yield", RG.RATE_TREND_LOOKBACK, 1),
+            "inflation": RG.macro_series(monthly, "price_level", 3, 12, relative=True),
+            "growth": RG.macro_series(monthly, "orders", 3, 20, relative=True)}
+
+
+_M10_STATES = """
+SELECT *, CASE WHEN inflation_state IS NULL OR growth_state IS NULL THEN 'neutral'
+               WHEN growth_state = 'expanding' AND inflation_state = 'rising' AND macro_regime_input = 'tightening' THEN 'conflict'
+               WHEN growth_state = 'expanding' THEN 'expansion' WHEN inflation_state = 'rising' THEN 'stagflation'
+               WHEN growth_state = 'contracting' THEN 'contraction' ELSE 'neutral' END AS macro_regime
+FROM (SELECT c.date, r.date AS macro_asof_date, r.repo AS macro_rate, r.chg AS rate_change_63,
+             CAST(c.date - r.date AS INTEGER) AS macro_age_days, p.chg AS inflation_trend,
+             CAST(c.date - p.available AS INTEGER) AS inflation_age_days, g.chg AS growth_trend,
+             CAST(c.date - g.available AS INTEGER) AS growth_age_days, y.yld - r.repo AS yield_spread,
+             CASE WHEN r.date IS NULL OR c.date - r.date > 35 THEN 'neutral' WHEN r.chg > 0 THEN 'tightening'
+                  WHEN r.chg < 0 THEN 'easing' ELSE 'stable' END AS macro_regime_input,
+             CASE WHEN c.date - p.available > 35 OR p.chg IS NULL THEN NULL WHEN p.chg > 0.02 THEN 'rising'
+                  WHEN p.chg < -0.02 THEN 'falling' ELSE 'flat' END AS inflation_state,
+             CASE WHEN c.date - g.available > 35 OR g.chg IS NULL THEN NULL WHEN g.chg > 0.02 THEN 'expanding'
+                  WHEN g.chg < -0.02 THEN 'contracting' ELSE 'flat' END AS growth_state
+      FROM mdays c
+      ASOF LEFT JOIN (SELECT date, repo, repo - lag(repo, 63) OVER (ORDER BY date) AS chg FROM md) r ON c.date >= r.date
+      ASOF LEFT JOIN (SELECT date + 1 AS available, yld FROM md) y ON c.date >= y.available
+      ASOF LEFT JOIN (SELECT month_end + 12 AS available, level / lag(level, 3) OVER (ORDER BY month_end) - 1 AS chg FROM mm) p
+        ON c.date >= p.available
+      ASOF LEFT JOIN (SELECT month_end + 20 AS available, n / lag(n, 3) OVER (ORDER BY month_end) - 1 AS chg FROM mm) g
+        ON c.date >= g.available) t"""
 _MD = """SELECT CAST(o_orderdate AS DATE) AS date,
        CASE WHEN count(*) > 6 THEN ROUND(min(o_totalprice) / 20000.0 * 100) / 100
-            ELSE ROUND(avg(o_totalprice) / 50000.0 * 100) / 100 END AS repo FROM orders GROUP BY 1"""
-
-
-@query("m10_macro_regime_inputs", O.cte(["silver", "md"], _M10, {"md": _MD}, {"md": []}),
-       ["macro_rate", "rate_change_63", "inflation_trend"])
+            ELSE ROUND(avg(o_totalprice) / 50000.0 * 100) / 100 END AS repo,
+       greatest(ROUND(max(o_totalprice) / 70000.0 * 10000) / 10000, ROUND(avg(o_totalprice) / 30000.0 * 10000) / 10000) AS yld
+       FROM orders GROUP BY 1"""
+_MM = f"""SELECT last_day(CAST(o_orderdate AS DATE)) AS month_end, {exact_avg_sql('o_totalprice')} AS level, count(*) AS n
+       FROM orders GROUP BY 1"""
+_MDAYS = "SELECT DISTINCT date FROM silver WHERE market_context = 'india'"
+MACRO_EXTRA = {"md": _MD, "mm": _MM, "mdays": _MDAYS, "macro_states": _M10_STATES}
+MACRO_DEPS = {"mdays": ["silver"], "macro_states": ["md", "mm", "mdays"]}
+M10_COLS = ["date", "macro_asof_date", "macro_rate", "rate_change_63", "macro_age_days", "inflation_trend",
+            "inflation_age_days", "growth_trend", "growth_age_days", "yield_spread", "macro_regime_input",
+            "inflation_state", "growth_state", "macro_regime"]
+
+
+@query("m10_macro_regime_inputs", O.cte(["macro_states"], f"SELECT {', '.join(M10_COLS)} FROM macro_states", MACRO_EXTRA, MACRO_DEPS),
+       ["macro_rate", "rate_change_63", "inflation_trend", "growth_trend", "yield_spread"])
 def m10(spark, d):
-    """Latest policy rate per trading day, its 63-record change, age and input label."""
-    cal = daily.silver(spark, d).filter(F.col("market_context") == "india").select("date").distinct()
-    return RG.macro_regime_inputs(cal, macro_daily(spark, d))
+    """Rate, inflation, activity and spread by their release lags, each newest one known per trading day, and the macro regime."""
+    cal = daily.trading_days(spark, d).filter(F.col("market_context") == "india").select("date")
+    return RG.macro_regime_inputs(cal, macro_releases(spark, d)).select(*M10_COLS)
 
 
 # ------------------------------------------------------------------ evaluation

@@ -6,6 +6,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every job relies on.  Time zone is pinned so DATE casts of
 # timestamps never depend on the machine running the driver.
@@ -104,3 +105,10 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def small_side(df: DataFrame, most_rows: int = 100_000) -> DataFrame:
+    """``df`` for the small side of a join: written once, counted, and hinted
+    for broadcast only up to ``most_rows``; a larger one is joined by a shuffle."""
+    held = cut_lineage(df)
+    return F.broadcast(held) if held.limit(most_rows + 1).count() <= most_rows else held

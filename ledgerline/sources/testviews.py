@@ -12,7 +12,7 @@ market contexts.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
@@ -296,10 +296,13 @@ def cap_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     rev = li.groupBy("l_suppkey").agg((exact_sum(F.col("l_extendedprice") * (1 - F.col("l_discount")), 4) * 4.0)
                                       .alias("market_cap"))
     j = s.join(rev, s.s_suppkey == rev.l_suppkey, "left")
-    mc = F.col("market_cap")
-    tier = (F.when(mc.isNull(), F.lit("unknown")).when(mc >= CAP_TIER_BOUNDS[0], F.lit("large"))
+    return j.select(symbol_of("s_suppkey").alias("symbol"), "market_cap", cap_tier_of("market_cap").alias("cap_tier"))
+
+
+def cap_tier_of(market_cap: str) -> Column:
+    mc = F.col(market_cap)
+    return (F.when(mc.isNull(), F.lit("unknown")).when(mc >= CAP_TIER_BOUNDS[0], F.lit("large"))
             .when(mc >= CAP_TIER_BOUNDS[1], F.lit("mid")).otherwise(F.lit("small")))
-    return j.select(symbol_of("s_suppkey").alias("symbol"), "market_cap", tier.alias("cap_tier"))
 
 
 CAP_TIERS_SQL = f"""
@@ -396,3 +399,55 @@ FROM (SELECT {symbol_sql('l_suppkey')} AS symbol, CAST(date_trunc('quarter', l_s
 
 SQL_VIEWS.update({"earnings": EARNINGS_SQL, "bar_actions": BAR_ACTIONS_SQL, "macro_events": MACRO_EVENTS_SQL,
                   "quarterly": QUARTERLY_SQL})
+
+
+# --------------------------------------------------------------------------
+# quarterly reports with two times: the quarter, and the day it was known
+# --------------------------------------------------------------------------
+
+#: Stand-in market value: one quarter's revenue times this.
+MARKET_VALUE_MULTIPLE = 112.0
+#: Share of returned sales by which a report is corrected later.
+RESTATED_SHARE = 0.1
+
+
+def quarterly_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports per (symbol, quarter): the first is known on the 15th of the
+    month after the quarter; if goods came back, a corrected one follows 45
+    days later.  previous_revenue is the last version of the quarter before."""
+    li = table(spark, sf_dir, "lineitem")
+    sale = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    g = li.groupBy(symbol_of("l_suppkey").alias("symbol"), F.trunc(F.col("l_shipdate").cast("date"), "quarter").alias("quarter_start")).agg(
+        exact_sum("l_extendedprice", 2).alias("gross"), exact_sum(sale, 4).alias("sales"),
+        exact_sum(sale * (1 - F.col("l_tax")), 6).alias("net"),
+        F.coalesce(exact_sum(F.when(F.col("l_linestatus") == "F", sale), 4), F.lit(0.0)).alias("collected"),
+        F.coalesce(exact_sum(F.when(F.col("l_returnflag") == "R", sale), 4), F.lit(0.0)).alias("returned"),
+        F.sum("l_quantity").cast("double").alias("units"))
+    w = Window.partitionBy("symbol").orderBy("quarter_start")
+    cut = F.col("returned") * RESTATED_SHARE
+    g = g.withColumn("previous_revenue", F.lag(F.col("sales") - cut, 1).over(w))
+    version = F.explode(F.when(F.col("returned") > 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("version")
+    r = g.select("*", version)
+    off = F.col("version") * cut
+    return r.select("symbol", "quarter_start", F.date_sub(F.add_months("quarter_start", 3), 1).alias("quarter_end"),
+                    F.date_add(F.add_months("quarter_start", 3), F.lit(14) + F.lit(45) * F.col("version")).alias("known_date"),
+                    "gross", "collected", "returned", "units", F.col("sales").alias("first_revenue"),
+                    (F.col("sales") - off).alias("revenue"), (F.col("net") - off).alias("net_income"), "previous_revenue")
+
+
+REPORTS_SQL = f"""
+SELECT symbol, quarter_start, CAST(quarter_start + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE) AS quarter_end,
+       CAST(quarter_start + INTERVAL 3 MONTH AS DATE) + 14 + 45 * version AS known_date,
+       gross, collected, returned, units, sales AS first_revenue, sales - version * (returned * 0.1) AS revenue,
+       net - version * (returned * 0.1) AS net_income, previous_revenue
+FROM (SELECT *, unnest(CASE WHEN returned > 0 THEN [0, 1] ELSE [0] END) AS version
+      FROM (SELECT *, lag(sales - returned * 0.1) OVER (PARTITION BY symbol ORDER BY quarter_start) AS previous_revenue
+            FROM (SELECT {symbol_sql('l_suppkey')} AS symbol, CAST(date_trunc('quarter', l_shipdate) AS DATE) AS quarter_start,
+                         {exact_sum_sql('l_extendedprice', 2)} AS gross,
+                         {exact_sum_sql('l_extendedprice * (1 - l_discount)', 4)} AS sales,
+                         {exact_sum_sql('l_extendedprice * (1 - l_discount) * (1 - l_tax)', 6)} AS net,
+                         COALESCE({exact_sum_sql("CASE WHEN l_linestatus = 'F' THEN l_extendedprice * (1 - l_discount) END", 4)}, 0.0::DOUBLE) AS collected,
+                         COALESCE({exact_sum_sql("CASE WHEN l_returnflag = 'R' THEN l_extendedprice * (1 - l_discount) END", 4)}, 0.0::DOUBLE) AS returned,
+                         CAST(sum(l_quantity) AS DOUBLE) AS units
+                  FROM lineitem GROUP BY 1, 2) a) b) c"""
+SQL_VIEWS["reports"] = REPORTS_SQL
