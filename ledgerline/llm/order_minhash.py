@@ -12,14 +12,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import prepare
+from .shared import prepare, written
 
 KMER, BIN_BITS, PICK = 3, 5, 2
 WORD_GAP = r"[\x20\x09-\x0D]+"
 #: Documents of one bucket of the id order, on average.
 BUCKET_DOCS = 2000
-#: Edges of so many buckets are broadcast; more are joined by a shuffle.
-BROADCAST_EDGES = 4096
+#: At most so many ranges of ids (and as many of rows without one): the first
+#: row of each goes to all tasks.
+MOST_BUCKETS = 1 << 14
 
 
 def _bin(u: Column) -> Column:
@@ -82,40 +83,60 @@ def as_text(c: str) -> Column:
     return F.array_join(F.transform(c, lambda t: F.concat(F.lpad(F.hex(t["bin"]), 2, "0"), F.lpad(F.hex(t["hash"]), 16, "0"))), "")
 
 
+def _range_edges(docs: DataFrame, buckets: int) -> list[int]:
+    """Ids that cut the documents into about equal shares: quantiles, so that
+    an id far from the others moves none of them."""
+    if buckets < 2:
+        return []
+    shares = [i / buckets for i in range(1, buckets)]
+    found = docs.agg(F.percentile_approx("id", shares, 10 * buckets)).first()[0]
+    return sorted(set(found or []))
+
+
+def _range_of(edges: list[int]) -> Column:
+    """Number of edges that are smaller than the id, found by halving steps;
+    descending, so that range 0 holds the largest ids."""
+    if not edges:
+        return F.lit(0).cast("long")
+    table = F.split(F.lit(",".join(map(str, edges))), ",").cast("array<bigint>")
+    steps = [1 << k for k in range(len(edges).bit_length() - 1, -1, -1)]
+    below = F.aggregate(F.array(*[F.lit(k) for k in steps]), F.lit(0), lambda acc, p: F.when(
+        F.coalesce(F.get(table, acc + p - 1) < F.col("id"), F.lit(False)), acc + p).otherwise(acc))
+    return (F.lit(len(edges)) - below).cast("long")
+
+
 def with_next(docs: DataFrame) -> DataFrame:
-    """``docs`` (id, text, print) with next_text and next_print: those of the
-    following row in descending order of id (after the last: the first).
+    """``docs`` (id, text) with print, next_text and next_print: fingerprints,
+    and the following row in descending order of id (after the last: the first).
 
-    Ids are dealt into ranges of equal width, so one pass over the texts
-    orders each range; only the first row of every range crosses ranges."""
+    Ids are dealt into ranges of about equal count, so one pass over the texts
+    orders each range; only the first row of every range crosses ranges, found
+    by id and text hash, and only those rows are fingerprinted again."""
     key = F.xxhash64(F.coalesce("text", F.lit("")))
-    low, high, n, none = docs.agg(F.min("id"), F.max("id"), F.count(F.lit(1)), F.count_if(F.col("id").isNull())).first()
-    buckets = max(1, -(-(n - none) // BUCKET_DOCS)) if n else 1
-    spare = max(1, -(-none // BUCKET_DOCS)) if n else 1
-    width = max(1, -(-((high or 0) - (low or 0) + 1) // buckets))
-    place = F.when(F.col("id").isNotNull(), F.expr(f"cast(({high or 0}L - id) div {width}L as long)")).otherwise(
-        F.lit(buckets) + F.pmod(F.col("key"), F.lit(spare)))
-    rows = docs.withColumn("key", key).withColumn("bucket", place)
+    n, none = docs.agg(F.count(F.lit(1)), F.count_if(F.col("id").isNull())).first()
+    buckets = min(MOST_BUCKETS, max(1, -(-(n - none) // BUCKET_DOCS)))
+    spare = min(MOST_BUCKETS, max(1, -(-none // BUCKET_DOCS)))
+    edges = _range_edges(docs, buckets)
+    place = F.when(F.col("id").isNotNull(), _range_of(edges)).otherwise(
+        F.lit(len(edges) + 1) + F.pmod(F.col("key"), F.lit(spare)))
+    plain = docs.withColumn("key", key).withColumn("bucket", place)
+    rows = fingerprint(plain, "text", "print")
     order = Window.partitionBy("bucket").orderBy(F.col("id").desc_nulls_last(), "key")
     nxt = lambda c: F.lead(c).over(order)
     ranked = rows.select("id", "text", "print", "bucket", nxt("text").alias("next_text"), nxt("print").alias("next_print"),
                          F.lead(F.lit(1)).over(order).isNull().alias("last"))
-    # first rows of the buckets: by id and text hash alone, then the texts
-    firsts = rows.select("bucket", "id", "key").groupBy("bucket").agg(
-        F.min(F.struct((-F.col("id")).alias("down"), "key")).alias("f") if none == 0 else
+    firsts = plain.select("bucket", "id", "key").groupBy("bucket").agg(
         F.min(F.struct(F.col("id").isNull().alias("null"), (-F.col("id")).alias("down"), "key")).alias("f"))
-    chain = Window.orderBy("bucket")
-    around = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    firsts = firsts.select("bucket", (-F.col("f.down")).alias("id"), F.col("f.key").alias("key"),
-                           F.coalesce(F.lag("bucket").over(chain), F.last("bucket").over(around)).alias("before"))
-    if buckets + spare <= BROADCAST_EDGES:
-        firsts = F.broadcast(firsts)
-    heads = rows.alias("r").join(
+    chain = Window.orderBy("bucket")  # one row a range, at most 2 * MOST_BUCKETS
+    around = chain.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    firsts = F.broadcast(written(firsts.select(
+        "bucket", (-F.col("f.down")).alias("id"), F.col("f.key").alias("key"),
+        F.coalesce(F.lag("bucket").over(chain), F.last("bucket").over(around)).alias("before")), "range-firsts"))
+    heads = plain.alias("r").join(
         firsts.alias("f"), (F.col("r.bucket") == F.col("f.bucket")) & F.col("r.id").eqNullSafe(F.col("f.id"))
-        & (F.col("r.key") == F.col("f.key"))).select(
-        F.col("f.before").alias("bucket"), F.col("r.text").alias("head_text"), F.col("r.print").alias("head_print"))
-    heads = heads.dropDuplicates(["bucket"])
-    joined = ranked.join(heads, "bucket", "left")
+        & (F.col("r.key") == F.col("f.key"))).select(F.col("f.before").alias("bucket"), F.col("r.text").alias("head_text"))
+    heads = written(heads.groupBy("bucket").agg(F.min("head_text").alias("head_text")), "range-heads")
+    joined = ranked.join(fingerprint(heads, "head_text", "head_print"), "bucket", "left")
     return joined.select("id", "text", "print",
                          F.when(F.col("last"), F.col("head_text")).otherwise(F.col("next_text")).alias("next_text"),
                          F.when(F.col("last"), F.col("head_print")).otherwise(F.col("next_print")).alias("next_print"))
@@ -133,7 +154,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     prepare(docs.sparkSession)
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    d = with_next(fingerprint(own, "text", "print"))
+    d = with_next(own)
     n = F.char_length("text")
     third = F.floor(n / 3).cast("int")
     d = d.withColumn("n_chars", n.cast("long")).withColumn(

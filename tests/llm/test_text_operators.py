@@ -122,6 +122,71 @@ def test_edited_texts_and_equal_fingerprints(spark, monkeypatch):
     assert by[len(texts) - 1].print != by[len(texts) - 2].print  # more occurrences
 
 
+def test_a_far_off_id_leaves_the_ranges_even(spark, monkeypatch):
+    monkeypatch.setattr(order_minhash, "BUCKET_DOCS", 10)
+    ids = [*range(200), 10 ** 12, -(10 ** 15)]
+    df = spark.createDataFrame([(i, f"text {i}") for i in ids], "doc_id long, text string")
+    edges = order_minhash._range_edges(df.withColumnRenamed("doc_id", "id"), 21)
+    sizes = df.withColumnRenamed("doc_id", "id").groupBy(order_minhash._range_of(edges)).count().collect()
+    assert len(sizes) >= 20 and max(r["count"] for r in sizes) <= 20
+    down = sorted(ids, reverse=True)
+    after = dict(zip(down, [*down[1:], down[0]]))
+    assert all(r.next_text == f"text {after[r.doc_id]}" for r in order_minhash.fingerprints(df).collect())
+
+
+def _xxhash(values):
+    """Spark's xxhash64 of longs (seed 42, one after the other)."""
+    m = (1 << 64) - 1
+    rot = lambda x, r: ((x << r) | (x >> (64 - r))) & m
+    p1, p2, p3, p4, p5 = 0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5
+    h = 42
+    for v, size in values:
+        if size == 8:
+            h = (h + p5 + 8) & m
+            h ^= rot((v & m) * p2 & m, 31) * p1 & m
+            h = (rot(h, 27) * p1 + p4) & m
+        else:
+            h = (h + p5 + 4) & m
+            h ^= (v & 0xFFFFFFFF) * p1 & m
+            h = (rot(h, 23) * p2 + p3) & m
+        h ^= h >> 33
+        h = h * p2 & m
+        h ^= h >> 29
+        h = h * p3 & m
+        h ^= h >> 32
+    return h - (1 << 64) if h >> 63 else h
+
+
+def brute_print(text):
+    """Numbered 3-mers of words, 32 bins, the two smallest of each in text order."""
+    import xxhash
+
+    name = lambda w: (lambda h: h - (1 << 64) if h >> 63 else h)(xxhash.xxh64_intdigest(w.encode(), seed=42))
+    names = [name(w) for w in WORDS.findall(text or "")]
+    if len(names) >= 3:
+        kmers = [_xxhash([(x, 8) for x in names[i:i + 3]]) for i in range(len(names) - 2)]
+    else:
+        kmers = [_xxhash([(x, 8) for x in names])] if names else []
+    seen, bins = {}, {}
+    for at, k in enumerate(kmers):
+        u = _xxhash([(k, 8), (seen.get(k, 0), 4)])
+        seen[k] = seen.get(k, 0) + 1
+        bins.setdefault((u % (1 << 64)) >> 59, []).append((u, at))
+    out = []
+    for b, items in bins.items():
+        low = sorted(sorted(items)[:2], key=lambda x: x[1])
+        out.append((b, _xxhash([(u, 8) for u, _ in low])))
+    return sorted(out)
+
+
+def test_fingerprint_against_brute_force(spark):
+    r = random.Random(9)
+    texts = [*TEXTS, "a b c a b c a b c a b", "one two"] + [" ".join(r.choice("ab cd ef gh".split()) for _ in range(r.randint(0, 90))) for _ in range(40)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for row in order_minhash.fingerprint(df, "text", "p").collect():
+        assert sorted((x.bin, x.hash) for x in row.p) == brute_print(row.text)
+
+
 def test_fingerprint_is_sensitive_to_order(spark):
     from pyspark.sql import functions as F
 
