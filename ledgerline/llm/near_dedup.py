@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .arrays import U, lower_ascii, mix, pieces, prefix_hash, stretch_hash, text_buffer, word_hashes, word_spans
 from .components import components
-from .shared import prepare, written
+from .shared import prepare, unused, written
 
 TREES, DEPTH, DEEPEST = 21, 3, 6
 #: Regions up to this size are compared pair by pair; larger ones are split.
@@ -309,11 +309,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
                     percent: int = 80) -> DataFrame:
     """``docs`` with one document of each component; documents without words
-    stay.  All columns are kept; repeated rows of a document go."""
+    (null texts too) stay.  All columns are kept, whatever their names; of a
+    component the row with the smallest text hash stays, repeated rows of it
+    once; rows without an id stand for themselves; an empty table gives an
+    empty one."""
     found = near_duplicates(docs, id_col, text_col, words, percent).where("kept")
     one = found.where("n_shingles > 0").groupBy("group").agg(F.min(F.struct("text_key", "doc_id")).alias("r")).select("r.*")
     one = one.unionByName(found.where("n_shingles = 0").select("text_key", "doc_id").distinct())
-    one = one.select(F.col("text_key").alias("_key"), F.col("doc_id").alias("_id"))
-    keyed = docs.withColumn("_text_key", F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
-    kept = keyed.join(one, (F.col("_text_key") == F.col("_key")) & F.col(id_col).eqNullSafe(F.col("_id")))
-    return kept.dropDuplicates(["_text_key", id_col]).select(*docs.columns)
+    key, id_, own = unused(docs.columns, "_key", "_id", "_text_key")
+    one = one.select(F.col("text_key").alias(key), F.col("doc_id").alias(id_))
+    keyed = docs.withColumn(own, F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    kept = keyed.join(one, (F.col(own) == F.col(key)) & F.col(id_col).eqNullSafe(F.col(id_)))
+    return kept.dropDuplicates([own, id_col]).select(*docs.columns)

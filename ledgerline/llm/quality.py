@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import prepare, written
+from .shared import prepare, unused, written
 
 WORD_GAP = r"[\x20\x09-\x0D]+"
 HAS_WORD = r"[^\x20\x09-\x0D]"
@@ -18,13 +18,9 @@ SYMBOLS = r"[#*$%&|<>]"
 
 #: Fixed values of the base rules.
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-#: A line is boilerplate when at least this many distinct texts of a host hold
-#: it, and more than this percentage of them.
-MIN_DOCUMENTS, MAX_LINE_PERCENT = 20, 20
-#: For cleaning texts, the percentage, and a number of distinct texts that is
-#: enough in a host of any size.  On the given tables, lines that documents
-#: share by rule are in 8 % or more of a host's texts, chance repeats below 5 %.
-CLEAN_LINE_PERCENT, CLEAN_DOCUMENTS = 5, 1000
+#: A line is boilerplate when more than this percentage of a host's distinct
+#: texts hold it, and at least this many.
+MAX_LINE_PERCENT, MIN_DOCUMENTS = 5, 3
 #: A document is depleted when less of its words is left (percent).
 MIN_LEFT_PERCENT = 30
 
@@ -144,18 +140,25 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
 
 
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-          percent: int = CLEAN_LINE_PERCENT, documents: int | None = CLEAN_DOCUMENTS) -> DataFrame:
-    """``docs`` without the rejected documents and without boilerplate lines,
-    all columns kept (``n_chars``, where present, follows the text)."""
+          percent: int = MAX_LINE_PERCENT, documents: int | None = None) -> DataFrame:
+    """``docs`` without the rejected documents (``judge``) and without
+    boilerplate lines, all columns kept, whatever their names (``n_chars``,
+    where present, follows the text).
+
+    Null and empty texts fail the base rules and go; null ids and hosts are
+    treated as in ``judge``; repeated rows stay repeated; ties do not matter, as
+    a line's verdict holds for all documents of the host; an empty table gives
+    an empty one."""
     prepare(docs.sparkSession)
+    key, gone, id_ = unused(docs.columns, "_key", "_gone", "_id")
     # written: a filter on the verdict would otherwise be pushed into the rules and evaluate them over and over
     verdict = written(judge(docs, id_col, text_col, host_col, percent, documents).select(
-        F.col(id_col).alias("_id"), F.col("text_key").alias("_key"), F.col("lines_removed").alias("_gone"), "kept"), "verdict")
-    verdict = verdict.where("kept").drop("kept").dropDuplicates(["_id", "_key"])
+        F.col(id_col).alias(id_), F.col("text_key").alias(key), F.col("lines_removed").alias(gone), F.col("kept").alias("is_kept")), "verdict")
+    verdict = verdict.where("is_kept").drop("is_kept").dropDuplicates([id_, key])
     t = F.coalesce(F.col(text_col), F.lit(""))
-    left = F.array_join(F.filter(F.split(t, "\n", -1), lambda x, i: ~F.array_contains("_gone", i)), "\n")
-    kept = docs.join(verdict, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(t) == F.col("_key")))
-    kept = kept.withColumn(text_col, F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(left))
+    left = F.array_join(F.filter(F.split(t, "\n", -1), lambda x, i: ~F.array_contains(gone, i)), "\n")
+    kept = docs.join(verdict, F.col(id_col).eqNullSafe(F.col(id_)) & (F.xxhash64(t) == F.col(key)))
+    kept = kept.withColumn(text_col, F.when(F.col(gone).isNull(), F.col(text_col)).otherwise(left))
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.char_length(text_col).cast(docs.schema["n_chars"].dataType))
     return kept.select(*docs.columns)

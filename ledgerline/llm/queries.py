@@ -194,7 +194,7 @@ nl AS (SELECT doc_id, host, t, trim(x) AS line FROM (
                 '[\x20\x09\x0B-\x0D]+', ' ', 'g'), chr(10))) AS x FROM d)),
 h AS (SELECT host, count(DISTINCT t) AS host_texts FROM d GROUP BY host),
 f AS (SELECT host, line FROM nl JOIN h USING (host) WHERE line <> '' GROUP BY host, line, host_texts
-      HAVING count(DISTINCT t) >= 20 AND count(DISTINCT t) * 100 > host_texts * 20),
+      HAVING count(DISTINCT t) >= 3 AND count(DISTINCT t) * 100 > host_texts * 5),
 b AS (SELECT doc_id, sum(len(string_split(line, ' '))) AS boilerplate_words FROM nl SEMI JOIN f USING (host, line) GROUP BY doc_id),
 m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
              CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,

@@ -49,3 +49,15 @@ def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     path = f"{checkpoint_root(spark).rstrip('/')}/ledgerline-llm/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def unused(columns: list[str], *names: str) -> list[str]:
+    """``names``, each lengthened until no column has it (in any case)."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out

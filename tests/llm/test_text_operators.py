@@ -267,6 +267,18 @@ def test_cleaning_removes_lines_that_many_documents_of_a_large_host_hold(spark):
     assert all(x.lines_removed is None for x in quality.judge(df, percent=90, documents=46).collect())
 
 
+def test_cleaning_keeps_clashing_columns(spark):
+    from ledgerline.llm import near_dedup
+
+    text = " ".join(a + b for a in "abcdefgh" for b in "stuvwxyz")
+    rows = [(i, text + " x" + "pqrs"[i] + "\nshared line here", "s", f"k{i}", "g", "t", i) for i in range(4)] + [(9, None, None, "k", "g", "t", 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, _key string, _gone string, _text_key string, _id long")
+    got = {r.doc_id: r.asDict() for r in quality.clean(df).collect()}
+    assert got == {r[0]: dict(zip(df.columns, (r[0], r[1].split("\n")[0], *r[2:]))) for r in rows[:4]}
+    kept = {tuple(r) for r in near_dedup.representatives(df).collect()}
+    assert kept <= set(rows) and rows[4] in kept and len(kept) == 2
+
+
 # HTML
 
 def test_html_layout():
