@@ -26,6 +26,7 @@ PROMOTION_MIN_GAIN = 0.02
 OVERFIT_MAX_GAP = 0.20
 DECAY_DROP = 0.05
 DECAY_WINDOW_DATES = 21
+HIST_BINS, FEED_STALE_DAYS = 10, 7
 LOW_CONFIDENCE = 0.01
 TRADING_DAYS_YEAR = 252
 DEFAULT_CAPITAL = 1_000_000.0
@@ -212,22 +213,62 @@ def performance_decay(df: DataFrame, label: str, pred: str) -> DataFrame:
     return daily.withColumn("decayed", (F.col("baseline_accuracy") - F.col("rolling_accuracy")) >= DECAY_DROP)
 
 
-def drift_report(df: DataFrame, features: list[str]) -> DataFrame:
-    """Per (feature, week): NULL share, mean, exact median (from exact
-    bucketed ranks, no per-group value buffer) and the mean change on the
-    previous week (feature x week rows)."""
-    long = df.select(F.date_trunc("week", F.col("date").cast("timestamp")).cast("date").alias("week"),
-                     F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v"))
-                                         for c in features])).alias("__f"))
-    long = long.select(F.col("__f.feature").alias("feature"), "week", F.col("__f.v").alias("v"))
-    g = long.groupBy("feature", "week").agg(
-        F.avg(F.col("v").isNull().cast("double")).alias("null_share"), F.avg("v").alias("mean"),
-        F.count(F.lit(1)).alias("n"))
+def drift_report(df: DataFrame, features: list[str], confidence: str | None = None) -> DataFrame:
+    """Per (feature, week): rows, NULL share, mean, exact median and mean
+    change; histogram (``HIST_BINS`` bins over the reference mean +- 3 standard
+    deviations, the outer ones open) with its population stability index and
+    largest share difference against the week before; outliers beyond 4
+    standard deviations; and the age in days, at the week's end, of the newest
+    value of the feed, stale above ``FEED_STALE_DAYS``.  ``confidence`` (0 to 1)
+    is one more row a week, its bins being tenths.
+
+    All counters of a week are one row of one aggregate, mergeable and made
+    before anything is turned long; the reference moments are one row."""
+    ref = df.agg(*[x for c in features for x in (F.avg(c).alias(f"m_{c}"), F.stddev_samp(c).alias(f"s_{c}"))]).first()
+    names = [*features, *([confidence] if confidence else [])]
+    week = F.date_trunc("week", F.col("date").cast("timestamp")).cast("date").alias("week")
+    bounds = {c: ((ref[f"m_{c}"] or 0.0) - 3 * (ref[f"s_{c}"] or 0.0), 6 * (ref[f"s_{c}"] or 0.0)) for c in features}
+    if confidence:
+        bounds[confidence] = (0.0, 1.0)
+
+    def cell(c: str) -> Column:
+        low, span = bounds[c]
+        at = F.floor((F.col(c) - low) * HIST_BINS / F.lit(span)) if span else F.lit(0).cast("long")
+        return F.when(F.col(c).isNotNull(), F.least(F.greatest(at, F.lit(0)), F.lit(HIST_BINS - 1)))
+
+    counts = []
+    for c in names:
+        v = F.col(c).cast("double")
+        counts += [F.avg(v).alias(f"mean_{c}"), F.count_if(v.isNull()).alias(f"nulls_{c}"), F.max(F.when(v.isNotNull(), F.col("date"))).alias(f"last_{c}")]
+        counts += [F.count_if(F.col(f"__cell_{c}") == i).alias(f"h{i}_{c}") for i in range(HIST_BINS)]
+        far = F.abs(v - ref[f"m_{c}"]) > 4 * ref[f"s_{c}"] if c != confidence and ref[f"s_{c}"] is not None else F.lit(False)
+        counts.append(F.count_if(far).alias(f"far_{c}"))
+    weekly = df.select("*", *[cell(c).alias(f"__cell_{c}") for c in names]).groupBy(week).agg(F.count(F.lit(1)).alias("n"), *counts)
+    long = weekly.select("week", "n", F.explode(F.array(*[F.struct(
+        F.lit(c).alias("feature"), (F.col(f"nulls_{c}") / F.col("n")).alias("null_share"), F.col(f"mean_{c}").alias("mean"),
+        F.array(*[F.col(f"h{i}_{c}") for i in range(HIST_BINS)]).alias("bins"), (F.col(f"far_{c}") / F.col("n")).alias("outlier_share"),
+        F.col(f"last_{c}").alias("last")) for c in names])).alias("f")).select("week", "n", "f.*")
+    w = Window.partitionBy("feature").orderBy("week")  # one row a week and feature
+    seen = F.aggregate("bins", F.lit(0).cast("long"), lambda acc, x: acc + x)
+    shares = F.transform("bins", lambda x: (x + 0.5) / (F.col("seen") + 0.5 * HIST_BINS))
+    long = long.withColumn("seen", seen).withColumn("shares", shares)
+    long = long.select("*", F.lag("shares").over(w).alias("before"), (F.col("mean") - F.lag("mean").over(w)).alias("mean_change"),
+                       F.max("last").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("newest"))
+    pairs = F.zip_with("shares", "before", lambda p, q: F.struct(p.alias("p"), q.alias("q")))
+    psi = F.aggregate(pairs, F.lit(0.0), lambda acc, x: acc + (x["p"] - x["q"]) * F.log(x["p"] / x["q"]))
+    gap = F.array_max(F.transform(pairs, lambda x: F.abs(x["p"] - x["q"])))
+    age = F.datediff(F.date_add("week", 6), "newest")
+    g = long.select("feature", "week", "n", "null_share", "mean", "mean_change", "outlier_share",
+                    F.array_join(F.transform("bins", lambda x: x.cast("string")), ",").alias("histogram"),
+                    F.when(F.col("before").isNotNull(), psi).alias("psi"), F.when(F.col("before").isNotNull(), gap).alias("max_share_change"),
+                    age.alias("feed_age_days"), F.coalesce(age > FEED_STALE_DAYS, F.lit(True)).alias("feed_stale"))
     from ..functions.ranking import exact_median
 
-    g = g.join(exact_median(long, ["feature", "week"], "v"), ["feature", "week"], "left")
-    w = Window.partitionBy("feature").orderBy("week")
-    return g.withColumn("mean_change", F.col("mean") - F.lag("mean", 1).over(w))
+    medians = None
+    for c in names:
+        one = exact_median(df.select(week, F.col(c).cast("double").alias("v")), ["week"], "v").withColumn("feature", F.lit(c))
+        medians = one if medians is None else medians.unionByName(one)
+    return g.join(medians, ["feature", "week"], "left")
 
 
 def features_hash(df: DataFrame, cols: list[str], digits: int = 6) -> Column:

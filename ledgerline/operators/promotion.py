@@ -6,11 +6,14 @@ partial aggregation over the layer, never a collection of rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 # ---- fixed thresholds --------------------------------------------------------------
 FRESHNESS_MAX_LAG = 2
 SYMBOL_NULL_RATE_MAX = 0.02
@@ -85,28 +88,51 @@ def zscore_check(rows: DataFrame, col: str, limit: float = ZSCORE_LIMIT) -> Data
 
 
 def feature_nan_rates(features: DataFrame, cols: list[str]) -> DataFrame:
-    """NULL / NaN share per (symbol, feature) (<= 5 %)."""
-    long = features.select("symbol", F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), (F.col(c).isNull() | F.isnan(F.col(c).cast("double"))).alias("bad"))
-        for c in cols])).alias("__f"))
-    g = long.groupBy("symbol", F.col("__f.feature").alias("feature")).agg(
-        F.avg(F.col("__f.bad").cast("double")).alias("nan_rate"))
-    return g.withColumn("passes", F.col("nan_rate") <= FEATURE_NAN_RATE_MAX)
-
-
-def lookahead_mismatches(full: DataFrame, cut: DataFrame, cutoff: str) -> DataFrame:
-    """Rows on or before the cutoff that differ between features built on
-    all data and on data cut at the cutoff (must be zero)."""
-    a = full.filter(F.col("date") <= F.lit(cutoff).cast("date"))
-    cols = a.columns
-    # the multiset difference in both directions, counted in one aggregate:
-    # per distinct row |copies in full - copies in cut| (two exceptAll would
-    # each evaluate both feature builds)
-    tagged = a.select(*cols, F.lit(1).alias("__t")).unionByName(cut.select(*cols, F.lit(-1).alias("__t")))
-    per_row = tagged.groupBy(*cols).agg(F.sum("__t").alias("__d"))
-    n = F.coalesce(F.sum(F.abs("__d")), F.lit(0)).cast("long")
-    return per_row.agg(n.alias("mismatched_rows")).select(
-        F.lit(cutoff).cast("date").alias("cutoff_date"), "mismatched_rows")
+    """NULL / NaN share per (symbol, feature) (<= 5 %): one row of
+    counters a symbol, turned into a row a feature afterwards."""
+    bad = lambda c: F.col(c).isNull() | F.isnan(F.col(c).cast("double"))
+    g = features.groupBy("symbol").agg(F.count(F.lit(1)).alias("__n"), *[F.count_if(bad(c)).alias(f"__bad_{c}") for c in cols])
+    long = g.select("symbol", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), (F.col(f"__bad_{c}") / F.col("__n")).alias("nan_rate")) for c in cols])).alias("__f"))
+    return long.select("symbol", "__f.*").withColumn("passes", F.col("nan_rate") <= FEATURE_NAN_RATE_MAX)
+
+
+def lookahead_check(rows: DataFrame, build: Callable[[DataFrame], DataFrame], cuts: list, features: list[str]) -> DataFrame:
+    """Per (cutoff_date, feature) the rows up to the cut whose value differs
+    between features built on all rows and on the rows up to the cut: a
+    feature that looks ahead does, at the cut.
+
+    All cuts are built in one pass, as copies of the symbols.  Per (symbol, cut)
+    an order-free hash of all feature rows (their count and the sum of their
+    hashes) tells which symbols differ at all; only these are compared row by
+    row.  ``build`` works per symbol, on the columns symbol and date."""
+    full = cut_lineage(build(rows).select("symbol", "date", *features))
+    dates = F.array(*[F.lit(c).cast("date") for c in cuts])
+    copies = rows.withColumn("__cut", F.explode(dates)).filter(F.col("date") <= F.col("__cut"))
+    copies = copies.withColumn("symbol", F.concat_ws("|", F.col("__cut").cast("string"), "symbol")).drop("__cut")
+    built = cut_lineage(build(copies).select(
+        F.substring_index("symbol", "|", 1).cast("date").alias("__cut"), F.expr("substring(symbol, 12)").alias("symbol"), "date", *features))
+    h = F.xxhash64("date", *features).cast("decimal(38,0)")
+    whole = full.groupBy("symbol").agg(*[x for i, c in enumerate(cuts) for x in (
+        F.sum(F.when(F.col("date") <= F.lit(c).cast("date"), h)).alias(f"__h{i}"),
+        F.count_if(F.col("date") <= F.lit(c).cast("date")).alias(f"__n{i}"))])
+    whole = whole.select("symbol", F.explode(F.array(*[
+        F.struct(F.lit(c).cast("date").alias("__cut"), F.col(f"__h{i}").alias("__h"), F.col(f"__n{i}").alias("__n"))
+        for i, c in enumerate(cuts)])).alias("__x")).select("symbol", "__x.*").filter("__n > 0")
+    part = built.groupBy("symbol", "__cut").agg(F.sum(h).alias("__h2"), F.count(F.lit(1)).alias("__n2"))
+    odd = cut_lineage(whole.join(part, ["symbol", "__cut"], "full_outer").filter(
+        ~(F.col("__h").eqNullSafe(F.col("__h2")) & F.col("__n").eqNullSafe(F.col("__n2")))).select("symbol", "__cut"))
+    a = full.join(odd, "symbol").filter(F.col("date") <= F.col("__cut"))
+    b = built.join(odd, ["symbol", "__cut"]).select("symbol", "__cut", "date", *[F.col(f).alias(f"__cut_{f}") for f in features],
+                                                    F.lit(True).alias("__there"))
+    j = a.withColumn("__here", F.lit(True)).join(b, ["symbol", "__cut", "date"], "full_outer")
+    same = lambda f: F.col(f).eqNullSafe(F.col(f"__cut_{f}")) & F.col("__here").eqNullSafe(F.col("__there"))
+    counted = j.groupBy("__cut").agg(*[F.count_if(~same(f)).alias(f"__d_{f}") for f in features])
+    grid = rows.sparkSession.createDataFrame([(str(c),) for c in cuts], "c string").select(F.col("c").cast("date").alias("__cut"))
+    found = grid.join(counted, "__cut", "left")
+    return found.select(F.col("__cut").alias("cutoff_date"), F.explode(F.array(*[
+        F.struct(F.lit(f).alias("feature"), F.coalesce(F.col(f"__d_{f}"), F.lit(0).cast("long")).alias("mismatched_rows"))
+        for f in features])).alias("__f")).select("cutoff_date", "__f.*")
 
 
 def staleness(rows: DataFrame, asof_cols: dict[str, str]) -> DataFrame:
@@ -161,12 +187,11 @@ def layer_reconciliation(upstream: DataFrame, downstream: DataFrame, key: str =
     return j.withColumn("row_diff_ratio", diff).withColumn("reconciled", diff <= ROW_COUNT_TOLERANCE)
 
 
-def windowed_staleness_asof(calendar: DataFrame, dated: DataFrame, date_col: str, out: str) -> DataFrame:
-    """Latest ``date_col`` on or before each calendar date for a market-wide
-    daily series; both inputs are one row per day (bounded), so a single
-    ordered window over their union is small."""
-    u = calendar.select("date", F.lit(None).cast("date").alias("__d")).unionByName(
-        dated.select(F.col(date_col).alias("date"), F.col(date_col).alias("__d")))
-    w = Window.orderBy("date", F.col("__d").isNull()).rowsBetween(Window.unboundedPreceding, 0)
-    u = u.withColumn(out, F.last("__d", ignorenulls=True).over(w))
-    return u.filter(F.col("__d").isNull()).select("date", out).distinct()
+def newest_dates(days: DataFrame, dated: dict[str, DataFrame], by: str = "market_context") -> DataFrame:
+    """(by, date) rows of ``days``, one each, with per name the newest date of
+    ``dated[name]`` (columns by, date) on or before it, all carried in one pass."""
+    found = days.groupBy(by, "date").agg(F.lit(True).alias("__day"))
+    for name, d in dated.items():
+        found = found.join(d.groupBy(by, "date").agg(F.max("date").alias(name)), [by, "date"], "full_outer")
+    w = Window.partitionBy(by).orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
+    return found.select(by, "date", "__day", *[F.last(n, ignorenulls=True).over(w).alias(n) for n in dated]).filter("__day").drop("__day")

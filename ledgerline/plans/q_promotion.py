@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import enrichment as EN
+from ..operators import features as FT
 from ..operators import promotion as P
+from ..operators import regime as RG
+from ..operators import spec_features as SF
+from ..session import small_side
 from ..sources import testviews as TV
+from ..util import sdiv
 from . import daily
 from . import oracle as O
 from .catalog import query
@@ -15,6 +21,7 @@ from .q_features import FE01
 from .q_labels import DEPS as LAB_DEPS
 from .q_labels import EXTRA as LAB_EXTRA
 from .q_labels import labels
+from .q_regime_eval import RDEPS, REXTRA, m01_frame
 
 EXTRA = {"cal": _CAL}
 DEPS = {"cal": ["silver"]}
@@ -106,59 +113,100 @@ FROM fe01 r LEFT JOIN (SELECT date, avg(return_1d) AS mu, stddev_samp(return_1d)
   ON r.date = m.date""", {"fe01": FE01}, {"fe01": ["silver"]}), {"return_1d": 6, "zscore": 5})
 def g07(spark, d):
     """Cross-sectional z-score of the 1-day return per date; |z| > 4 flagged."""
-    from ..operators import spec_features as SF
-
     r = SF.returns(daily.silver(spark, d), horizons=(1,)).select("symbol", "date", "return_1d")
     return P.zscore_check(r, "return_1d")
 
 
-NAN_FEATS = ["rsi_14", "macd_12_26_9", "bbm_20_2_0", "atr_14", "return_21d"]
-
-
 @query("g08_feature_nan_rates", O.cte(["gfeat"], " UNION ALL ".join(
     f"SELECT symbol, '{c}' AS feature, avg(CASE WHEN {c} IS NULL OR isnan({c}) THEN 1 ELSE 0 END) AS nan_rate, "
     f"avg(CASE WHEN {c} IS NULL OR isnan({c}) THEN 1 ELSE 0 END) <= 0.05 AS passes FROM gfeat GROUP BY symbol"
-    for c in NAN_FEATS), FEXTRA, FDEPS), ["nan_rate"])
+    for c in FEATS), FEXTRA, FDEPS), ["nan_rate"])
 def g08(spark, d):
     """NULL / NaN share per (symbol, feature) (<= 5 %)."""
-    return P.feature_nan_rates(_gold_nulls(spark, d), NAN_FEATS)
-
-
-G09_CUTOFF = "1999-12-31"
-
-
-@query("g09_lookahead_check", f"SELECT DATE '{G09_CUTOFF}' AS cutoff_date, CAST(0 AS BIGINT) AS mismatched_rows")
+    return P.feature_nan_rates(_gold_nulls(spark, d), FEATS)
+
+
+# the planted features look ahead: the next row's return, and a mean that is centred on the row
+LOOKAHEAD_FEATS = ["return_1d", "return_5d", "return_21d", "high_52w", "sma_10", "next_return", "centred_mean"]
+_G09_BODY = """
+SELECT symbol, date, cut, close / NULLIF(lag(close, 1) OVER w, 0) - 1 AS return_1d, close / NULLIF(lag(close, 5) OVER w, 0) - 1 AS return_5d,
+       close / NULLIF(lag(close, 21) OVER w, 0) - 1 AS return_21d,
+       max(high) OVER (PARTITION BY symbol, cut ORDER BY date ROWS BETWEEN 251 PRECEDING AND CURRENT ROW) AS high_52w,
+       CASE WHEN count(close) OVER (PARTITION BY symbol, cut ORDER BY date ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) >= 10
+            THEN avg(close) OVER (PARTITION BY symbol, cut ORDER BY date ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) END AS sma_10,
+       lead(close, 1) OVER w / NULLIF(close, 0) - 1 AS next_return,
+       (lag(close) OVER w + close + lead(close) OVER w) / 3.0 AS centred_mean
+FROM {rows} WINDOW w AS (PARTITION BY symbol, cut ORDER BY date)"""
+_G09 = {
+    "cuts": "SELECT DISTINCT make_date(year(date), 12, 31) AS cut FROM silver WHERE year(date) < (SELECT max(year(date)) FROM silver)",
+    "part_rows": "SELECT s.symbol, s.date, s.high, s.close, c.cut FROM silver s JOIN cuts c ON s.date <= c.cut",
+    "full_rows": "SELECT symbol, date, high, close, DATE '1970-01-01' AS cut FROM silver",
+    "part_built": _G09_BODY.format(rows="part_rows"), "full_built": _G09_BODY.format(rows="full_rows")}
+_G09_DEPS = {"cuts": ["silver"], "part_rows": ["silver", "cuts"], "full_rows": ["silver"], "part_built": ["part_rows"],
+             "full_built": ["full_rows"]}
+
+
+@query("g09_lookahead_check", O.cte(["part_built", "full_built"], " UNION ALL ".join(
+    f"SELECT p.cut AS cutoff_date, '{f}' AS feature, count_if(p.{f} IS DISTINCT FROM a.{f}) AS mismatched_rows "
+    "FROM part_built p JOIN full_built a ON a.symbol = p.symbol AND a.date = p.date GROUP BY 1" for f in LOOKAHEAD_FEATS),
+    _G09, _G09_DEPS))
 def g09(spark, d):
-    """Features recomputed on data cut at T equal the full-data features
-    up to T (the expected mismatch count is zero)."""
-    s = daily.silver(spark, d)
-    full = daily.gold(spark, d, keep_nulls=True, silver_df=s)
-    cut = daily.gold(spark, d, keep_nulls=True, silver_df=s.filter(F.col("date") <= F.lit(G09_CUTOFF).cast("date")))
-    return P.lookahead_mismatches(full, cut, G09_CUTOFF)
-
-
-@query("g10_staleness", O.cte(["silver", "quarterly"], """
-SELECT symbol, date, fundamentals_asof_date, macro_asof_date,
-       CAST(date_diff('day', fundamentals_asof_date, date) AS INTEGER) AS fundamentals_age_days,
-       COALESCE(date_diff('day', fundamentals_asof_date, date) > 95, true) AS fundamentals_stale,
-       CAST(date_diff('day', macro_asof_date, date) AS INTEGER) AS macro_age_days,
-       COALESCE(date_diff('day', macro_asof_date, date) > 35, true) AS macro_stale
-FROM (SELECT a.*, m.d AS macro_asof_date FROM
-        (SELECT s.symbol, s.date, q.report_date AS fundamentals_asof_date FROM silver s
-         ASOF LEFT JOIN quarterly q ON s.symbol = q.symbol AND s.date >= q.report_date) a
-      ASOF LEFT JOIN (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders) m ON a.date >= m.d) t"""))
+    """Features of data cut at each year's end against those of all data;
+    next_return and centred_mean are planted to look ahead, and are counted."""
+    s = daily.silver(spark, d).select("symbol", "date", "high", "close")
+    years = [r[0] for r in daily.trading_days(spark, d).select(F.year("date")).distinct().collect()]
+
+    def build(rows):
+        w = Window.partitionBy("symbol").orderBy("date")
+        x = SF.moving_averages(FT.price_features(rows))
+        return x.select("*", (sdiv(F.lead("close", 1).over(w), "close") - 1.0).alias("next_return"),
+                        ((F.lag("close", 1).over(w) + F.col("close") + F.lead("close", 1).over(w)) / 3.0).alias("centred_mean"))
+
+    return P.lookahead_check(s, build, [f"{y}-12-31" for y in sorted(years)[:-1]], LOOKAHEAD_FEATS)
+
+
+_G10_DATES = """
+SELECT d.*, b.date AS snapshot_date, u.date AS selection_date, o.date AS macro_asof_date, r.date AS regime_date
+FROM mkdays d
+ASOF LEFT JOIN builds b ON d.market_context = b.market_context AND d.date >= b.date
+ASOF LEFT JOIN selections u ON d.market_context = u.market_context AND d.date >= u.date
+ASOF LEFT JOIN (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders) o ON d.date >= o.date
+ASOF LEFT JOIN (SELECT * FROM m02 WHERE regime_label_buffered IS NOT NULL) r ON d.market_context = r.market_context AND d.date >= r.date"""
+_G10_EXTRA = {**REXTRA, "mkdays": "SELECT DISTINCT market_context, date FROM silver",
+              "builds": "SELECT market_context, max(date) AS date FROM mkdays GROUP BY market_context, date_trunc('week', date)",
+              "selections": "SELECT market_context, min(date) AS date FROM mkdays GROUP BY market_context, year(date), month(date), day(date) > 15",
+              "gdates": _G10_DATES}
+_G10_DEPS = {**RDEPS, "mkdays": ["silver"], "builds": ["mkdays"], "selections": ["mkdays"], "gdates": ["mkdays", "builds", "selections", "m02"]}
+AGES = {"train": "snapshot_date", "serve": "snapshot_date", "selection": "selection_date", "fundamentals": "fundamentals_asof_date",
+        "macro": "macro_asof_date", "regime": "regime_date"}
+_LIMITS = {"train": 7, "serve": 30, "selection": 10, "fundamentals": 95, "macro": 35, "regime": 5}
+
+
+@query("g10_staleness", O.cte(["silver", "quarterly", "gdates"], f"""
+SELECT symbol, date, {', '.join(sorted(set(AGES.values())))},
+       {', '.join(f"CAST(date_diff('day', {c}, date) AS INTEGER) AS {n}_age_days, COALESCE(date_diff('day', {c}, date) > {_LIMITS[n]}, true) AS {n}_stale" for n, c in AGES.items())}
+FROM (SELECT s.symbol, s.date, q.report_date AS fundamentals_asof_date, g.* EXCLUDE (market_context, date)
+      FROM silver s ASOF LEFT JOIN quarterly q ON s.symbol = q.symbol AND s.date >= q.report_date
+      LEFT JOIN gdates g ON g.market_context = s.market_context AND g.date = s.date) t""", _G10_EXTRA, _G10_DEPS))
 def g10(spark, d):
-    """Age of the fundamentals (stale after 95 days) and macro inputs (35 days)."""
-    s = daily.silver(spark, d).select("symbol", "date")
+    """Ages of the newest build (7 days to train, 30 to serve; here one a
+    week), universe selection (10; here one a half month), fundamentals (95),
+    macro inputs (35) and regime label (5) per row, and their stale flags."""
+    s = daily.silver(spark, d).select("symbol", "date", "market_context")
     rows = EN.ffill_fundamentals(s, TV.quarterly_fundamentals(spark, d)).select(
-        "symbol", "date", "fundamentals_asof_date")
-    cal = s.select("date").distinct()
-    mdates = TV.table(spark, d, "orders").select(F.col("o_orderdate").cast("date").alias("d")).distinct()
-    m = P.windowed_staleness_asof(cal, mdates, "d", "macro_asof_date")
-    rows = rows.join(F.broadcast(m), ["date"], "left")  # one row per calendar day
-    out = P.staleness(rows, {"fundamentals": "fundamentals_asof_date", "macro": "macro_asof_date"})
-    return out.select("symbol", "date", "fundamentals_asof_date", "macro_asof_date", "fundamentals_age_days",
-                      "fundamentals_stale", "macro_age_days", "macro_stale")
+        "symbol", "date", "market_context", "fundamentals_asof_date")
+    days = daily.trading_days(spark, d)
+    week = F.date_trunc("week", F.col("date").cast("timestamp"))
+    orders = TV.table(spark, d, "orders").select(F.col("o_orderdate").cast("date").alias("date")).distinct()
+    markets = days.select("market_context").distinct()
+    labels = RG.regime_buffer(m01_frame(spark, d)).filter("regime_label_buffered is not null")
+    dates = P.newest_dates(days, {
+        "snapshot_date": days.groupBy("market_context", week).agg(F.max("date").alias("date")),
+        "selection_date": days.groupBy("market_context", F.year("date"), F.month("date"), F.dayofmonth("date") > 15).agg(F.min("date").alias("date")),
+        "macro_asof_date": orders.join(F.broadcast(markets)),  # two markets
+        "regime_date": labels.select("market_context", "date")})
+    out = P.staleness(rows.join(small_side(dates), ["market_context", "date"], "left"), AGES)
+    return out.select("symbol", "date", *sorted(set(AGES.values())), *[f"{n}_{x}" for n in AGES for x in ("age_days", "stale")])
 
 
 @query("g11_build_contract", O.cte(["lab", "cap_tiers"], """

@@ -623,17 +623,38 @@ def v13(spark, d):
 DRIFT_FEATS = ["return_1d", "return_5d", "close"]
 
 
-@query("v14_drift_report", _ev(["ev"], """
-SELECT feature, week, null_share, mean, median, n, mean - lag(mean) OVER (PARTITION BY feature ORDER BY week) AS mean_change
-FROM (SELECT feature, week, avg(CASE WHEN v IS NULL THEN 1.0 ELSE 0.0 END) AS null_share, avg(v) AS mean,
-             quantile_cont(v, 0.5) AS median, count(*) AS n
-      FROM (SELECT CAST(date_trunc('week', date) AS DATE) AS week, 'return_1d' AS feature, return_1d AS v FROM ev
-            UNION ALL SELECT CAST(date_trunc('week', date) AS DATE), 'return_5d', return_5d FROM ev
-            UNION ALL SELECT CAST(date_trunc('week', date) AS DATE), 'close', close FROM ev) u
-      GROUP BY 1, 2) g"""), ["null_share", "mean", "median", "mean_change"], digits=5)
+_CONF = "least(abs(return_5d) * 10.0, 1.0)"
+_BINS = {f: "greatest(least(floor((v - (mu - 3 * sd)) * 10 / (6 * sd)), 9), 0)" for f in DRIFT_FEATS} | {
+    "confidence": "greatest(least(floor((v - 0.0) * 10 / 1.0), 9), 0)"}
+_DRIFT = " UNION ALL ".join(
+    f"SELECT '{f}' AS feature, CAST(date_trunc('week', date) AS DATE) AS week, date, v, mu, sd, CASE WHEN v IS NOT NULL THEN {cell} END AS cell "
+    f"FROM (SELECT date, {_CONF if f == 'confidence' else f} AS v, avg({_CONF if f == 'confidence' else f}) OVER () AS mu, "
+    f"stddev_samp({_CONF if f == 'confidence' else f}) OVER () AS sd FROM ev) {f}_t" for f, cell in _BINS.items())
+_DRIFT_WEEKS = f"""
+SELECT feature, week, count(*) AS n, avg(CASE WHEN v IS NULL THEN 1.0 ELSE 0.0 END) AS null_share, avg(v) AS mean,
+       quantile_cont(v, 0.5) AS median, avg(CASE WHEN feature <> 'confidence' AND abs(v - mu) > 4 * sd THEN 1.0 ELSE 0.0 END) AS outlier_share,
+       max(CASE WHEN v IS NOT NULL THEN date END) AS last, count(v) AS seen,
+       [{', '.join(f'count(*) FILTER (WHERE cell = {i})' for i in range(10))}] AS bins
+FROM drift GROUP BY 1, 2"""
+
+
+@query("v14_drift_report", _ev(["drift_weeks"], """
+SELECT feature, week, n, null_share, mean, median, mean - lag(mean) OVER w AS mean_change, outlier_share,
+       array_to_string(bins, ',') AS histogram,
+       CASE WHEN prev IS NOT NULL THEN list_sum([(p[i] - prev[i]) * ln(p[i] / prev[i]) FOR i IN range(1, 11)]) END AS psi,
+       CASE WHEN prev IS NOT NULL THEN list_max([abs(p[i] - prev[i]) FOR i IN range(1, 11)]) END AS max_share_change,
+       CAST(week + 6 - max(last) OVER (PARTITION BY feature ORDER BY week ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS INTEGER) AS feed_age_days,
+       COALESCE(week + 6 - max(last) OVER (PARTITION BY feature ORDER BY week ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) > 7, true) AS feed_stale
+FROM (SELECT *, lag(p) OVER (PARTITION BY feature ORDER BY week) AS prev
+      FROM (SELECT *, [(x + 0.5)::DOUBLE / (seen + 5.0) FOR x IN bins] AS p FROM drift_weeks) a) b
+WINDOW w AS (PARTITION BY feature ORDER BY week)""", {"drift": _DRIFT, "drift_weeks": _DRIFT_WEEKS},
+                               {"drift": ["ev"], "drift_weeks": ["drift"]}),
+       {**{c: 5 for c in ["null_share", "mean", "median", "mean_change"]}, "outlier_share": 6, "psi": 6, "max_share_change": 6})
 def v14(spark, d):
-    """Weekly NULL share, mean, exact median and mean change per feature."""
-    return V.drift_report(ev_frame(spark, d), DRIFT_FEATS)
+    """Weekly NULL share, mean, median, histogram drift, outliers and feed
+    age per feature, and the distribution of a confidence (here of the 5-day return)."""
+    x = ev_frame(spark, d)
+    return V.drift_report(x.withColumn("confidence", F.least(F.abs("return_5d") * 10.0, F.lit(1.0))), DRIFT_FEATS, "confidence")
 
 
 HASH_FEATS = ["return_1d", "return_5d", "high_52w", "proximity_to_52w_high"]

@@ -8,8 +8,9 @@ from pyspark.sql import types as T
 
 from ..functions import exprs as X
 from ..operators import gate as G
+from ..operators import jobs as J
 from ..operators import silver as SV
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from ..sinks import writers as W
 from ..sources import testviews as TV
 from . import daily
@@ -137,3 +138,41 @@ def f07(spark, d):
 def f26_join(spark, d):
     """bars of days on which any market trades (semi join with the calendar)."""
     return X.is_trading_day(TV.bars(spark, d).select("symbol", "date"), daily.trading_days(spark, d))
+
+
+_METRICS = [f"{n}_{m}" for n in ("rows_passed", "rows_rejected", "symbols_expected", "symbols_passed", "symbols_failed") for m in ("india", "us")]
+
+
+_PER_RUN = ", ".join(
+    f"count_if(market = '{m}' AND good) AS rows_passed_{m}, count_if(market = '{m}' AND NOT good) AS rows_rejected_{m}, "
+    f"count(DISTINCT CASE WHEN market = '{m}' AND good THEN symbol END) AS symbols_passed_{m}" for m in ("india", "us"))
+_RUNS = {
+    "judged": f"""SELECT b.symbol, {_MC.replace('symbol', 'b.symbol')} AS market, year(b.date) AS y,
+         u.symbol IS NOT NULL AND open > 0 AND high > 0 AND low > 0 AND close > 0 AND volume >= 0 AND high >= low AS good
+  FROM bars b LEFT JOIN (SELECT DISTINCT symbol FROM universe) u ON u.symbol = b.symbol""",
+    "runs": f"SELECT y, {_PER_RUN} FROM judged GROUP BY y",
+    "expected": f"""SELECT count_if(market = 'india') AS symbols_expected_india, count_if(market = 'us') AS symbols_expected_us
+  FROM (SELECT DISTINCT symbol, {_MC} AS market FROM universe) u""",
+    "measured": """SELECT r.*, e.*, e.symbols_expected_india - r.symbols_passed_india AS symbols_failed_india,
+         e.symbols_expected_us - r.symbols_passed_us AS symbols_failed_us FROM runs r, expected e"""}
+_RUN_DEPS = {"judged": ["bars", "universe"], "runs": ["judged"], "expected": ["universe"], "measured": ["runs", "expected"]}
+
+
+@query("a05_run_metrics", O.cte(["measured"], f"""
+SELECT 'J01' AS job_id, 'J01_' || y AS run_id, y || '-12-31' AS job_date,
+       CASE WHEN rows_passed_india + rows_passed_us = 0 THEN 'FAILED'
+            WHEN rows_rejected_india + rows_rejected_us + symbols_failed_india + symbols_failed_us > 0 THEN 'PARTIAL_SUCCESS' ELSE 'SUCCESS' END AS status,
+       {', '.join(_METRICS)} FROM measured
+UNION ALL
+SELECT 'J01', 'J01_holiday', (SELECT max(y) FROM runs) + 1 || '-01-01', 'SKIPPED_HOLIDAY', {', '.join('NULL' for _ in _METRICS)}""", _RUNS, _RUN_DEPS))
+def a05(spark, d):
+    """A05 + K08: the bars job run for each year, and for a day without trading;
+    statuses and per-market counts read back from the audit table it writes."""
+    root = scratch_path(spark, "a05")
+    bars, universe = cut_lineage(TV.bars(spark, d)), TV.universe(spark, d)
+    years = sorted(r[0] for r in bars.select(F.year("date")).distinct().collect())  # one run a year
+    for y in years:
+        J.bars_job(spark, bars.where(F.year("date") == y), universe, f"{y}-12-31", True, f"J01_{y}", f"{root}/bronze", f"{root}/audit")
+    J.bars_job(spark, bars, universe, f"{years[-1] + 1}-01-01", False, "J01_holiday", f"{root}/bronze", f"{root}/audit")
+    audit = spark.read.schema(W.AUDIT_SCHEMA).parquet(f"{root}/audit")
+    return J.run_metrics(audit, _METRICS).drop("error_message")
