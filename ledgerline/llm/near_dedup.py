@@ -5,8 +5,9 @@ starting at other positions.  In a tree, documents whose signatures share a
 prefix form a region; a region with many documents is split by longer
 prefixes (adaptive depth).  Candidates are neighbours of a region, links are
 confirmed on full shingle sets, and components grow in rounds: a pair whose
-ends are already connected is not compared.  Documents that stay outside the
-largest component of large regions are at last compared with all of these.
+ends are already connected is not compared.  Of large regions, documents with
+too many shingles of their own have no link; those of the rest that stay
+outside the largest component are at last compared with all of these.
 
 Documents of equal shingle sets are one class from the start, so exact copies
 cost one row per task.
@@ -30,7 +31,11 @@ TREES, DEPTH, DEEPEST = 21, 3, 6
 #: Regions up to this size are compared pair by pair; larger ones are split.
 REGION = 24
 #: Documents of a block when what large regions hide is compared.
-BLOCK = 128
+BLOCK = 256
+#: Shingles of a block that are compared at a time.
+COLUMNS = 1 << 14
+#: How often documents that can have no link are set aside before that.
+LINKABLE_ROUNDS = 2
 CHUNK_BYTES = 1 << 20
 #: Documents without an id are numbered from here by the hash of their set.
 NO_ID = 1 << 62
@@ -203,18 +208,56 @@ def _descend(reps: DataFrame, members: DataFrame, roots: DataFrame, percent: int
     return pairs.distinct()
 
 
-def _blocks(reps: DataFrame, large: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links that large regions still hide: in each cluster (documents that
-    large regions chain together), those outside its largest component are
-    the queries, compared with all its documents, block by block."""
-    stars = large.select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    cluster = components(stars).select("node", F.col("root").alias("cluster"))
-    rows = written(_labelled(cluster, roots), "clusters")
+def _clusters(members: DataFrame, roots: DataFrame, name: str) -> DataFrame:
+    """(node, root, cluster) of documents that large regions chain together, of
+    clusters with more than one component.  ``members``: key, node."""
+    pivots = members.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    cluster = components(members.join(pivots.select("key", "a"), "key").select("a", F.col("node").alias("b"))).select(
+        "node", F.col("root").alias("cluster"))
+    rows = written(_labelled(cluster, roots), name)
+    mixed = rows.groupBy("cluster").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1")
+    return rows.join(mixed.select("cluster"), "cluster")
+
+
+def _linkable(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The nodes of ``rows`` that may have a link in their cluster.
+
+    The shingles that two linked documents share make up ``percent`` of either,
+    and each is held by two documents of the cluster; so one with too many
+    shingles of its own has no link at all.  Work is linear in the sets."""
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for cluster, node, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                names = np.frombuffer(raw, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(names), cluster)), pa.array(np.full(len(names), node)),
+                                                  pa.array(names)], ["cluster", "node", "shingle"])
+
+    held = rows.select("cluster", "node").join(sets, "node").select("cluster", "node", "names")
+    own = held.select("cluster", "node", "names").mapInArrow(shingles, "cluster long, node long, shingle long")
+    single = own.groupBy("cluster", "shingle").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("node")).where("c = 1")
+    alone = single.groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
+    size = held.select("node", (F.octet_length("names") / 8).cast("long").alias("n"))
+    left = F.col("n") - F.coalesce("alone", F.lit(0))
+    return size.join(alone, "node", "left").where(left * 100 >= F.col("n") * percent).select("node")
+
+
+def _blocks(large: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links that large regions still hide.  Documents that can have no link
+    are set aside, twice, since what they shared then makes others stand alone;
+    in each cluster of what is left, those outside its largest component are the
+    queries, compared with all its documents, block by block."""
+    members = large.select("key", "node")
+    rows = _clusters(members, roots, "clusters")
+    for i in range(LINKABLE_ROUNDS):
+        members = written(members.join(_linkable(rows, sets, percent), "node", "left_semi").select("key", "node"), f"linkable-{i}")
+        rows = _clusters(members, roots, f"clusters-{i}")
+    rows = written(rows, "clusters")
     parts = rows.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("c"))
     whole = written(parts.groupBy("cluster").agg(
-        F.max(F.struct("c", "root")).alias("m"), F.sum("c").alias("all"), F.count(F.lit(1)).alias("kinds")).where(
-        "kinds > 1").select("cluster", F.col("m.root").alias("main"), F.ceil(F.col("all") / BLOCK).alias("right"),
-                            F.ceil((F.col("all") - F.col("m.c")) / BLOCK).alias("left")), "cluster-sizes")
+        F.max(F.struct("c", "root")).alias("m"), F.sum("c").alias("all")).select(
+        "cluster", F.col("m.root").alias("main"), F.ceil(F.col("all") / BLOCK).alias("right"),
+        F.ceil((F.col("all") - F.col("m.c")) / BLOCK).alias("left")), "cluster-sizes")
     rows = rows.join(whole, "cluster")
     own = F.xxhash64("node")
     queries = rows.where("root <> main").select(
@@ -233,9 +276,13 @@ def _blocks(reps: DataFrame, large: DataFrame, roots: DataFrame, sets: DataFrame
         shared = seen > 1
         column = np.cumsum(shared) - 1
         row, keep = np.repeat(np.arange(len(sizes)), sizes), shared[of]
-        grams = np.zeros((len(sizes), max(1, int(shared.sum()))), np.float32)
-        grams[row[keep], column[of[keep]]] = 1
-        same = np.rint(grams[:len(x)] @ grams[len(x):].T).astype(np.int64)
+        row, column = row[keep], column[of[keep]]
+        same = np.zeros((len(x), len(y)), np.int64)
+        for low in range(0, int(shared.sum()), COLUMNS):  # so many shingles at a time, however long the documents
+            part = (column >= low) & (column < low + COLUMNS)
+            grams = np.zeros((len(sizes), COLUMNS), np.float32)
+            grams[row[part], column[part] - low] = 1
+            same += np.rint(grams[:len(x)] @ grams[len(x):].T).astype(np.int64)
         union = sizes[:len(x), None] + sizes[None, len(x):] - same
         roots_x, roots_y = left.column("root").to_numpy(), right.column("root").to_numpy()
         i, j = np.nonzero((100 * same >= percent * union) & (roots_x[:, None] != roots_y[None, :]))
@@ -292,7 +339,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = components(links)
     # 3. what is left of the large regions
     large = members.where(F.col("size") > REGION)
-    links = links.unionByName(written(_blocks(reps, large, roots, sets, percent), "confirmed"))
+    links = links.unionByName(written(_blocks(large, roots, sets, percent), "confirmed"))
     roots = components(links)
 
     by_class = written(classes.select("node", "h1", "h2").join(roots, "node", "left").select(
