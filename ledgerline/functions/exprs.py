@@ -64,10 +64,14 @@ def market_context(c: str | Column) -> Column:
         .otherwise(F.lit("us"))
 
 
-def drop_all_null_bars(df: DataFrame, fields=OHLCV_FIELDS) -> DataFrame:
-    """drop rows whose OHLCV fields are all NULL."""
+def drop_all_null_bars(df: DataFrame, fields=OHLCV_FIELDS, required: bool = False) -> DataFrame:
+    """drop rows whose OHLCV fields are all NULL; with ``required`` an
+    error if none is left."""
     present = [f for f in fields if f in df.columns]
-    return df.dropna(how="all", subset=present)
+    left = df.dropna(how="all", subset=present)
+    if required and left.isEmpty():
+        raise ValueError(f"no bar has a value in {', '.join(present)}")
+    return left
 
 
 def run_id(job: str, at: datetime | None = None) -> str:
@@ -109,6 +113,18 @@ def latest_value(value: str | Column, order: str | Column) -> Column:
     return F.max_by(col(value), col(order))
 
 
+def latest_closes(df: DataFrame, symbols: list[str], value: str = "close", order: str = "date") -> dict[str, float]:
+    """the latest value of each of a few named symbols; an error names
+    those without one."""
+    rows = df.where(F.col("symbol").isin(symbols) & col(value).isNotNull()).groupBy("symbol").agg(
+        latest_value(value, order).alias("v")).collect()
+    found = {r["symbol"]: r["v"] for r in rows}
+    missing = sorted(set(symbols) - set(found))
+    if missing:
+        raise KeyError(f"no {value} of {', '.join(missing)}")
+    return found
+
+
 def sentiment_features(bullish: str | Column, bearish: str | Column, articles: str | Column) -> list[Column]:
     """score, direction, intensity and coverage; NULL inputs act as 0."""
     bull = F.coalesce(col(bullish).cast("double"), F.lit(0.0))

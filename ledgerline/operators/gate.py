@@ -268,6 +268,14 @@ CAP_TIERS = ("large", "mid", "small", "unknown")
 DIRECTIONS = (0, 1)
 
 
+def audit_contract_rules() -> dict[str, Column]:
+    """Q10: an audit record has one of the three statuses and counts that add up."""
+    return {
+        "status_enum": F.col("status").isin(STATUS_PASS, STATUS_PARTIAL, STATUS_FAIL),
+        "counts_add_up": F.col("input_count") == F.col("pass_count") + F.col("reject_count") + F.col("duplicate_count"),
+    }
+
+
 def standard_contract_rules() -> dict[str, Column]:
     return {
         "cap_tier_enum": F.col("cap_tier").isin(*CAP_TIERS),

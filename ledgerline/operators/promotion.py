@@ -50,8 +50,16 @@ def symbol_null_rate(raw: DataFrame, fields=("symbol", "date", "open", "high", "
     return g.withColumn("passes", F.col("null_rate") <= SYMBOL_NULL_RATE_MAX)
 
 
-def silver_readiness(rows: DataFrame, price: str = "close") -> DataFrame:
-    """Price present on every row and cap tier known, per symbol."""
+def silver_readiness(rows: DataFrame, price: str = "close", contract=None) -> DataFrame:
+    """Price present on every row and cap tier known, per symbol.  With
+    ``contract`` (a schema) a frame that departs from it raises before any row
+    is read."""
+    if contract is not None:
+        from .gate import schema_check
+
+        issues = schema_check(rows, contract)
+        if issues:
+            raise ValueError(f"schema departs from the contract: {issues}")
     g = rows.groupBy("symbol").agg(F.count_if(F.col(price).isNull()).alias("missing_price_rows"),
                                     F.max(F.col("cap_tier") == "unknown").alias("__unknown"))
     return g.select("symbol", "missing_price_rows", (~F.col("__unknown")).alias("cap_tier_known"),
@@ -77,6 +85,13 @@ def history_length(rows: DataFrame) -> DataFrame:
     return g.withColumn("passes", F.col("trading_days") >= MIN_TRADING_DAYS)
 
 
+def with_history(rows: DataFrame, least: int = MIN_TRADING_DAYS) -> DataFrame:
+    """The rows of symbols with at least ``least`` trading days; the
+    others stop here."""
+    enough = rows.groupBy("symbol").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= least).select("symbol")
+    return rows.join(enough, "symbol", "left_semi")
+
+
 def zscore_check(rows: DataFrame, col: str, limit: float = ZSCORE_LIMIT) -> DataFrame:
     """Cross-sectional z-score per date; flag |z| > limit.  Date
     moments are a partial aggregate joined back (one row per date)."""
@@ -146,12 +161,15 @@ def staleness(rows: DataFrame, asof_cols: dict[str, str]) -> DataFrame:
 
 
 def build_contract(labels: DataFrame) -> DataFrame:
-    """One row per build: single label version, no NULL cap tier / horizon."""
+    """One row per build: a single label version and feature version on
+    all rows, no NULL cap tier / horizon."""
     g = labels.agg(F.count_distinct("label_version").alias("label_versions"),
+                   F.count_distinct("feature_version").alias("feature_versions"),
+                   F.count_if(F.col("feature_version").isNull()).alias("null_feature_version"),
                    F.count_if(F.col("cap_tier").isNull()).alias("null_cap_tier"),
                    F.count_if(F.col("horizon").isNull()).alias("null_horizon"))
-    return g.withColumn("passes", (F.col("label_versions") == 1) & (F.col("null_cap_tier") == 0)
-                        & (F.col("null_horizon") == 0))
+    return g.withColumn("passes", (F.col("label_versions") == 1) & (F.col("feature_versions") == 1)
+                        & (F.col("null_feature_version") == 0) & (F.col("null_cap_tier") == 0) & (F.col("null_horizon") == 0))
 
 
 def daily_coverage(rows: DataFrame, universe: DataFrame) -> DataFrame:

@@ -10,6 +10,8 @@ day and are broadcast.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,30 +22,35 @@ from ..operators import regime as RG
 from ..operators import silver as SV
 from ..sources import testviews as TV
 
-# Fixed run parameters for reproducible query results.
-DEFAULT_ASOF = "2002-01-04"
+#: Session setting with the date of the run; without it a run is of today.
+RUN_DATE = "ledgerline.run.date"
+# Stamps of the registered queries, fixed so that results can be compared.
 DEFAULT_RUN_ID = "J01_20020104_000000"
 DEFAULT_TS = "2002-01-04 00:00:00"
 
 
-def bronze_ohlcv(spark: SparkSession, sf_dir: str, asof: str = DEFAULT_ASOF,
+def run_date(spark: SparkSession) -> str:
+    return spark.conf.get(RUN_DATE, None) or _dt.date.today().isoformat()
+
+
+def bronze_ohlcv(spark: SparkSession, sf_dir: str, asof: str | None = None,
                  run_id: str = DEFAULT_RUN_ID) -> DataFrame:
-    """Landing bars through the gate, stamped like bronze OHLCV."""
+    """Landing bars through the gate as of ``asof`` (the run date), stamped like bronze OHLCV."""
     b = SV.by_symbol(TV.bars(spark, sf_dir))
-    v = G.verdicts(b, TV.universe(spark, sf_dir), asof)
+    v = G.verdicts(b, TV.universe(spark, sf_dir), asof or run_date(spark))
     passed = G.passing_rows(v, order=["open", "close"])
     return (passed.withColumn("market_context", X.market_context("symbol"))
             .withColumn("ingestion_run_id", F.lit(run_id)))
 
 
-def trading_days(spark: SparkSession, sf_dir: str, asof: str = DEFAULT_ASOF) -> DataFrame:
+def trading_days(spark: SparkSession, sf_dir: str, asof: str | None = None) -> DataFrame:
     """(market_context, date) of every day on which a market has a passing
     bar: silver's days, without building silver."""
-    v = G.verdicts(TV.bars(spark, sf_dir), TV.universe(spark, sf_dir), asof)
+    v = G.verdicts(TV.bars(spark, sf_dir), TV.universe(spark, sf_dir), asof or run_date(spark))
     return v.where("g0_pass").select(X.market_context("symbol").alias("market_context"), "date").distinct()
 
 
-def silver(spark: SparkSession, sf_dir: str, asof: str = DEFAULT_ASOF, ts: str = DEFAULT_TS,
+def silver(spark: SparkSession, sf_dir: str, asof: str | None = None, ts: str = DEFAULT_TS,
            bronze: DataFrame | None = None) -> DataFrame:
     """J11 grand join over every stand-in source."""
     o = bronze if bronze is not None else bronze_ohlcv(spark, sf_dir, asof)

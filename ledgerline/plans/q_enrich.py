@@ -160,17 +160,6 @@ def e14(spark, d):
     return EN.gap_fill(s.select("symbol", "date", "market_context", "close", "volume"), _cal(spark, d))
 
 
-@query("e15_is_valid_row", O.cte(["silver", "bar_actions"], """
-SELECT s.symbol, s.date,
-       (a.action_type IS NULL AND NOT (isnan(s.close) OR isinf(s.close) OR isnan(s.open) OR isinf(s.open))) AS is_valid_row
-FROM silver s LEFT JOIN bar_actions a ON s.symbol = a.symbol AND s.date = a.date"""))
-def e15(spark, d):
-    """Valid unless an action date or a NaN / infinite value."""
-    s = _rows(spark, d).select("symbol", "date", "open", "close")
-    f = EN.corporate_action_flags(s, TV.bar_corporate_actions(spark, d))
-    return EN.is_valid_row(f, ["open", "close"]).select("symbol", "date", "is_valid_row")
-
-
 @query("e16_cap_tier_enrichment", O.cte(["silver", "cap_tiers"], """
 SELECT s.symbol, s.date, COALESCE(t.cap_tier, 'unknown') AS cap_tier
 FROM silver s LEFT JOIN cap_tiers t ON s.symbol = t.symbol"""))

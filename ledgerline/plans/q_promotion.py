@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import enrichment as EN
 from ..operators import features as FT
+from ..operators import gate as G
 from ..operators import promotion as P
 from ..operators import regime as RG
 from ..operators import spec_features as SF
@@ -16,7 +17,8 @@ from ..util import sdiv
 from . import daily
 from . import oracle as O
 from .catalog import query
-from .q_enrich import _CAL, _E04, _E04_DEPS, _E04_EXTRA
+from .q_core import _GATE_DEPS, _GATE_EXTRA, _TICK_ORDER, _gate_verdicts
+from .q_enrich import _CAL, _E04, _E04_DEPS, _E04_EXTRA, _E14
 from .q_features import FE01
 from .q_labels import DEPS as LAB_DEPS
 from .q_labels import EXTRA as LAB_EXTRA
@@ -106,6 +108,13 @@ def g06(spark, d):
     return P.history_length(daily.silver(spark, d))
 
 
+@query("g06_rows_with_history", O.cte(["silver"], """
+SELECT symbol, date, close FROM silver WHERE symbol IN (SELECT symbol FROM silver GROUP BY symbol HAVING count(*) >= 500)"""), ["close"])
+def g06_rows(spark, d):
+    """Rows of symbols with enough history (here 500 days, which some stand-in symbols miss) go on."""
+    return P.with_history(daily.silver(spark, d), 500).select("symbol", "date", "close")
+
+
 @query("g07_zscore_check", O.cte(["fe01"], """
 SELECT r.symbol, r.date, r.return_1d, (r.return_1d - m.mu) / NULLIF(m.sd, 0) AS zscore,
        COALESCE(abs((r.return_1d - m.mu) / NULLIF(m.sd, 0)) > 4.0, false) AS zscore_flag
@@ -210,14 +219,18 @@ def g10(spark, d):
 
 
 @query("g11_build_contract", O.cte(["lab", "cap_tiers"], """
-SELECT count(DISTINCT label_version) AS label_versions, count_if(cap_tier IS NULL) AS null_cap_tier,
+SELECT count(DISTINCT label_version) AS label_versions, count(DISTINCT feature_version) AS feature_versions,
+       count_if(feature_version IS NULL) AS null_feature_version, count_if(cap_tier IS NULL) AS null_cap_tier,
        count_if(horizon IS NULL) AS null_horizon,
-       count(DISTINCT label_version) = 1 AND count_if(cap_tier IS NULL) = 0 AND count_if(horizon IS NULL) = 0 AS passes
-FROM (SELECT l.*, COALESCE(t.cap_tier, 'unknown') AS cap_tier FROM lab l LEFT JOIN cap_tiers t ON l.symbol = t.symbol) x""",
+       count(DISTINCT label_version) = 1 AND count(DISTINCT feature_version) = 1 AND count_if(feature_version IS NULL) = 0
+         AND count_if(cap_tier IS NULL) = 0 AND count_if(horizon IS NULL) = 0 AS passes
+FROM (SELECT l.*, COALESCE(t.cap_tier, 'unknown') AS cap_tier, CASE WHEN year(l.date) < 1997 THEN 'v1' ELSE 'v2' END AS feature_version FROM lab l LEFT JOIN cap_tiers t ON l.symbol = t.symbol) x""",
                                     LAB_EXTRA, LAB_DEPS))
 def g11(spark, d):
-    """One label version per build, cap tier and horizon always set."""
+    """One label and feature version per build, cap tier and horizon always
+    set (here features are of two versions, which fails the build)."""
     lab = EN.cap_tier_enrichment(labels(spark, d), TV.cap_tiers(spark, d))
+    lab = lab.withColumn("feature_version", F.when(F.year("date") < 1997, "v1").otherwise("v2"))
     return P.build_contract(lab)
 
 
@@ -262,3 +275,43 @@ def g13(spark, d):
     """Bronze vs silver row counts per date and NULL prices in silver."""
     out = P.layer_reconciliation(daily.bronze_ohlcv(spark, d), daily.silver(spark, d))
     return out.select("date", "upstream_rows", "downstream_rows", "downstream_nulls", "row_diff_ratio", "reconciled")
+
+
+_E15_ROWS = f"""
+SELECT g.symbol, g.date, g.gap_days, g.close_filled, g.volume_filled, a.action_type,
+       {', '.join(f'last_value(f.{c} IGNORE NULLS) OVER w AS {c}' for c in FEATS)}
+FROM grid g LEFT JOIN gfeat f ON f.symbol = g.symbol AND f.date = g.date
+LEFT JOIN bar_actions a ON a.symbol = g.symbol AND a.date = g.date
+WINDOW w AS (PARTITION BY g.symbol ORDER BY g.date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+
+
+@query("e15_is_valid_row", O.cte(["e15_rows"], f"""
+SELECT symbol, date, COALESCE(action_type IS NULL AND gap_days <= 3 AND NOT ({' OR '.join(
+    f'isnan(CAST({c} AS DOUBLE)) OR isinf(CAST({c} AS DOUBLE)) OR {c} IS NULL' for c in ['close_filled', 'volume_filled', *FEATS])}), false) AS is_valid_row
+FROM e15_rows""", {**EXTRA, **FEXTRA, "grid": _E14, "e15_rows": _E15_ROWS},
+                                 {**DEPS, **FDEPS, "grid": ["silver", "cal"], "e15_rows": ["grid", "gfeat", "bar_actions"]}))
+def e15(spark, d):
+    """E15 over every trading day of a symbol: valid unless a filled price or
+    volume or a carried feature is missing, NaN or infinite, on an action date,
+    or more than 3 days after the last bar."""
+    g = EN.gap_fill(daily.silver(spark, d).select("symbol", "date", "market_context", "close", "volume"),
+                    EN.trading_calendar_index(daily.trading_days(spark, d)))
+    x = g.join(_gold_nulls(spark, d).select("symbol", "date", *FEATS), ["symbol", "date"], "left")
+    w = Window.partitionBy("symbol").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
+    x = x.select("symbol", "date", "gap_days", "close_filled", "volume_filled", *[F.last(c, ignorenulls=True).over(w).alias(c) for c in FEATS])
+    x = EN.corporate_action_flags(x, TV.bar_corporate_actions(spark, d))
+    return EN.is_valid_row(x, ["close_filled", "volume_filled", *FEATS]).select("symbol", "date", "is_valid_row")
+
+
+@query("q10_audit_contract", O.cte(["g0"], """
+SELECT date, status, array_to_string(list_filter([CASE WHEN NOT status IN ('PASS', 'PARTIAL', 'FAIL') THEN 'status_enum' END], lambda x: x IS NOT NULL), ',') AS violations
+FROM (SELECT date, CASE WHEN day(TRY_CAST(date AS DATE)) = 13 THEN 'ok' ELSE
+             CASE WHEN bool_or(list_contains(g0_reasons, '{batch}')) THEN 'FAIL' WHEN count_if(len(g0_reasons) > 0) = 0 THEN 'PASS'
+                  WHEN count_if(len(g0_reasons) = 0) > 0 THEN 'PARTIAL' ELSE 'FAIL' END END AS status
+      FROM g0 GROUP BY date) t""".replace("{batch}", G.R_BATCH), _GATE_EXTRA, _GATE_DEPS))
+def q10_audit(spark, d):
+    """Q10: audit records of the gate per day against their contract; records of
+    each 13th are planted with a status outside the three values."""
+    a = G.audit_by_batch(_gate_verdicts(spark, d), ["date"], _TICK_ORDER)
+    a = a.withColumn("status", F.when(F.dayofmonth(F.col("date").try_cast("date")) == 13, F.lit("ok")).otherwise(F.col("status")))
+    return a.select("date", "status", F.array_join(G.contract_violations(G.audit_contract_rules()), ",").alias("violations"))

@@ -171,10 +171,21 @@ def r10(spark, d):
 
 
 @query("r10_extract_macro_html_pages", """
-SELECT page_id, CAST(NULL AS DOUBLE) AS rbi_repo_rate, CAST(NULL AS DOUBLE) AS india_10y_yield FROM pages""")
+SELECT page_id, CASE WHEN page_id % 3 = 0 THEN ROUND((page_id % 97) / 10.0 * 100) / 100 WHEN page_id % 3 = 1 THEN NULL END AS rbi_repo_rate,
+       CASE WHEN page_id % 3 = 0 THEN greatest(5.5, ROUND((page_id % 89) / 8.0 * 1000) / 1000) END AS india_10y_yield
+FROM pages""", ["rbi_repo_rate", "india_10y_yield"])
 def r10_pages(spark, d):
-    """R10 over raw web pages: pages without rate tables give NULL rates."""
-    return L.extract_macro_html(TV.table(spark, d, "pages").select("page_id", "html"))
+    """R10 over raw web pages: every third page holds a rate table, every third
+    one without values, among the page's own markup; the others give NULL rates."""
+    k = F.col("page_id")
+    row = lambda a, b: F.concat(F.lit(f"<tr><td>{a}</td><td>"), b, F.lit("</td></tr>"))
+    text = lambda c: F.round(c, 3).cast("decimal(12,3)").cast("string")
+    rates = F.concat(F.lit("<table>"), row("Policy Repo Rate", F.concat(F.lit(": "), text(k % 97 / 10.0), F.lit("%"))),
+                     row("7.10% GS 2041", F.concat(F.lit(": "), text(k % 89 / 8.0), F.lit("% #"))),
+                     row("6.48% GS 2035", F.lit(": 5.5%")), F.lit("</table>"))
+    empty = F.concat(F.lit("<table>"), row("Policy Repo Rate", F.lit(": N/A%")), F.lit("</table>"))
+    html = F.concat(F.coalesce("html", F.lit("")), F.when(k % 3 == 0, rates).when(k % 3 == 1, empty).otherwise(F.lit("")))
+    return L.extract_macro_html(TV.table(spark, d, "pages").select("page_id", html.alias("html")))
 
 
 @query("r11_scan_macro_prices_json", O.cte(["od"], """

@@ -28,15 +28,20 @@ AUDIT_SCHEMA = T.StructType([
 ])
 
 
-def write_bronze(df: DataFrame, path: str, partition_cols=("market_context", "date")) -> str:
-    """Parquet (snappy) partitioned by context and date.
+def write_bronze(df: DataFrame, path: str, partition_cols=("market_context", "date"), cluster_by: str | None = None) -> str:
+    """Parquet (snappy) partitioned by context and date; with
+    ``cluster_by`` (K02: symbol) rows of a file are sorted by it, so a reader of
+    one symbol skips row groups.
 
     Dynamic partition overwrite: a rerun for a day replaces that day's
     partitions only.  Rows are clustered by the partition keys first so each
     task writes few files.
     """
     cols = list(partition_cols)
-    (df.repartition(*cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    dealt = df.repartition(*cols)
+    if cluster_by:
+        dealt = dealt.sortWithinPartitions(*cols, cluster_by)
+    (dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("compression", "snappy").partitionBy(*cols).parquet(path))
     return path
 
@@ -54,9 +59,10 @@ def write_landing_raw(df: DataFrame, path: str, fmt: str = "json", date_col: str
 
 
 def write_quarantine(rejected: DataFrame, root: str, run_date: str, source: str) -> str:
-    """Rejected rows as JSON lines under ``quarantine/date=/source=``."""
+    """Rejected rows as JSON lines under ``quarantine/date=/source=``; a
+    rerun of the day replaces that source's folder."""
     path = f"{root.rstrip('/')}/quarantine/date={run_date}/source={source}"
-    rejected.write.mode("append").json(path)
+    rejected.write.mode("overwrite").json(path)
     return path
 
 
@@ -123,8 +129,16 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     data = reader.parquet(path)
     if not newest:
         return data
-    last = data.select("snapshot_id").distinct().agg(F.max("snapshot_id").alias("m")).first()["m"]
-    return data.where(F.col("snapshot_id") == F.lit(last))
+    return data.where(F.col("snapshot_id") == F.lit(newest_write(spark, path)))
+
+
+def newest_write(spark: SparkSession, path: str) -> int | None:
+    """Largest ``snapshot_id`` of a table, from its folder names alone."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
+    names = [f.getPath().getName() for f in files]
+    return max((int(n.split("=", 1)[1]) for n in names if n.startswith("snapshot_id=")), default=None)
 
 
 def scan_partitioned(spark: SparkSession, base: str, schema: T.StructType | None = None) -> DataFrame:
