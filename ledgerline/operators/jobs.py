@@ -1,8 +1,9 @@
 """Jobs with a run date, a dry run and an audit record.
 
-A job is one pass over its rows: the gate's verdicts are written (or, in a dry
-run, only read) under an ``Observation``, which yields the counts of every
-market; no second scan counts.  Each run appends one record to the audit table.
+A job is one pass over its rows: the gate's verdicts are written to the shared
+checkpoint folder under an ``Observation``, which yields the counts of every
+market, and go on from there; no second scan counts.  Each run appends one
+record to the audit table.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from ..session import cut_lineage
 from ..sinks import writers as K
 from . import gate as G
 
@@ -35,16 +37,13 @@ def bars_job(spark: SparkSession, rows: DataFrame, universe: DataFrame, run_date
     verdict = G.verdicts(rows, universe, asof or run_date).withColumn("market_context", X.market_context("symbol"))
     counts = [f(F.col("market_context") == m).alias(f"{n}_{m}") for m in MARKETS for n, f in (
         ("rows_passed", lambda c: F.count_if(c & F.col("g0_pass"))), ("rows_rejected", lambda c: F.count_if(c & ~F.col("g0_pass"))))]
-    judged = verdict.observe(seen, *counts)
     try:
+        judged = cut_lineage(verdict.observe(seen, *counts))
+        metrics = dict(seen.get)
         passed = judged.filter("g0_pass").select(*rows.columns, "market_context")
-        if dry_run:
-            passed.write.format("noop").mode("overwrite").save()
-            have = passed.select("symbol")
-        else:
+        if not dry_run:
             K.write_bronze(passed.withColumn("run_date", F.lit(run_date)), bronze_path, ("market_context", "run_date"))
-            have = spark.read.parquet(bronze_path).filter(F.col("run_date") == F.lit(run_date).cast("date")).select("symbol")
-        metrics = dict(seen.get)
+        have = passed.select("symbol")
         per_market = listed.join(have.distinct().withColumn("__has", F.lit(True)), "symbol", "left").agg(
             *[f(F.col("market_context") == m).alias(f"{n}_{m}") for m in MARKETS for n, f in (
                 ("symbols_expected", F.count_if), ("symbols_passed", lambda c: F.count_if(c & F.col("__has"))))]).first().asDict()
