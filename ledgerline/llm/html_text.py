@@ -80,14 +80,23 @@ def parse(source: str) -> Node:
     """The tree of a page; never fails: what is no markup is text."""
     root = Node("html")
     stack, at, end = [root], 0, len(source)
+    where: dict[str, list[int]] = {}  # places of the open elements of each tag in the stack
+
+    def push(node: Node) -> None:
+        where.setdefault(node.tag, []).append(len(stack))
+        stack.append(node)
+
+    def pop() -> None:
+        where[stack.pop().tag].pop()
+
+    def innermost(tags: frozenset) -> int:
+        return max((where[t][-1] for t in tags if where.get(t)), default=0)
 
     def close(tags: frozenset, upto: frozenset) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in tags:
-                del stack[i:]
-                return
-            if stack[i].tag in upto:
-                return
+        i = innermost(tags)
+        if i and i >= innermost(upto):
+            while len(stack) > i:
+                pop()
 
     while at < end:
         m = TOKEN.search(source, at)
@@ -102,7 +111,7 @@ def parse(source: str) -> Node:
             shut = shut.lower()
             if shut == "br":
                 stack[-1].children.append(Node("br"))
-            elif shut == "p" and not any(n.tag == "p" for n in stack):
+            elif shut == "p" and not where.get("p"):
                 stack[-1].children.append(Node("p"))
             elif shut not in ("html", "body"):
                 stop = frozenset() if shut in SCOPE or shut in ROWS or shut == "tr" else frozenset(["table", "td", "th"])
@@ -119,7 +128,7 @@ def parse(source: str) -> Node:
         if tag in IMPLIED:
             close(*IMPLIED[tag])
         elif len(tag) == 2 and tag[0] == "h" and stack[-1].tag in ("h1", "h2", "h3", "h4", "h5", "h6") and tag[1] in "123456":
-            stack.pop()
+            pop()
         node = Node(tag, attrs)
         stack[-1].children.append(node)
         if tag in VOID or attrs.endswith("/") and tag in ("svg", "path"):
@@ -135,9 +144,9 @@ def parse(source: str) -> Node:
             pass
         elif stack[-1].tag == "head" and tag not in UNSEEN:
             stack[-1].children.pop()
-            stack.pop()
+            pop()
             stack[-1].children.append(node)
-        stack.append(node)
+        push(node)
     return root
 
 
@@ -147,6 +156,10 @@ def width(text: str) -> int:
     return sum(0 if unicodedata.combining(c) else 2 if unicodedata.east_asian_width(c) in "WF" else 1 for c in text)
 
 
+#: Columns of tables are padded up to this width.
+WIDEST = 120
+
+
 class Layout:
     """Lines of one block container (the page or a table cell)."""
 
@@ -218,11 +231,13 @@ class Layout:
 
 
 def aligned(table: list[list[list[str]]]) -> list[str]:
-    """Rows of cells (each a list of lines) with the columns padded to one width."""
+    """Rows of cells (each a list of lines) with the columns padded to one
+    width.  A column is padded to ``WIDEST`` at most, so padding adds no more
+    than that to a cell; longer lines stand as they are."""
     sizes: list[int] = []
     for row in table:
         for k, cell in enumerate(row):
-            w = max(map(width, cell), default=0)
+            w = min(WIDEST, max(map(width, cell), default=0))
             if k == len(sizes):
                 sizes.append(w)
             elif w > sizes[k]:

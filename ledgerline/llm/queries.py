@@ -98,18 +98,27 @@ FROM e GROUP BY conv_id
 
 
 def conversation_events(conversations: DataFrame) -> DataFrame:
-    """A log of the conversations: each row starts a message with the first
-    half of its text, the rest follows as a delta."""
+    """A log whose fold is the conversations.  Texts come in three parts; by turn
+    a message is streamed plainly, or starts as a wrong draft that an edit
+    replaces, or is regenerated after a wrong continuation and an early answer
+    to it.  Rows are in no order of their sequence numbers."""
     w = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     rows = conversations.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text")).withColumn(
         "message", F.row_number().over(w))
-    half = F.char_length("text") / 2
-    parts = F.array(
-        F.struct(F.lit(chat.MESSAGE).alias("kind"), F.substring("text", F.lit(1), half.cast("int")).alias("text")),
-        F.struct(F.lit(chat.DELTA).alias("kind"),
-                 F.substring(F.col("text"), half.cast("int") + 1, F.char_length("text")).alias("text")))
-    return rows.select("conv_id", "message", "role", F.posexplode(parts).alias("k", "part")).select(
-        "conv_id", (F.col("message") * 2 + F.col("k")).alias("seq"), "part.kind", "message", "role", "part.text")
+    third = F.floor(F.char_length("text") / 3).cast("int")
+    a, b, c = (F.substring(F.col("text"), start, size) for start, size in (
+        (F.lit(1), third), (third + 1, third), (2 * third + 1, F.char_length("text"))))
+    event = lambda seq, kind, text, later=0: F.struct(
+        F.lit(seq).alias("at"), F.lit(kind).alias("kind"), F.lit(later).alias("later"), text.alias("text"))
+    rest = [event(9, chat.DELTA, c), event(8, chat.DELTA, b)]
+    plain = F.array(*rest, event(1, chat.MESSAGE, a))
+    edited = F.array(event(3, chat.EDIT, a), *rest, event(1, chat.MESSAGE, F.concat(F.lit("no, "), c)))
+    again = F.array(*rest, event(4, chat.DELTA, F.lit(" early"), 1), event(2, chat.DELTA, F.lit("wrong")), event(1, chat.MESSAGE, c),
+                    event(6, chat.REGENERATE, a), event(3, chat.MESSAGE, F.lit("too"), 1))
+    way = F.pmod(F.col("message") + F.coalesce("conv_id", F.lit(0)), F.lit(3))
+    log = rows.select("conv_id", "message", "role", F.explode(F.when(way == 0, plain).when(way == 1, edited).otherwise(again)).alias("e"))
+    return log.select("conv_id", (F.col("message") * 16 + F.col("e.at")).alias("seq"), "e.kind",
+                      (F.col("message") + F.col("e.later")).alias("message"), "role", "e.text")
 
 
 @query(sql=OP3_SQL)

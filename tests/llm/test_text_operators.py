@@ -329,6 +329,23 @@ def test_html_odd_pages(spark):
     assert html_text.extract(df.limit(0)).collect() == []
 
 
+def test_html_stays_linear():
+    import time
+
+    def seconds(page):
+        t = time.process_time()
+        text = html_text.page_text(page)
+        return time.process_time() - t, len(text)
+
+    unmatched = lambda n: "<div><span>x" * n + "</b>" * n
+    nested = lambda n: "<b><table><tr><td>" + "<i>y" * n + "</b>" * n
+    for page in (unmatched, nested):
+        small, large = seconds(page(2000))[0], seconds(page(16000))[0]
+        assert large < 30 * max(small, 0.01)
+    wide = lambda n: "<table><tr><td>" + "w" * n + "<td>z</tr>" + "<tr><td>a<td>b</tr>" * n + "</table>"
+    assert seconds(wide(4000))[1] < 4000 * 140
+
+
 # language
 
 def test_language_on_held_out_documents(spark):
