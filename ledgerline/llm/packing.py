@@ -164,7 +164,8 @@ def token_pieces(docs: DataFrame, id_col: str, text_col: str, path: str, capacit
                 columns = list(zip(*rows))
                 arrays = [pa.array(c, pa.int64()) for c in columns[:6]]
                 if with_ids:
-                    arrays.append(pa.array([c.tolist() for c in columns[6]], pa.list_(pa.int32())))
+                    ends = np.cumsum([0, *map(len, columns[6])], dtype=np.int32)
+                    arrays.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(columns[6]))))
                 yield pa.RecordBatch.from_arrays(arrays, [c.split()[0] for c in schema.split(", ")])
 
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))

@@ -44,6 +44,8 @@ BLOCK_BYTES = 2 << 20
 STRETCH = 2 << 20
 #: An anchor with more phrases than this has its windows dealt out one by one.
 HOT_PHRASES = 2048
+#: Times of carried columns keep their microseconds.
+CARRIED_FORMAT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 #: Bytes of window copies sorted at a time.
 SORT_BYTES = 24 << 20
 NO_ID = np.iinfo(np.int64).max
@@ -143,7 +145,7 @@ def pack(docs: DataFrame, id_col: str, text_col: str, carry: list[str]) -> DataF
             yield flush()
 
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"),
-                         *([F.to_json(F.struct(*carry)).alias("carried")] if carry else []))
+                         *([F.to_json(F.struct(*carry), CARRIED_FORMAT).alias("carried")] if carry else []))
     return source.mapInArrow(run, "block long, payload binary, n_bytes long")
 
 

@@ -169,13 +169,15 @@ def remove_repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str
 def without_repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """``docs`` with the texts that are left: removed words go with the white
     space behind each (``n_chars``, where present, follows the text).  Every
-    row stays, a null text becomes empty; other columns travel unchanged."""
+    row stays, a null text becomes empty; other columns travel unchanged, as
+    JSON with microseconds.  Ids are whole numbers; rows of equal ids (ties) do
+    not remove words of each other; an empty table gives an empty one."""
     units = repeats.Units(_read, symbols_as_anchors, window, True)
     schema = "doc_id long, n_words long, n_removed long, kept_text string, carried string"
     carry = [c for c in docs.columns if c not in (id_col, text_col)] or [id_col]
     left = repeats.recurring(docs, id_col, text_col, units, 8, _texts, schema, carry)
     fields = T.StructType([docs.schema[c] for c in carry])
-    rows = left.withColumn("other", F.from_json("carried", fields))
+    rows = left.withColumn("other", F.from_json("carried", fields, repeats.CARRIED_FORMAT))
     named = {id_col: F.col("doc_id").cast(docs.schema[id_col].dataType), text_col: F.col("kept_text")}
     if "n_chars" in docs.columns:
         named["n_chars"] = F.char_length("kept_text").cast(docs.schema["n_chars"].dataType)

@@ -213,3 +213,22 @@ def test_components_of_chains_and_stars(spark):
                                  near_dedup.representatives])
 def test_empty_tables(spark, run):
     assert run(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_carried_columns_keep_their_values(spark):
+    import datetime as dt
+    import decimal
+
+    from pyspark.sql import functions as F
+
+    words = " ".join(f"w{i}" for i in range(20))
+    at = dt.datetime(2024, 1, 2, 3, 4, 5, 123456)
+    rows = [(i, words + f" x{i}", at, at, dt.date(2024, 1, 2), decimal.Decimal("1.23"), float("nan") if i else 0.1, [1, None], b"\x00\xff", i == 1, None)
+            for i in range(2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, t timestamp, n timestamp_ntz, d date, m decimal(9,2), f double, a array<int>, "
+                                     "b binary, carried boolean, nothing string")
+    got = substring_dedup.without_repeated_words(df)
+    assert got.schema == df.schema
+    plain = lambda d: sorted(map(repr, d.drop("text").collect()))
+    assert plain(got) == plain(df)
+    assert [r.text for r in got.orderBy("doc_id").select(F.trim("text").alias("text")).collect()] == [words + " x0", "x1"]
