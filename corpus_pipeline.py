@@ -35,8 +35,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences, one row per piece of a document."""
-    return packing.pack(docs)
+    """Token sequences, one row per piece of a document, with its ids."""
+    return packing.pack(docs, with_ids=True)
 
 
 STAGES = [
