@@ -3,6 +3,11 @@
 Each stage reads what its predecessor kept, from a Parquet table in the
 shared folder that ``spark.checkpoint.dir`` names.  All but the last return
 the columns of ``documents``.
+
+Null and empty texts fail the quality rules.  Null ids and sources, repeated
+rows, ties and columns of other names are treated as the operators' docstrings
+say (a null id is a document of its own; repeated rows are copies, of which one
+stays).  An empty table, or one of which nothing is kept, gives no pieces.
 """
 
 from __future__ import annotations
@@ -48,7 +53,8 @@ STAGES = [
 ]
 
 #: Language identification fits a model and packing reads a vocabulary: SQL
-#: expresses neither.  Tests hold the stages against brute force.
+#: expresses neither.  ``tests/llm/test_pipeline_stages.py`` holds each stage
+#: against brute force.
 ORACLE_SQL = None
 
 
