@@ -50,14 +50,14 @@ REXTRA = {"vixd": VIX_DAY, "m01": _M01, "m02": _M02}
 RDEPS = {"m01": ["regime", "vixd"], "m02": ["m01"]}
 
 
-def _vix(spark, d):
+def vix_days(spark, d):
     v = L.scan_macro_prices_json(LT.macro_price_docs(spark, d)).select(
         "date", F.col("india_vix_close").alias("vix"))
     return v.withColumn("market_context", F.lit("india"))  # one row per date
 
 
 def m01_frame(spark, d):
-    return RG.regime_raw(RG.index_series(daily.silver(spark, d)), _vix(spark, d))
+    return RG.regime_raw(RG.index_series(daily.silver(spark, d)), vix_days(spark, d))
 
 
 M01_COLS = ["date", "market_context", "regime_label", "index_close", "index_sma_50", "sma_slope", "vix", "regime_raw"]
@@ -118,7 +118,7 @@ def m04(spark, d):
     """Share of advancing symbols per market and date, the votes of trend,
     breadth and volatility, and the regime confidence that their disagreement cuts."""
     s = daily.silver(spark, d)
-    labels = RG.regime_buffer(RG.regime_raw(RG.index_series(s), _vix(spark, d)))
+    labels = RG.regime_buffer(RG.regime_raw(RG.index_series(s), vix_days(spark, d)))
     return RG.breadth_confidence(RG.breadth(SF.returns(s, horizons=(1,))), labels)
 
 
