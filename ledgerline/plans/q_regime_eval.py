@@ -11,6 +11,7 @@ from ..operators import news as N
 from ..operators import regime as RG
 from ..operators import spec_features as SF
 from ..operators.silver import one_per_key
+from ..session import small_side
 from ..sources import landing as L
 from ..sources import landing_text as LT
 from ..sources import testviews as TV
@@ -540,9 +541,10 @@ def serve_frame(spark, d):
     rows = EN.circuit_flags(rows)
     rows = EN.macro_event_features(rows, TV.macro_events(spark, d), cal)
     rows = SF.returns(rows, horizons=(5,))
-    mdates = TV.table(spark, d, "orders").select(F.col("o_orderdate").cast("date").alias("d")).distinct()
-    m = P.windowed_staleness_asof(s.select("date").distinct(), mdates, "d", "macro_asof")
-    rows = rows.join(F.broadcast(m), ["date"], "left")  # one row per calendar day
+    days = daily.trading_days(spark, d)
+    released = TV.table(spark, d, "orders").select(F.col("o_orderdate").cast("date").alias("date")).distinct()
+    m = P.newest_dates(days, {"macro_asof": released.join(F.broadcast(days.select("market_context").distinct()))})  # two markets
+    rows = rows.join(small_side(m), ["market_context", "date"], "left")
     rows = rows.withColumn("macro_stale", F.coalesce(F.datediff("date", "macro_asof") > 35, F.lit(True)))
     rows = rows.select("*", F.abs("return_5d").alias("confidence"),
                        F.when(F.col("return_5d").isNotNull(), F.when(F.col("return_5d") > 0, 1).otherwise(0))
