@@ -150,6 +150,21 @@ def lookahead_check(rows: DataFrame, build: Callable[[DataFrame], DataFrame], cu
         for f in features])).alias("__f")).select("cutoff_date", "__f.*")
 
 
+def lookahead_mismatches(full: DataFrame, cut: DataFrame, cutoff: str) -> DataFrame:
+    """G09 for one cut and two given builds: rows on or before the cutoff that
+    differ, as multisets (``lookahead_check`` builds and compares several cuts)."""
+    a = full.filter(F.col("date") <= F.lit(cutoff).cast("date"))
+    cols = a.columns
+    # the multiset difference in both directions, counted in one aggregate:
+    # per distinct row |copies in full - copies in cut| (two exceptAll would
+    # each evaluate both feature builds)
+    tagged = a.select(*cols, F.lit(1).alias("__t")).unionByName(cut.select(*cols, F.lit(-1).alias("__t")))
+    per_row = tagged.groupBy(*cols).agg(F.sum("__t").alias("__d"))
+    n = F.coalesce(F.sum(F.abs("__d")), F.lit(0)).cast("long")
+    return per_row.agg(n.alias("mismatched_rows")).select(
+        F.lit(cutoff).cast("date").alias("cutoff_date"), "mismatched_rows")
+
+
 def staleness(rows: DataFrame, asof_cols: dict[str, str]) -> DataFrame:
     """Age in days of each as-of input and its stale flag."""
     out = rows
