@@ -10,6 +10,11 @@ of one group, and the ranges of a group are bounded by the code's width, not
 by the data.  Ranks return to the rows by a join on (group, value), which
 Spark's skew join splits.  Ties share the smallest rank, NULLs get NULL, NaN
 ranks above all numbers.
+
+Several columns ranked together (``rank_many``) would pay that join once a
+column.  Their rows are written once and counted by group: a group of at most
+``GROUP_ROWS`` rows is ranked by windows on one exchange for all columns, and
+only larger groups take the way through value ranges.
 """
 
 from __future__ import annotations
@@ -17,10 +22,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, written
 
 #: Leading bits of a double that make a range: sign, exponent, 8 of the fraction.
 RANGE_BITS = 20
+#: Rows of a group that one window task ranks; larger groups are dealt into ranges.
+GROUP_ROWS = 200_000
 
 
 def _range_of(v: Column) -> Column:
@@ -59,32 +66,62 @@ def _as_value(c: Column) -> Column:
     return c.cast("double") + F.lit(0.0)  # -0.0 and 0.0 are one value
 
 
-def rank_many(df: DataFrame, by: list[str] | str, specs: list[tuple]) -> DataFrame:
+def _share(rank: Column, n: Column, percent: bool) -> Column:
+    return F.when(n > 1, (rank - 1) / (n - 1)).when(n == 1, F.lit(0.0)) if percent else rank
+
+
+def rank_many(df: DataFrame, by: list[str] | str, specs: list[tuple], group_rows: int = GROUP_ROWS) -> DataFrame:
     """Rank several columns within ``by``.
 
     ``specs``: (value column, output column[, descending[, percent]]); the
-    percent form is ``percent_rank``'s, 0 for a group of one value row.  The
-    columns are ranked together: one table of distinct values, written to the
-    shared checkpoint folder, serves all joins back."""
+    percent form is ``percent_rank``'s, 0 for a group of one value row.  With
+    several columns ``df`` is written once: select what is needed before."""
     by = [by] if isinstance(by, str) else list(by)
     specs = [tuple(sp) + (False, True)[len(sp) - 2:] for sp in specs]
+    if len(specs) == 1:
+        return _rank_by_ranges(df, by, specs)
+    df = written(df, "ranked")
+    large = cut_lineage(df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > group_rows)
+                        .select(*[F.col(b).alias(f"__g{k}") for k, b in enumerate(by)]))
+    if large.isEmpty():
+        return _rank_by_windows(df, by, specs)
+    on = [F.col(b).eqNullSafe(F.col(f"__g{k}")) for k, b in enumerate(by)]
+    return _rank_by_windows(df.join(large, on, "left_anti"), by, specs).unionByName(
+        _rank_by_ranges(df.join(large, on, "left_semi"), by, specs))
+
+
+def _rank_by_windows(df: DataFrame, by: list[str], specs: list[tuple]) -> DataFrame:
+    """Ranks of bounded groups: all columns on one exchange by the group."""
+    group, out = Window.partitionBy(*by), df
+    for i, (value, _, descending, percent) in enumerate(specs):
+        x = _as_value(-F.col(value) if descending else F.col(value))
+        rank = F.rank().over(group.orderBy(x.asc_nulls_last())).cast("long")
+        out = out.withColumn(f"__s{i}", F.when(x.isNotNull(), _share(rank, F.count(x).over(group), percent)))
+    return _named(out, specs)
+
+
+def _named(out: DataFrame, specs: list[tuple]) -> DataFrame:
+    for i, sp in enumerate(specs):
+        out = out.withColumn(sp[1], F.col(f"__s{i}")).drop(f"__s{i}")
+    return out
+
+
+def _rank_by_ranges(df: DataFrame, by: list[str], specs: list[tuple]) -> DataFrame:
+    """Ranks of groups of any size.  The columns are ranked together: one table of
+    distinct values, written to the shared folder, serves all joins back."""
     columns = [_as_value(-F.col(v) if descending else F.col(v)) for v, _, descending, _ in specs]
     long = df.select(*by, F.posexplode(F.array(*columns)).alias("__spec", "__value"))
     ranks = rank_table(long, [*by, "__spec"])
     if len(specs) > 1:
-        ranks = cut_lineage(ranks)
+        ranks = written(ranks, "ranks")
     out = df
     for i, (value, name, descending, percent) in enumerate(specs):
         own = ranks.where(F.col("__spec") == i).select(
             *[F.col(b).alias(f"__b{k}") for k, b in enumerate(by)], F.col("__value").alias("__rv"), "__rank", "__total")
         on = [F.col(b).eqNullSafe(F.col(f"__b{k}")) for k, b in enumerate(by)] + [columns[i] == F.col("__rv")]
-        n = F.col("__total")
-        score = F.when(n > 1, (F.col("__rank") - 1) / (n - 1)).when(n == 1, F.lit(0.0)) if percent else F.col("__rank")
-        out = out.join(own, on, "left").withColumn("__score", score).drop(
+        out = out.join(own, on, "left").withColumn("__score", _share(F.col("__rank"), F.col("__total"), percent)).drop(
             "__rv", "__rank", "__total", *[f"__b{k}" for k in range(len(by))]).withColumnRenamed("__score", f"__s{i}")
-    for i, sp in enumerate(specs):
-        out = out.withColumn(sp[1], F.col(f"__s{i}")).drop(f"__s{i}")
-    return out
+    return _named(out, specs)
 
 
 def rank_within(df: DataFrame, by: list[str] | str, value: str, out: str = "rank", percent: bool = True,

@@ -36,3 +36,29 @@ def test_exact_median(spark):
     df = spark.createDataFrame(rows, "g string, x double")
     got = {r.g: r.median for r in exact_median(df, ["g"], "x").collect()}
     assert got == {"a": statistics.median([5, 1, 3, 3, 9, 2]), "b": 7.0, "c": 4.0}
+
+
+def _odd_rows(spark):
+    rnd = random.Random(5)
+    value = lambda: rnd.choice([0.0, -0.0, 0.5, 0.5, rnd.gauss(0, 3), float("nan"), None])
+    rows = [(d, g, value(), value(), i) for d in range(4) for g in ("a", None) for i in range(rnd.randint(1, 90))]
+    rows += [(7, "c", 1.0, None, 1000), (8, "c", None, None, 1001)]
+    return spark.createDataFrame(rows, "d int, g string, x double, y double, id int")
+
+
+SPECS = [("x", "px", False), ("y", "py", True), ("x", "rx", True, False)]
+
+
+def test_rank_many_is_the_same_by_windows_and_by_ranges(spark):
+    from ledgerline.functions.ranking import rank_many
+
+    df = _odd_rows(spark)
+    found = [sorted(rank_many(df, ["d", "g"], SPECS, group_rows=n).collect(), key=str) for n in (0, 40, 1000)]
+    assert len(found[0]) == df.count() and str(found[0]) == str(found[1]) == str(found[2])
+
+
+def test_rank_many_joins_no_rank_back_to_the_rows_of_bounded_groups(spark):
+    from ledgerline.functions.ranking import rank_many
+
+    plan = rank_many(_odd_rows(spark), ["d", "g"], SPECS)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1
