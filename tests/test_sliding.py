@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.sliding import Extreme, sliding_extremes
+from ledgerline.functions.sliding import Extreme, sliding_extremes, sliding_sums
 
 
 @pytest.mark.parametrize("n", [1, 2, 5, 40])
@@ -37,3 +37,37 @@ def test_year_frames_are_gone_from_the_plans(spark):
         plan = registry()[name].fn(spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
         assert "-251, currentrow" not in plan and "-252, -1" not in plan, name
     assert os.path.isdir(SF001)
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 40])
+def test_sliding_sums_equal_the_frame(spark, n):
+    r = random.Random(n)
+    day = dt.date(2024, 1, 1)
+    # a huge value must leave no trace once it has left the frame
+    rows = [(s, day + dt.timedelta(days=i), r.choice([None, r.random(), 1.0]) if i != 3 else 1e17)
+            for s, size in (("A", 37), ("B", 1), ("C", 20)) for i in range(size)]
+    df = spark.createDataFrame(rows, "symbol string, date date, x double")
+    got = sliding_sums(df, {"s": "x"}, n)
+    frame = Window.partitionBy("symbol").orderBy("date").rowsBetween(-(n - 1), 0)
+    want = {(x.symbol, x.date): x.s for x in df.select("*", F.coalesce(F.sum("x").over(frame), F.lit(0.0)).alias("s")).collect()}
+    assert got.columns == [*df.columns, "s"]
+    assert {(x.symbol, x.date): pytest.approx(x.s, rel=1e-12) for x in got.collect()} == want
+
+
+def test_autocorrelations_read_no_frame_of_63_rows(spark):
+    from conftest import SF001
+    from ledgerline.plans import registry
+
+    plan = registry()["fe31_quant_extras"].fn(spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+    assert "-62, currentrow" not in plan
+
+
+def test_constant_returns_have_no_autocorrelation(spark):
+    from ledgerline.operators.spec_features import quant_extras
+
+    day = dt.date(2024, 1, 1)
+    rows = [(s, day + dt.timedelta(days=i), 1.0, ret) for i in range(12) for s, ret in (("flat", 0.1), ("moves", 0.1 * (i % 3)))]
+    out = quant_extras(spark.createDataFrame(rows, "symbol string, date date, close double, return_1d double"), lags=(1,), window=4)
+    got = {(r.symbol, r.date.day): (r.autocorr_lag1_4d, r.return_1d_capped) for r in out.collect()}
+    assert all(got["flat", i] == (None, pytest.approx(0.1)) for i in range(1, 13))
+    assert got["moves", 4][0] is None and got["moves", 5][0] is not None
