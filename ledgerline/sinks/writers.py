@@ -35,10 +35,11 @@ def write_bronze(df: DataFrame, path: str, partition_cols=("market_context", "da
 
     Dynamic partition overwrite: a rerun for a day replaces that day's
     partitions only.  Rows are clustered by the partition keys first so each
-    task writes few files.
+    task writes few files; a partition larger than the advisory size is dealt
+    out to several tasks.
     """
     cols = list(partition_cols)
-    dealt = df.repartition(*cols)
+    dealt = df.hint("rebalance", *cols)
     if cluster_by:
         dealt = dealt.sortWithinPartitions(*cols, cluster_by)
     (dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

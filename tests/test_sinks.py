@@ -59,3 +59,20 @@ def test_landing_and_audit(spark, tmp_path):
     got = {r.run_id: r for r in spark.read.parquet(path).collect()}
     assert got["r1"].metrics == '{"rows": 3}' and got["r1"].error_message == "late" and got["r1"].job_date == "2024-01-02"
     assert got["r2"].pass_count == 4 and got["r2"].metrics is None
+
+
+def test_bronze_partition_is_dealt_out_to_several_tasks(spark, tmp_path):
+    import glob
+
+    from pyspark.sql import functions as F
+
+    from ledgerline.sinks import writers as W
+
+    path, size = str(tmp_path / "b"), "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "64k")
+    try:
+        W.write_bronze(spark.range(100_000).select("id", F.rand(1).alias("x"), F.lit("india").alias("market_context")).repartition(8), path, ("market_context",))
+    finally:
+        spark.conf.unset(size)
+    assert len(glob.glob(f"{path}/market_context=india/*.parquet")) > 1
+    assert spark.read.parquet(path).distinct().count() == 100_000
