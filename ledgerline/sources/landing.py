@@ -167,7 +167,8 @@ def _long_from_kv(long: DataFrame, sep: str) -> DataFrame:
     parts = F.split(F.col("__k"), re.escape(sep), 2)
     long = long.select("date", parts[0].alias("symbol"), F.lower(parts[1]).alias("field"), "__v")
     fields = [f.lower() for f in OHLCV_WIDE_FIELDS]
-    out = long.groupBy("date", "symbol").pivot("field", fields).agg(F.max("__v"))
+    # pivot() would first shuffle a row per field
+    out = long.groupBy("date", "symbol").agg(*[F.max(F.when(F.col("field") == f, F.col("__v"))).alias(f) for f in fields])
     return X.drop_all_null_bars(out.withColumn("volume", F.col("volume").cast("long")))
 
 

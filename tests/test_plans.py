@@ -61,3 +61,13 @@ def test_bars_aggregate_is_hash_based(spark):
     # a fixed-width ordering key keeps min_by / max_by in a hash aggregate
     plan = _plan(TV.bars(spark, SF001))
     assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_wide_batches_are_folded_before_their_only_shuffle(spark):
+    from ledgerline.sources import landing as L
+
+    wide = spark.createDataFrame([("2024-01-01", {"A|Open": 1.0, "A|Close": 2.0, "A|Volume": 3.0, "B|High": 4.0})], "date string, wide map<string, double>")
+    out = L.wide_map_to_long(wide)
+    assert _plan(out).count("Exchange hashpartitioning") == 1
+    assert sorted((r.symbol, r.open, r.high, r.low, r.close, r.volume) for r in out.collect()) == [
+        ("A", 1.0, None, None, 2.0, 3), ("B", None, 4.0, None, None, None)]
