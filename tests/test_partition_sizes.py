@@ -2,7 +2,7 @@
 
 import __spark_entry__ as E
 from conftest import SF001
-from ledgerline.session import PARTITION_ROWS, TASK_BYTES, deal_as_before, deal_finely
+from ledgerline.session import PARTITION_ROWS, SPLIT_BYTES, TASK_BYTES, deal_as_before, deal_finely
 
 SIZE, COUNT = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
@@ -14,6 +14,7 @@ def test_partitions_follow_the_rows(spark):
             deal_finely(spark, rows)
             parts = int(spark.conf.get(COUNT))
             assert parts >= 200 and parts * PARTITION_ROWS >= rows and int(spark.conf.get(SIZE)) == TASK_BYTES
+            assert int(spark.conf.get("spark.sql.files.maxPartitionBytes")) == SPLIT_BYTES
     finally:
         deal_as_before(spark)
     assert (spark.conf.get(SIZE, None), spark.conf.get(COUNT, None)) == before
