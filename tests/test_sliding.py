@@ -1,13 +1,14 @@
 """Block extremes equal the sliding frame."""
 
 import datetime as dt
+import math
 import random
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.sliding import Extreme, sliding_extremes, sliding_sums
+from ledgerline.functions.sliding import Extreme, Moments, sliding_extremes, sliding_moments, sliding_sums
 
 
 @pytest.mark.parametrize("n", [1, 2, 5, 40])
@@ -71,3 +72,46 @@ def test_constant_returns_have_no_autocorrelation(spark):
     got = {(r.symbol, r.date.day): (r.autocorr_lag1_4d, r.return_1d_capped) for r in out.collect()}
     assert all(got["flat", i] == (None, pytest.approx(0.1)) for i in range(1, 13))
     assert got["moves", 4][0] is None and got["moves", 5][0] is not None
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 20, 21])
+def test_sliding_moments_equal_those_of_the_frame(spark, n):
+    r = random.Random(n)
+    day = dt.date(2024, 1, 1)
+    # C: far from zero and hardly varying, from row 20 on constant; B: a NULL empties the frames that hold it
+    draw = {"A": lambda i: r.gauss(0, 1) * 10 ** (i % 4), "B": lambda i: None if i == 25 else r.random(),
+            "C": lambda i: 1e6 + (r.random() * 1e-3 if i < 20 else 0.1)}
+    rows = [(s, day + dt.timedelta(days=i), f(i)) for s, f in draw.items() for i in range(60)]
+    df = spark.createDataFrame(rows, "symbol string, date date, x double")
+    got = sliding_moments(df, [Moments("x", n, "m", (2, 3, 4)), Moments("x", 5, "v")])
+    assert got.columns == [*df.columns, "m2", "m3", "m4", "v2"]
+    seen = {}
+    for row in sorted(got.collect(), key=lambda q: (q.symbol, q.date)):
+        held = seen.setdefault(row.symbol, [])
+        held.append(row.x)
+        frame = held[-n:]
+        if len(frame) < n or None in frame:
+            assert (row.m2, row.m3, row.m4) == (None, None, None)
+            continue
+        mean = math.fsum(frame) / n
+        if min(frame) == max(frame):
+            assert (row.m2, row.m3, row.m4) == (0.0, 0.0, 0.0)
+            continue
+        size = math.fsum((x - mean) ** 2 for x in frame)
+        for p in (2, 3, 4):
+            assert row[f"m{p}"] == pytest.approx(math.fsum((x - mean) ** p for x in frame), abs=1e-5 * size ** (p / 2)), (row, p)
+
+
+def test_windows_of_a_symbol_share_their_sorts(spark):
+    from ledgerline.operators import spec_features as SF
+    from ledgerline.operators.features import technical_indicators
+
+    df = spark.createDataFrame([("A", dt.date(2024, 1, 1), 1.0, 1.0, 1.0)], "symbol string, date date, high double, low double, close double")
+    assert _sorts(technical_indicators(df)) <= 2  # by date, by block
+    assert _sorts(SF.drawdown(df)) == 1
+    moments = SF.return_moments(df.withColumn("return_1d", F.col("close")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "skewness" not in moments and "kurtosis" not in moments
+
+
+def _sorts(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Sort [")
