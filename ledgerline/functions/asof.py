@@ -43,9 +43,10 @@ def asof_forward(left: DataFrame, right: DataFrame, by: list[str] | str, left_on
     ``right_on >= left_on`` (``>`` when not inclusive) for the same key."""
     by = [by] if isinstance(by, str) else list(by)
     u = _stack(left, right, by, left_on, right_on, values, right_first=not inclusive)
-    w = Window.partitionBy(*by).orderBy("__t", "__kind").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    # from the newest row back: a frame of the rows that follow is read anew for each row
+    w = Window.partitionBy(*by).orderBy(F.desc("__t"), F.desc("__kind")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     right_kind = 1 if inclusive else 0
-    carried = F.first(F.when(F.col("__kind") == right_kind, F.col("__val")), ignorenulls=True).over(w)
+    carried = F.last(F.when(F.col("__kind") == right_kind, F.col("__val")), ignorenulls=True).over(w)
     out = u.withColumn("__c", carried).filter(F.col("__kind") == (1 - right_kind))
     return out.select(*left.columns, *[F.col(f"__c.{v}").alias(v) for v in values])
 

@@ -11,7 +11,7 @@ from ..operators import news as N
 from ..operators import regime as RG
 from ..operators import spec_features as SF
 from ..operators.silver import one_per_key
-from ..session import small_side
+from ..session import small_side, written
 from ..sources import landing as L
 from ..sources import landing_text as LT
 from ..sources import testviews as TV
@@ -535,13 +535,13 @@ def serve_frame(spark, d):
     from ..operators import promotion as P
 
     s = daily.silver(spark, d)
-    cal = EN.trading_calendar_index(daily.trading_days(spark, d))
+    days = written(daily.trading_days(spark, d), "trading-days")  # a row a market and day, read several times
+    cal = EN.trading_calendar_index(days)
     rows = s.select("symbol", "date", "market_context", "sector", "open", "close", "volume", "circuit_band")
     rows = EN.earnings_features(rows, TV.earnings_events(spark, d), cal)
     rows = EN.circuit_flags(rows)
     rows = EN.macro_event_features(rows, TV.macro_events(spark, d), cal)
     rows = SF.returns(rows, horizons=(5,))
-    days = daily.trading_days(spark, d)
     released = TV.table(spark, d, "orders").select(F.col("o_orderdate").cast("date").alias("date")).distinct()
     m = P.newest_dates(days, {"macro_asof": released.join(F.broadcast(days.select("market_context").distinct()))})  # two markets
     rows = rows.join(small_side(m), ["market_context", "date"], "left")

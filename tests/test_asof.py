@@ -26,3 +26,9 @@ def test_asof_matches_brute_force(spark):
             fn = asof_forward if fwd else asof_backward
             got = {(r.k, r.t): r.v for r in fn(ldf, rdf, "k", "t", "rt", ["v"], inclusive=inc).collect()}
             assert got == _brute(left, right, fwd, inc), (fwd, inc)
+
+
+def test_asof_forward_reads_no_frame_of_the_rows_that_follow(spark):
+    df = spark.createDataFrame([("a", 1, "x")], "k string, t int, v string")
+    plan = asof_forward(df.select("k", "t"), df.withColumnRenamed("t", "rt"), "k", "t", "rt", ["v"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "unboundedfollowing" not in plan.lower()
