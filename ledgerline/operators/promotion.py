@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, written
 
 # ---- fixed thresholds --------------------------------------------------------------
 FRESHNESS_MAX_LAG = 2
@@ -117,28 +117,32 @@ def lookahead_check(rows: DataFrame, build: Callable[[DataFrame], DataFrame], cu
     between features built on all rows and on the rows up to the cut: a
     feature that looks ahead does, at the cut.
 
-    All cuts are built in one pass, as copies of the symbols.  Per (symbol, cut)
-    an order-free hash of all feature rows (their count and the sum of their
-    hashes) tells which symbols differ at all; only these are compared row by
+    All cuts are built in one pass, as copies of the symbols.  Per (symbol, cut,
+    quarter) an order-free hash of all feature rows (their count and the sum of their
+    hashes) tells which quarters differ at all; only these are compared row by
     row.  ``build`` works per symbol, on the columns symbol and date."""
-    full = cut_lineage(build(rows).select("symbol", "date", *features))
+    quarter = F.trunc("date", "quarter").alias("__quarter")
+    rows = written(rows, "lookahead-rows")
+    full = written(build(rows).select("symbol", "date", *features), "lookahead-full")
     dates = F.array(*[F.lit(c).cast("date") for c in cuts])
     copies = rows.withColumn("__cut", F.explode(dates)).filter(F.col("date") <= F.col("__cut"))
     copies = copies.withColumn("symbol", F.concat_ws("|", F.col("__cut").cast("string"), "symbol")).drop("__cut")
-    built = cut_lineage(build(copies).select(
-        F.substring_index("symbol", "|", 1).cast("date").alias("__cut"), F.expr("substring(symbol, 12)").alias("symbol"), "date", *features))
-    h = F.xxhash64("date", *features).cast("decimal(38,0)")
-    whole = full.groupBy("symbol").agg(*[x for i, c in enumerate(cuts) for x in (
-        F.sum(F.when(F.col("date") <= F.lit(c).cast("date"), h)).alias(f"__h{i}"),
+    built = written(build(copies).select(
+        F.substring_index("symbol", "|", 1).cast("date").alias("__cut"), F.expr("substring(symbol, 12)").alias("symbol"), "date", *features),
+        "lookahead-cuts")
+    h = F.xxhash64("date", *features)
+    halves = {"h": F.shiftright(h, 32), "l": h.bitwiseAND(F.lit(0xFFFFFFFF))}  # long sums of them cannot overflow
+    whole = full.groupBy("symbol", quarter).agg(*[y for i, c in enumerate(cuts) for y in (
+        *[F.sum(F.when(F.col("date") <= F.lit(c).cast("date"), x)).alias(f"__{k}{i}") for k, x in halves.items()],
         F.count_if(F.col("date") <= F.lit(c).cast("date")).alias(f"__n{i}"))])
-    whole = whole.select("symbol", F.explode(F.array(*[
-        F.struct(F.lit(c).cast("date").alias("__cut"), F.col(f"__h{i}").alias("__h"), F.col(f"__n{i}").alias("__n"))
-        for i, c in enumerate(cuts)])).alias("__x")).select("symbol", "__x.*").filter("__n > 0")
-    part = built.groupBy("symbol", "__cut").agg(F.sum(h).alias("__h2"), F.count(F.lit(1)).alias("__n2"))
-    odd = cut_lineage(whole.join(part, ["symbol", "__cut"], "full_outer").filter(
-        ~(F.col("__h").eqNullSafe(F.col("__h2")) & F.col("__n").eqNullSafe(F.col("__n2")))).select("symbol", "__cut"))
-    a = full.join(odd, "symbol").filter(F.col("date") <= F.col("__cut"))
-    b = built.join(odd, ["symbol", "__cut"]).select("symbol", "__cut", "date", *[F.col(f).alias(f"__cut_{f}") for f in features],
+    whole = whole.select("symbol", "__quarter", F.explode(F.array(*[
+        F.struct(F.lit(c).cast("date").alias("__cut"), *[F.col(f"__{k}{i}").alias(f"__{k}") for k in ("h", "l", "n")])
+        for i, c in enumerate(cuts)])).alias("__x")).select("symbol", "__quarter", "__x.*").filter("__n > 0")
+    part = built.groupBy("symbol", "__cut", quarter).agg(*[F.sum(x).alias(f"__{k}2") for k, x in halves.items()], F.count(F.lit(1)).alias("__n2"))
+    odd = cut_lineage(whole.join(part, ["symbol", "__cut", "__quarter"], "full_outer").filter(
+        ~reduce(lambda a, b: a & b, [F.col(f"__{k}").eqNullSafe(F.col(f"__{k}2")) for k in ("h", "l", "n")])).select("symbol", "__cut", "__quarter"))
+    a = full.select("*", quarter).join(odd, ["symbol", "__quarter"]).filter(F.col("date") <= F.col("__cut"))
+    b = built.select("*", quarter).join(odd, ["symbol", "__cut", "__quarter"]).select("symbol", "__cut", "date", *[F.col(f).alias(f"__cut_{f}") for f in features],
                                                     F.lit(True).alias("__there"))
     j = a.withColumn("__here", F.lit(True)).join(b, ["symbol", "__cut", "date"], "full_outer")
     same = lambda f: F.col(f).eqNullSafe(F.col(f"__cut_{f}")) & F.col("__here").eqNullSafe(F.col("__there"))

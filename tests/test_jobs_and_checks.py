@@ -61,6 +61,15 @@ def test_lookahead_check_counts_planted_features(spark):
                    (cuts[1], "whole"): 20, (cuts[2], "honest"): 0, (cuts[2], "next"): 0, (cuts[2], "whole"): 0}
 
 
+def test_lookahead_check_compares_only_quarters_that_differ(spark):
+    # "next" differs on the last row before the cut alone: of eight quarters one is compared row by row
+    df = spark.createDataFrame([("A", dt.date(2022, 1, 3) + dt.timedelta(days=7 * i), float(i)) for i in range(120)], "symbol string, date date, x double")
+    out = P.lookahead_check(df, lambda d: d.select("*", F.lead("x").over(Window.partitionBy("symbol").orderBy("date")).alias("next")),
+                            ["2023-12-31"], ["next"])
+    assert [r.mismatched_rows for r in out.collect()] == [1]
+    assert "__quarter" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_drift_report_sees_a_shift_a_gap_and_outliers(spark):
     monday = dt.date(2024, 1, 1)
     rows = [(monday + dt.timedelta(days=7 * w + d), (1.0 if w == 2 else 0.0) + 0.1 * d if w < 4 else None, 0.05 + 0.1 * d)
