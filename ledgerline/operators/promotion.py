@@ -9,10 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, written
+from ..session import discard, written
 
 # ---- fixed thresholds --------------------------------------------------------------
 FRESHNESS_MAX_LAG = 2
@@ -117,40 +117,40 @@ def lookahead_check(rows: DataFrame, build: Callable[[DataFrame], DataFrame], cu
     between features built on all rows and on the rows up to the cut: a
     feature that looks ahead does, at the cut.
 
-    All cuts are built in one pass, as copies of the symbols.  Per (symbol, cut,
-    quarter) an order-free hash of all feature rows (their count and the sum of their
-    hashes) tells which quarters differ at all; only these are compared row by
-    row.  ``build`` works per symbol, on the columns symbol and date."""
+    All cuts are built in one pass, as copies of the symbols, whose rows carry a
+    hash of the features that all rows gave them; only rows whose own hash departs from it are
+    kept and compared value by value, within their quarters.  A row that only one
+    build returns differs in every feature.  ``build`` works per symbol, on the
+    columns symbol and date, and keeps columns that it does not know."""
+    spark = rows.sparkSession
     quarter = F.trunc("date", "quarter").alias("__quarter")
+    row_hash = F.xxhash64(*[F.col(f) for f in features])
+    upto = lambda c: F.col("date") <= F.lit(c).cast("date")
     rows = written(rows, "lookahead-rows")
     full = written(build(rows).select("symbol", "date", *features), "lookahead-full")
+    hashed = written(rows.join(full.select("symbol", "date", row_hash.alias("__full")), ["symbol", "date"], "left"), "lookahead-hashed")
+    discard(rows)
     dates = F.array(*[F.lit(c).cast("date") for c in cuts])
-    copies = rows.withColumn("__cut", F.explode(dates)).filter(F.col("date") <= F.col("__cut"))
-    copies = copies.withColumn("symbol", F.concat_ws("|", F.col("__cut").cast("string"), "symbol")).drop("__cut")
-    built = written(build(copies).select(
-        F.substring_index("symbol", "|", 1).cast("date").alias("__cut"), F.expr("substring(symbol, 12)").alias("symbol"), "date", *features),
-        "lookahead-cuts")
-    h = F.xxhash64("date", *features)
-    halves = {"h": F.shiftright(h, 32), "l": h.bitwiseAND(F.lit(0xFFFFFFFF))}  # long sums of them cannot overflow
-    whole = full.groupBy("symbol", quarter).agg(*[y for i, c in enumerate(cuts) for y in (
-        *[F.sum(F.when(F.col("date") <= F.lit(c).cast("date"), x)).alias(f"__{k}{i}") for k, x in halves.items()],
-        F.count_if(F.col("date") <= F.lit(c).cast("date")).alias(f"__n{i}"))])
-    whole = whole.select("symbol", "__quarter", F.explode(F.array(*[
-        F.struct(F.lit(c).cast("date").alias("__cut"), *[F.col(f"__{k}{i}").alias(f"__{k}") for k in ("h", "l", "n")])
-        for i, c in enumerate(cuts)])).alias("__x")).select("symbol", "__quarter", "__x.*").filter("__n > 0")
-    part = built.groupBy("symbol", "__cut", quarter).agg(*[F.sum(x).alias(f"__{k}2") for k, x in halves.items()], F.count(F.lit(1)).alias("__n2"))
-    odd = cut_lineage(whole.join(part, ["symbol", "__cut", "__quarter"], "full_outer").filter(
-        ~reduce(lambda a, b: a & b, [F.col(f"__{k}").eqNullSafe(F.col(f"__{k}2")) for k in ("h", "l", "n")])).select("symbol", "__cut", "__quarter"))
-    a = full.select("*", quarter).join(odd, ["symbol", "__quarter"]).filter(F.col("date") <= F.col("__cut"))
-    b = built.select("*", quarter).join(odd, ["symbol", "__cut", "__quarter"]).select("symbol", "__cut", "date", *[F.col(f).alias(f"__cut_{f}") for f in features],
-                                                    F.lit(True).alias("__there"))
-    j = a.withColumn("__here", F.lit(True)).join(b, ["symbol", "__cut", "date"], "full_outer")
-    same = lambda f: F.col(f).eqNullSafe(F.col(f"__cut_{f}")) & F.col("__here").eqNullSafe(F.col("__there"))
+    copies = hashed.withColumn("__cut", F.explode(dates)).filter(F.col("date") <= F.col("__cut"))
+    copies = copies.withColumn("symbol", F.concat_ws("|", F.col("__cut").cast("string"), "symbol"))
+    built = build(copies)
+    if not {"__cut", "__full"} <= set(built.columns):
+        raise ValueError("the build drops a column that it does not know")
+    seen = Observation()
+    built = built.observe(seen, *[F.count_if((F.col("__cut") == F.lit(c).cast("date")) & F.col("__full").isNotNull()).alias(f"n{i}") for i, c in enumerate(cuts)])
+    odd = written(built.filter(~F.col("__full").eqNullSafe(row_hash)).select(
+        "__cut", F.expr("substring(symbol, 12)").alias("symbol"), "date", quarter,
+        *[F.col(f).alias(f"__cut_{f}") for f in features]), "lookahead-odd")
+    discard(hashed)
+    there = full.agg(*[F.count_if(upto(c)).alias(f"n{i}") for i, c in enumerate(cuts)]).first()
+    j = odd.join(full.select("*", quarter, F.lit(True).alias("__here")), ["symbol", "__quarter", "date"], "left")
+    same = lambda f: F.col("__here").isNotNull() & F.col(f).eqNullSafe(F.col(f"__cut_{f}"))
     counted = j.groupBy("__cut").agg(*[F.count_if(~same(f)).alias(f"__d_{f}") for f in features])
-    grid = rows.sparkSession.createDataFrame([(str(c),) for c in cuts], "c string").select(F.col("c").cast("date").alias("__cut"))
+    lost = [(str(c), there[i] - seen.get[f"n{i}"]) for i, c in enumerate(cuts)]  # rows that no cut build returned
+    grid = spark.createDataFrame(lost, "c string, __lost long").select(F.col("c").cast("date").alias("__cut"), "__lost")
     found = grid.join(counted, "__cut", "left")
     return found.select(F.col("__cut").alias("cutoff_date"), F.explode(F.array(*[
-        F.struct(F.lit(f).alias("feature"), F.coalesce(F.col(f"__d_{f}"), F.lit(0).cast("long")).alias("mismatched_rows"))
+        F.struct(F.lit(f).alias("feature"), (F.coalesce(F.col(f"__d_{f}"), F.lit(0).cast("long")) + F.col("__lost")).alias("mismatched_rows"))
         for f in features])).alias("__f")).select("cutoff_date", "__f.*")
 
 

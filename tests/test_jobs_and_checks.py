@@ -126,3 +126,30 @@ def test_dedup_state_expires_and_bars_count_late_rows(spark, tmp_path):
     S.run_to_table(bars, str(tmp_path / "bars"), str(tmp_path / "ck2"))
     out = S.late_rows(ticks.where("symbol is not null"), spark.read.schema(bars.schema).parquet(str(tmp_path / "bars"))).orderBy("window_start").collect()
     assert [(r.window_start.hour, r.close, r.volume, r.late_rows) for r in out] == [(9, 2.0, 2, 1), (20, 3.0, 1, 0), (21, 4.0, 1, 0)]
+
+
+def test_lookahead_check_keeps_no_copy_of_the_rows(spark, monkeypatch):
+    # of 2 x 100 rows and their 3 x 2 copies only those that differ are written, and rows that one build drops count
+    sizes = {}
+
+    def keep(df, name):
+        out = P_written(df, name)
+        sizes[name] = out.count()
+        return out
+
+    P_written = P.written
+    monkeypatch.setattr(P, "written", keep)
+    df = spark.createDataFrame([(s, D + dt.timedelta(days=i), float(i)) for s in "AB" for i in range(100)], "symbol string, date date, x double")
+    last = F.max("date").over(Window.partitionBy("symbol"))
+
+    def build(d):  # drops the last day, and of long symbols the first
+        d = d.select("*", F.lead("x").over(Window.partitionBy("symbol").orderBy("date")).alias("next"), F.col("x").alias("own"), last.alias("__last"))
+        return d.filter((F.col("date") < F.col("__last")) & ((F.col("x") > 0) | (F.col("__last") < F.lit(D + dt.timedelta(days=80))))).drop("__last")
+
+    cuts = [str(D + dt.timedelta(days=n)) for n in (50, 90, 200)]
+    got = {(str(r.cutoff_date), r.feature): r.mismatched_rows for r in P.lookahead_check(df, build, cuts, ["next", "own"]).collect()}
+    # cut 50: the first day is in the cut's build alone, the last before the cut in that of all rows; cut 90: the latter
+    assert got == {(cuts[0], "next"): 4, (cuts[0], "own"): 4, (cuts[1], "next"): 2, (cuts[1], "own"): 2, (cuts[2], "next"): 0, (cuts[2], "own"): 0}
+    assert set(sizes) == {"lookahead-rows", "lookahead-full", "lookahead-hashed", "lookahead-odd"} and sizes["lookahead-odd"] == 2
+    with pytest.raises(ValueError, match="does not know"):
+        P.lookahead_check(df, lambda d: d.select("symbol", "date", F.col("x").alias("next")), cuts, ["next"])
