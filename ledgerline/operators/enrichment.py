@@ -158,32 +158,37 @@ def ffill_fundamentals(rows: DataFrame, reports: DataFrame, value: str = "revenu
         "report_date", "fundamentals_asof_date")
 
 
-def gap_fill(rows: DataFrame, cal_idx: DataFrame) -> DataFrame:
+def gap_fill(rows: DataFrame, cal_idx: DataFrame, carry: tuple[str, ...] | list[str] = ()) -> DataFrame:
     """Expand each symbol to every trading day of its market between
     its first and last row, forward fill price (at most 3 missing days) and
-    volume (at most 2), and mark rows valid only within those limits.
-
-    The expansion is generated per symbol (sequence of civil dates, kept
-    where the market trades), so work is spread by symbol."""
-    span = rows.groupBy("symbol", "market_context").agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
-    grid = span.select("symbol", "market_context", F.explode(F.sequence("lo", "hi")).alias("date"))
-    grid = grid.join(F.broadcast(cal_idx), ["market_context", "date"], "inner")
-    g = grid.join(rows.select("symbol", "date", "close", "volume", F.lit(True).alias("__present")),
-                  ["symbol", "date"], "left")
-    w = Window.partitionBy("symbol").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
-    last_idx = F.last(F.when(F.col("__present"), F.col("day_index")), ignorenulls=True).over(w)
-    g = g.select("*", (F.col("day_index") - last_idx).cast("int").alias("gap_days"),
-                 F.last("close", ignorenulls=True).over(w).alias("__c"),
-                 F.last("volume", ignorenulls=True).over(w).alias("__v"))
+    volume (at most 2), and mark rows valid only within those limits; columns of
+    ``carry`` are filled over any gap.
+
+    What a trading day gets is known at the row before it, so windows pass over
+    the rows alone; each is then repeated for the civil dates up to the next one,
+    kept where the market trades.  A row on another day fills nothing."""
+    w = Window.partitionBy("symbol").orderBy("date")
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    r = rows.select("symbol", "market_context", "date", "close", "volume", *carry).join(F.broadcast(cal_idx), ["market_context", "date"], "left")
+
+    def filled(c: str):
+        return F.last(F.when(F.col("day_index").isNotNull(), F.col(c)), ignorenulls=True).over(run)
+
+    r = r.select("symbol", "market_context", F.col("date").alias("__from"),
+                 F.greatest(F.date_sub(F.lead("date", 1).over(w), 1), F.col("date")).alias("__to"),
+                 *[filled(c).alias(f"__{c}") for c in ("day_index", "close", "volume", *carry)])
+    g = r.select("*", F.explode(F.sequence("__from", "__to")).alias("date")).join(F.broadcast(cal_idx), ["market_context", "date"])
+    g = g.withColumn("gap_days", (F.col("day_index") - F.col("__day_index")).cast("int"))
     return g.select("symbol", "date", "market_context", "day_index", "gap_days",
-                    F.when(F.col("gap_days") <= PRICE_FILL_MAX_GAP, F.col("__c")).alias("close_filled"),
-                    F.when(F.col("gap_days") <= VOLUME_FILL_MAX_GAP, F.col("__v")).alias("volume_filled"),
-                    F.coalesce(F.col("__present"), F.lit(False)).alias("is_observed"))
+                    F.when(F.col("gap_days") <= PRICE_FILL_MAX_GAP, F.col("__close")).alias("close_filled"),
+                    F.when(F.col("gap_days") <= VOLUME_FILL_MAX_GAP, F.col("__volume")).alias("volume_filled"),
+                    (F.col("date") == F.col("__from")).alias("is_observed"), *[F.col(f"__{c}").alias(c) for c in carry])
 
 
 def is_valid_row(df: DataFrame, numeric_cols: list[str]) -> DataFrame:
     """False on any NaN / infinite feature, an action date or a gap
-    beyond the fill limit."""
+    beyond the fill limit, or where ``features_valid`` (features that were
+    judged before) is."""
     ok = F.lit(True)
     for c in numeric_cols:
         x = F.col(c).cast("double")
@@ -192,6 +197,8 @@ def is_valid_row(df: DataFrame, numeric_cols: list[str]) -> DataFrame:
         ok = ok & (F.col("corporate_action_flag") == 0)
     if "gap_days" in df.columns:
         ok = ok & (F.col("gap_days") <= PRICE_FILL_MAX_GAP)
+    if "features_valid" in df.columns:
+        ok = ok & F.col("features_valid")
     return df.withColumn("is_valid_row", F.coalesce(ok, F.lit(False)))
 
 

@@ -71,3 +71,31 @@ def test_wide_batches_are_folded_before_their_only_shuffle(spark):
     assert _plan(out).count("Exchange hashpartitioning") == 1
     assert sorted((r.symbol, r.open, r.high, r.low, r.close, r.volume) for r in out.collect()) == [
         ("A", 1.0, None, None, 2.0, 3), ("B", None, 4.0, None, None, None)]
+
+
+def test_gaps_are_filled_on_bars_not_on_the_grid(spark):
+    import datetime as dt
+
+    from ledgerline.operators import enrichment as EN
+
+    day = lambda n: dt.date(2024, 1, 1) + dt.timedelta(days=n)
+    trading = [n for n in range(30) if n % 7 < 5]
+    cal = spark.createDataFrame([("us", day(n), i) for i, n in enumerate(trading)], "market_context string, date date, day_index int")
+    # A starts and B ends on a day without trading; A has a missing price and a gap
+    bars = {"A": {5: 1.0, 8: 2.0, 9: None, 10: 3.0, 22: 4.0}, "B": {0: 5.0, 4: 6.0, 12: 7.0, 13: 8.0}, "C": {3: 9.0}}
+    rows = [(s, "us", day(n), c, n, c if n < 20 else None) for s, own in bars.items() for n, c in own.items()]
+    df = spark.createDataFrame(rows, "symbol string, market_context string, date date, close double, volume long, f double")
+    out = EN.gap_fill(df, cal, carry=["f"])
+    got = {(r.symbol, r.date): tuple(r)[3:] for r in out.collect()}
+    want = {}
+    for s, own in bars.items():
+        for i, n in enumerate(trading):
+            if min(own) <= n <= max(own):
+                past = [m for m in sorted(own) if m <= n and m in trading]
+                gap = i - trading.index(past[-1]) if past else None
+                close = next((own[m] for m in reversed(past) if own[m] is not None), None)
+                f = next((own[m] for m in reversed(past) if own[m] is not None and m < 20), None)
+                want[s, day(n)] = (i, gap, close if past and gap <= 3 else None, past[-1] if past and gap <= 2 else None, n in own, f)
+    assert got == want and ("A", day(7)) in want and want["A", day(7)][1] is None and max(w[1] or 0 for w in want.values()) > 3
+    plan = _plan(out)
+    assert "Window" in plan and plan.index("Generate explode") < plan.index("Window")  # the expansion comes last
