@@ -28,3 +28,15 @@ def test_market_queries_set_sizes_and_operators_do_not(spark):
         assert spark.conf.get(COUNT, None) is None
     finally:
         deal_as_before(spark)
+
+
+def test_market_queries_run_no_method_that_the_jvm_never_compiles(spark):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    deal_as_before(spark)
+    before = spark.conf.get(key)
+    try:
+        deal_finely(spark, 1)
+        assert int(spark.conf.get(key)) == 8000
+    finally:
+        deal_as_before(spark)
+    assert spark.conf.get(key) == before

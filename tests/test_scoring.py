@@ -118,3 +118,40 @@ def test_small_side_is_broadcast_only_within_its_bound(spark):
     big = spark.range(1000).withColumnRenamed("id", "k")
     plan = lambda n: big.join(small_side(spark.range(50).withColumnRenamed("id", "k"), n), "k")._jdf.queryExecution().optimizedPlan().toString()
     assert "strategy=broadcast" in plan(50) and "strategy=broadcast" not in plan(49)
+
+
+def test_scoring_sorts_no_row_back_after_the_reports(spark, monkeypatch):
+    # indicators, signals and risk pass before the reports are sorted in: above their union one window is left
+    from conftest import SF001
+    from ledgerline.plans import q_universe as Q
+
+    class Stop(Exception):
+        pass
+
+    def keep(df, name):
+        raise Stop(df)
+
+    monkeypatch.setattr(Q, "written", keep)
+    with pytest.raises(Stop) as stopped:
+        Q.scored(spark, SF001)
+    plan = stopped.value.args[0]._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    at = [n for n, line in enumerate(plan) if line.lstrip(" :+|-").startswith("Window ")]
+    union = next(n for n, line in enumerate(plan) if line.lstrip(" :+|-").startswith("Union"))
+    assert sum(n < union for n in at) == 1 and len(at) <= 21
+
+
+def test_signals_on_the_rows_give_the_same_scores(spark):
+    r = random.Random(3)
+    rows = [(s, day(i), *[r.uniform(5, 9) for _ in range(2)], r.uniform(9, 10), r.choice([1e3, 5e4]), r.uniform(0, 3), float(r.randint(-9, 9)),
+             r.choice([1e6, 9e9]), r.randint(0, 1), r.choice([None, 0.5, -0.2]), r.choice([None, r.uniform(-1, 1)]))
+            for s in "AB" for i in range(60)]
+    df = spark.createDataFrame(rows, "symbol string, date date, open double, close double, high double, volume double, volume_ratio double, obv double, "
+                               "market_cap double, fundamental_presence_flag int, return_1d double, sentiment_score double").withColumn("volume_21d_avg", F.lit(1e4))
+    extra = df.select("*", *[F.lit(1.0).alias(c) for c in ("macdh_12_26_9", "swing_low_20d", "vol_ratio")], F.lit(2.0).alias("swing_high_20d"))
+
+    def scores(x):
+        out = SC.market_metrics(U.eligibility(U.manipulation_risk(x), min_volume=0.0, min_dollar=0.0, gap_ceiling=9.0))
+        return sorted((tuple(row.asDict().items()) for row in out.select(*sorted(out.columns)).collect()), key=str)
+
+    before = U.risk_signals(SC.market_signals(U.liquidity_signals(extra)))
+    assert str(scores(extra)) == str(scores(before)) and {dict(x)["eligible"] for x in scores(extra)} == {True, False}
